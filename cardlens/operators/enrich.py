@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.operators.clean import add_target, normalize_merchants, normalize_transactions
+from cardlens.operators.joins import join_dimension
 
 
 def dedup_keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
@@ -46,14 +47,14 @@ def combine_transactions(business: DataFrame, consumer: DataFrame) -> DataFrame:
 def merge_merchants(transactions: DataFrame, merchants_reference: DataFrame) -> DataFrame:
     """Left join of transactions to the cleaned merchant dimension.
 
-    No broadcast hint: the merchant dimension is not bounded by construction.
-    Catalyst broadcasts it when its estimated size is under
-    ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides shuffle on
-    ``merchant_id`` and AQE converts to a broadcast join if the measured
-    dimension is small, or splits a hot merchant's partition (skew join).
+    The merchant dimension is not bounded by construction, so it is measured
+    first (:func:`checked_broadcast`): broadcast when it fits the session's
+    broadcast threshold, so the transactions are never shuffled for the join;
+    otherwise both sides shuffle on ``merchant_id`` and AQE splits a hot
+    merchant's partition (skew join).
     """
     merchants = normalize_merchants(merchants_reference)
-    merged = transactions.join(merchants, on="merchant_id", how="left")
+    merged = join_dimension(transactions, merchants, on="merchant_id", how="left")
     return merged.withColumns(
         {
             "merchant_country": F.coalesce(F.col("merchant_country"), F.lit("unknown")),

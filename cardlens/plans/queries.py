@@ -347,3 +347,446 @@ for _name, _block, _cols in [
 )
 def card_features(spark, sf_dir):
     return card_features_df(spark, sf_dir)
+
+
+# -- exploratory MCC family (G1-G11, J3, J4) -------------------------------------------
+
+from cardlens.operators import evaluate, mcc, split  # noqa: E402
+from cardlens.config import SPLIT_BUCKETS, TEST_SIZE, RANDOM_STATE, TOP20_MCC  # noqa: E402
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned, labelled union of both segments (no merchant join)."""
+    s = sources(spark, sf_dir)
+    return enrich.combine_transactions(s["business_cards"], s["consumer_cards"])
+
+
+_CLEAN = [O.RAW_TXN, O.CLEAN_TXN]
+_WEIGHTS = """
+w AS (SELECT mcc, avg(CAST(label AS DOUBLE)) AS mcc_b2b_weight FROM clean_txn GROUP BY mcc)"""
+_Q95 = """
+q95 AS (
+  SELECT card_number, v AS global_quantile_95 FROM (
+    SELECT card_number, v,
+           row_number() OVER (PARTITION BY card_number ORDER BY v) - 1 AS pos,
+           count(*) OVER (PARTITION BY card_number) AS n
+    FROM (SELECT card_number,
+                 CASE WHEN isnan(transaction_amount_kzt) THEN NULL ELSE transaction_amount_kzt END AS v
+          FROM {src}) WHERE v IS NOT NULL)
+  WHERE pos = CAST(round(CAST(0.95 AS DOUBLE) * CAST(n - 1 AS DOUBLE)) AS BIGINT)
+)"""
+
+
+@register(
+    "mcc_mix_topk",
+    O.with_ctes(
+        f"""SELECT mcc, count(*) AS total_count, CAST(sum(label) AS BIGINT) AS business_count,
+       count_if(label = 0) AS consumer_count,
+       CAST(sum(label) AS DOUBLE) / count(*) AS business_share
+FROM clean_txn WHERE mcc IN {O._in(TOP20_MCC)} GROUP BY mcc""",
+        base=_CLEAN,
+    ),
+)
+def mcc_mix_topk(spark, sf_dir):
+    return mcc.mcc_mix(labelled(spark, sf_dir))
+
+
+@register("mcc_b2b_weight", O.with_ctes("SELECT * FROM w", base=_CLEAN + [_WEIGHTS]))
+def mcc_b2b_weight(spark, sf_dir):
+    return mcc.mcc_weights(labelled(spark, sf_dir))
+
+
+@register(
+    "card_b2b_index",
+    O.with_ctes(
+        """SELECT t.card_number, CAST(max(t.label) AS TINYINT) AS label,
+       avg(w.mcc_b2b_weight) AS card_b2b_index
+FROM clean_txn t LEFT JOIN w ON t.mcc = w.mcc GROUP BY t.card_number""",
+        base=_CLEAN + [_WEIGHTS],
+    ),
+)
+def card_b2b_index(spark, sf_dir):
+    t = labelled(spark, sf_dir)
+    return mcc.card_b2b_index(mcc.attach_weights(t, mcc.mcc_weights(t)))
+
+
+@register(
+    "card_amount_q95",
+    O.with_ctes("SELECT * FROM q95", base=_CLEAN + [_Q95.format(src="clean_txn")]),
+)
+def card_amount_q95(spark, sf_dir):
+    return mcc.card_amount_q95(labelled(spark, sf_dir))
+
+
+_HOUSEHOLD = """
+hh AS (
+  SELECT t.card_number, CAST(max(t.label) AS TINYINT) AS label,
+         max(CASE WHEN isnan(t.transaction_amount_kzt) THEN NULL ELSE t.transaction_amount_kzt END) AS global_max_amount,
+         avg(t.transaction_amount_kzt) AS global_mean_amount,
+         avg(w.mcc_b2b_weight) AS card_b2b_index,
+         max(t.transaction_amount_kzt) FILTER (WHERE t.mcc = '5411') AS max_amount_mcc_5411,
+         sum(t.transaction_amount_kzt) FILTER (WHERE t.mcc = '5411') AS sum_amount_mcc_5411,
+         max(t.transaction_amount_kzt) FILTER (WHERE t.mcc = '5812') AS max_amount_mcc_5812,
+         sum(t.transaction_amount_kzt) FILTER (WHERE t.mcc = '4121') AS sum_amount_mcc_4121
+  FROM clean_txn t LEFT JOIN w ON t.mcc = w.mcc GROUP BY t.card_number
+),
+household AS (
+  SELECT hh.card_number, coalesce(label, 0) AS label,
+         coalesce(global_max_amount, 0.0) AS global_max_amount,
+         coalesce(global_mean_amount, 0.0) AS global_mean_amount,
+         coalesce(card_b2b_index, 0.0) AS card_b2b_index,
+         coalesce(max_amount_mcc_5411, 0.0) AS max_amount_mcc_5411,
+         coalesce(sum_amount_mcc_5411, 0.0) AS sum_amount_mcc_5411,
+         coalesce(max_amount_mcc_5812, 0.0) AS max_amount_mcc_5812,
+         coalesce(sum_amount_mcc_4121, 0.0) AS sum_amount_mcc_4121,
+         coalesce(q95.global_quantile_95, 0.0) AS global_quantile_95
+  FROM hh LEFT JOIN q95 ON hh.card_number = q95.card_number
+)"""
+
+_HOUSEHOLD_CTES = _CLEAN + [_WEIGHTS, _Q95.format(src="clean_txn"), _HOUSEHOLD]
+
+
+@register("card_household_mcc", O.with_ctes("SELECT * FROM household", base=_HOUSEHOLD_CTES))
+def card_household_mcc(spark, sf_dir):
+    return mcc.household_features(labelled(spark, sf_dir))
+
+
+def _extended_sql(src: str, weight: str, name: str, q95: str) -> str:
+    return f"""
+{name}_agg AS (
+  SELECT card_number, CAST(max(label) AS TINYINT) AS label,
+         max(CASE WHEN isnan(transaction_amount_kzt) THEN NULL ELSE transaction_amount_kzt END) AS global_max_amount,
+         avg({weight}) AS card_b2b_index,
+         avg(CAST(hour(transaction_timestamp) BETWEEN 0 AND 5 AS DOUBLE)) AS night_trans_share,
+         avg(CAST(hour(transaction_timestamp) BETWEEN 9 AND 18 AS DOUBLE)) AS working_hours_share,
+         avg(CAST(channel = 'online' AS DOUBLE)) AS online_share,
+         avg(CAST(Is_recurring = true AS DOUBLE)) AS recurring_share
+  FROM {src} GROUP BY card_number
+),
+{name} AS (
+  SELECT a.card_number, coalesce(a.label, 0) AS label,
+         coalesce(global_max_amount, 0.0) AS global_max_amount,
+         coalesce(q.global_quantile_95, 0.0) AS global_quantile_95,
+         coalesce(card_b2b_index, 0.0) AS card_b2b_index,
+         coalesce(night_trans_share, 0.0) AS night_trans_share,
+         coalesce(working_hours_share, 0.0) AS working_hours_share,
+         coalesce(online_share, 0.0) AS online_share,
+         coalesce(recurring_share, 0.0) AS recurring_share
+  FROM {name}_agg a LEFT JOIN {q95} q ON a.card_number = q.card_number
+)"""
+
+
+_EXT_SRC = """
+ext_src AS (SELECT t.*, w.mcc_b2b_weight FROM clean_txn t LEFT JOIN w ON t.mcc = w.mcc)"""
+_EXTENDED_CTES = _CLEAN + [
+    _WEIGHTS,
+    _Q95.format(src="clean_txn"),
+    _EXT_SRC,
+    _extended_sql("ext_src", "mcc_b2b_weight", "extended", "q95"),
+]
+
+
+@register("card_extended", O.with_ctes("SELECT * FROM extended", base=_EXTENDED_CTES))
+def card_extended(spark, sf_dir):
+    return mcc.extended_features(labelled(spark, sf_dir))
+
+
+def _bucket_sql(card: str) -> str:
+    return f"(('0x' || substr(md5({card} || ':{RANDOM_STATE}'), 1, 8))::BIGINT % {SPLIT_BUCKETS})"
+
+
+_TEST_CUT = int(round(TEST_SIZE * SPLIT_BUCKETS))
+_SAFE = [
+    f"""
+tr AS (SELECT * FROM clean_txn WHERE {_bucket_sql('card_number')} >= {_TEST_CUT}),
+te AS (SELECT * FROM clean_txn WHERE {_bucket_sql('card_number')} < {_TEST_CUT}),
+sw AS (SELECT mcc, avg(CAST(label AS DOUBLE)) AS mcc_b2b_weight FROM tr GROUP BY mcc),
+tr_w AS (SELECT tr.* REPLACE (coalesce(tr.transaction_amount_kzt, 0.0) AS transaction_amount_kzt),
+                coalesce(sw.mcc_b2b_weight, 0.0) AS w FROM tr LEFT JOIN sw ON tr.mcc = sw.mcc),
+te_w AS (SELECT te.* REPLACE (coalesce(te.transaction_amount_kzt, 0.0) AS transaction_amount_kzt),
+                coalesce(sw.mcc_b2b_weight, 0.0) AS w FROM te LEFT JOIN sw ON te.mcc = sw.mcc)""",
+    _Q95.format(src="tr_w").replace("q95 AS", "q_tr AS"),
+    _Q95.format(src="te_w").replace("q95 AS", "q_te AS"),
+    _extended_sql("tr_w", "w", "f_tr", "q_tr"),
+    _extended_sql("te_w", "w", "f_te", "q_te"),
+]
+
+
+@register(
+    "encode_train_apply",
+    O.with_ctes(
+        "SELECT *, 'train' AS split FROM f_tr UNION ALL SELECT *, 'test' AS split FROM f_te",
+        base=_CLEAN + _SAFE,
+    ),
+)
+def encode_train_apply(spark, sf_dir):
+    t = labelled(spark, sf_dir)
+    is_test = split.split_bucket(F.col(CARD_ID_COLUMN)) < _TEST_CUT
+    train_f, test_f = mcc.safe_features(t.filter(~is_test), t.filter(is_test))
+    return train_f.withColumn("split", F.lit("train")).unionByName(
+        test_f.withColumn("split", F.lit("test"))
+    )
+
+
+_PROFILE_HH = ["global_max_amount", "global_quantile_95", "card_b2b_index", "max_amount_mcc_5411"]
+_PROFILE_EXT = ["night_trans_share", "working_hours_share", "online_share", "recurring_share"]
+
+
+@register(
+    "class_profile",
+    O.with_ctes(
+        "SELECT label, " + ", ".join(f"avg({c}) AS mean_{c}" for c in _PROFILE_HH)
+        + " FROM household GROUP BY label",
+        base=_HOUSEHOLD_CTES,
+    ),
+)
+def class_profile(spark, sf_dir):
+    return mcc.class_profile(mcc.household_features(labelled(spark, sf_dir)), _PROFILE_HH)
+
+
+@register(
+    "class_profile_extended",
+    O.with_ctes(
+        "SELECT label, " + ", ".join(f"avg({c}) AS mean_{c}" for c in _PROFILE_EXT)
+        + " FROM extended GROUP BY label",
+        base=_EXTENDED_CTES,
+    ),
+)
+def class_profile_extended(spark, sf_dir):
+    return mcc.class_profile(mcc.extended_features(labelled(spark, sf_dir)), _PROFILE_EXT)
+
+
+@register(
+    "card_sanity_check",
+    O.with_ctes(
+        """SELECT card_number,
+       count(DISTINCT mcc) + max(CASE WHEN mcc IS NULL THEN 1 ELSE 0 END) AS unique_mcc_count,
+       count(transaction_amount_kzt) AS total_trans,
+       stddev_samp(transaction_amount_kzt) AS amount_std,
+       avg(transaction_amount_kzt) AS amount_mean
+FROM clean_txn GROUP BY card_number ORDER BY card_number LIMIT 10""",
+        base=_CLEAN,
+    ),
+)
+def card_sanity_check(spark, sf_dir):
+    return mcc.card_sanity_check(labelled(spark, sf_dir))
+
+
+# -- lazy prototype chain (S3, J2, P19) --------------------------------------------------
+
+
+@register(
+    "proto_txn_time",
+    O.with_ctes(
+        f"""SELECT transaction_id, card_number, merchant_id, target, merchant_name, mcc, mcc_right, dt,
+       CAST(hour(dt) AS INTEGER) AS hour, CAST(isodow(dt) AS INTEGER) AS dayofweek,
+       CAST(isodow(dt) IN (6, 7) AS INTEGER) AS is_weekend,
+       CAST(hour(dt) BETWEEN 9 AND 18 AS INTEGER) AS is_business_hour
+FROM (SELECT r.transaction_id, r.card_number, r.merchant_id,
+             CAST(CASE WHEN r.is_business THEN 1 ELSE 0 END AS INTEGER) AS target,
+             m.merchant_name, r.mcc, m.mcc AS mcc_right,
+             {O.ts_sql('r.transaction_timestamp')} AS dt
+      FROM raw_txn r LEFT JOIN mer_raw m ON r.merchant_id = CAST(m.merchant_id AS VARCHAR))""",
+        base=[O.RAW_TXN, O.MERCHANTS],
+    ),
+)
+def proto_txn_time(spark, sf_dir):
+    from cardlens.operators.prototype import prototype_time_features
+
+    s = sources(spark, sf_dir)
+    out = prototype_time_features(s["business_cards"], s["consumer_cards"], s["merchants_reference"])
+    return out.select(
+        "transaction_id", "card_number", "merchant_id", "target", "merchant_name", "mcc",
+        "mcc_right", "dt", "hour", "dayofweek", "is_weekend", "is_business_hour",
+    )
+
+
+# -- split, class weights, standardization (M1, M6, M3) --------------------------------------
+
+
+@register(
+    "split_stratified",
+    O.with_ctes(
+        f"""SELECT card_number, label, CAST({_bucket_sql('card_number')} AS INTEGER) AS split_bucket,
+       {_bucket_sql('card_number')} < {_TEST_CUT} AS is_test FROM card_feat"""
+    ),
+)
+def split_stratified(spark, sf_dir):
+    cards = card_features_df(spark, sf_dir)
+    return split.assign_split(cards).select(CARD_ID_COLUMN, "label", "split_bucket", "is_test")
+
+
+_TRAIN_CARDS = f"""
+train_cards AS (SELECT * FROM card_feat WHERE {_bucket_sql('card_number')} >= {_TEST_CUT})"""
+
+
+@register(
+    "class_weights",
+    O.with_ctes(
+        """SELECT label, n_cards,
+       CAST(sum(n_cards) OVER () AS DOUBLE) / (count(*) OVER () * n_cards) AS class_weight
+FROM (SELECT label, count(*) AS n_cards FROM train_cards GROUP BY label)""",
+        extra=[_TRAIN_CARDS],
+    ),
+)
+def class_weights(spark, sf_dir):
+    from cardlens.operators.model import class_weight_table
+
+    train, _, _ = split.split_train_test(card_features_df(spark, sf_dir))
+    return class_weight_table(train)
+
+
+def _standardize_sql() -> str:
+    stats = ", ".join(
+        f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in features.CARD_FEATURES
+    )
+    zs = ", ".join(
+        f"({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END AS {c}"
+        for c in features.CARD_FEATURES
+    )
+    return O.with_ctes(
+        f"SELECT card_number, label, {zs} FROM card_feat, "
+        f"(SELECT {stats} FROM train_cards) st",
+        extra=[_TRAIN_CARDS],
+    )
+
+
+@register("standardize_features", _standardize_sql())
+def standardize_features(spark, sf_dir):
+    from cardlens.operators.model import standardize
+
+    cards = card_features_df(spark, sf_dir)
+    train, _, cols = split.split_train_test(cards)
+    return standardize(cards, train, cols).select(CARD_ID_COLUMN, "label", *cols)
+
+
+# -- evaluation over a scored frame (P22, W3, S7, E1-E4, M9) -------------------------------
+
+_SCORED = """
+scored AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS card_number,
+         CAST(c_mktsegment IN ('BUILDING', 'MACHINERY') AS INTEGER) AS y_true,
+         CAST(least(greatest(round(c_acctbal / 1000) / 10, CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE)) AS DOUBLE) AS y_proba
+  FROM customer
+),
+pred AS (SELECT *, CAST(y_proba >= 0.5 AS INTEGER) AS y_pred FROM scored),
+cm AS (
+  SELECT count_if(y_true = 1 AND y_pred = 1) AS tp, count_if(y_true = 0 AND y_pred = 1) AS fp,
+         count_if(y_true = 1 AND y_pred = 0) AS fn, count_if(y_true = 0 AND y_pred = 0) AS tn
+  FROM pred
+)"""
+
+
+def _eval_sql(select: str) -> str:
+    return O.with_ctes(select, base=[_SCORED])
+
+
+def scored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = fixtures.scored_customers(table(spark, sf_dir, "customer"))
+    return evaluate.predict_with_threshold(scored)
+
+
+@register("predict_threshold", _eval_sql("SELECT card_number, y_true, y_pred, y_proba FROM pred"))
+def predict_threshold(spark, sf_dir):
+    return scored_predictions(spark, sf_dir).select("card_number", "y_true", "y_pred", "y_proba")
+
+
+@register(
+    "predictions_ranked",
+    _eval_sql("SELECT card_number, y_true, y_pred, y_proba FROM pred ORDER BY y_proba DESC, card_number"),
+)
+def predictions_ranked(spark, sf_dir):
+    return (
+        scored_predictions(spark, sf_dir)
+        .select("card_number", "y_true", "y_pred", "y_proba")
+        .orderBy(F.desc("y_proba"), F.asc("card_number"))
+    )
+
+
+@register(
+    "confusion_matrix",
+    _eval_sql(
+        """SELECT 0 AS y_true, 0 AS y_pred, tn AS n FROM cm UNION ALL SELECT 0, 1, fp FROM cm
+UNION ALL SELECT 1, 0, fn FROM cm UNION ALL SELECT 1, 1, tp FROM cm"""
+    ),
+)
+def confusion_matrix(spark, sf_dir):
+    return evaluate.confusion_matrix(scored_predictions(spark, sf_dir))
+
+
+_P = "CASE WHEN {d} > 0 THEN CAST({n} AS DOUBLE) / ({d}) ELSE 0.0 END"
+
+
+@register(
+    "binary_metrics",
+    _eval_sql(
+        "SELECT tp, fp, fn, tn, "
+        + _P.format(n="tp + tn", d="tp + fp + fn + tn") + " AS accuracy, "
+        + _P.format(n="tp", d="tp + fp") + " AS precision, "
+        + _P.format(n="tp", d="tp + fn") + " AS recall, "
+        + _P.format(n="2 * tp", d="2 * tp + fp + fn") + " AS f1 FROM cm"
+    ),
+)
+def binary_metrics(spark, sf_dir):
+    return evaluate.binary_metrics(scored_predictions(spark, sf_dir))
+
+
+_REPORT = """
+per AS (
+  SELECT 'consumer' AS class_name, {p0} AS precision, {r0} AS recall, {f0} AS f1_score, tn + fp AS support FROM cm
+  UNION ALL
+  SELECT 'business_like', {p1}, {r1}, {f1}, tp + fn FROM cm
+)""".format(
+    p0=_P.format(n="tn", d="tn + fn"), r0=_P.format(n="tn", d="tn + fp"),
+    f0=_P.format(n="2 * tn", d="2 * tn + fn + fp"),
+    p1=_P.format(n="tp", d="tp + fp"), r1=_P.format(n="tp", d="tp + fn"),
+    f1=_P.format(n="2 * tp", d="2 * tp + fp + fn"),
+)
+
+
+@register(
+    "classification_report",
+    O.with_ctes(
+        """SELECT class_name, precision, recall, f1_score, CAST(support AS BIGINT) AS support FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT """ + _P.format(n="tp + tn", d="tp + fp + fn + tn") + """ FROM cm),
+  (SELECT tp + fp + fn + tn FROM cm)
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM per
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1_score * support) / sum(support), sum(support) FROM per""",
+        base=[_SCORED, _REPORT],
+    ),
+)
+def classification_report(spark, sf_dir):
+    return evaluate.classification_report(scored_predictions(spark, sf_dir))
+
+
+@register(
+    "roc_auc",
+    _eval_sql(
+        """SELECT CASE WHEN p > 0 AND n > 0 THEN (rank_sum - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n) END AS roc_auc
+FROM (SELECT sum(CASE WHEN y_true = 1 THEN r ELSE 0 END) AS rank_sum,
+             count_if(y_true = 1) AS p, count_if(y_true <> 1) AS n
+      FROM (SELECT y_true, rank() OVER (ORDER BY y_proba) + (count(*) OVER (PARTITION BY y_proba) - 1) / 2.0 AS r
+            FROM scored))"""
+    ),
+)
+def roc_auc(spark, sf_dir):
+    return evaluate.roc_auc(scored_predictions(spark, sf_dir))
+
+
+@register(
+    "rank_consumers",
+    O.with_ctes(
+        """SELECT card_number, card_b2b_index AS score FROM (
+  SELECT card_number, label, card_b2b_index FROM f_tr UNION ALL SELECT card_number, label, card_b2b_index FROM f_te)
+WHERE label = 0 ORDER BY score DESC, card_number""",
+        base=_CLEAN + _SAFE,
+    ),
+)
+def rank_consumers(spark, sf_dir):
+    scored = encode_train_apply(spark, sf_dir)
+    return (
+        scored.filter(F.col("label") == 0)
+        .select(CARD_ID_COLUMN, F.col("card_b2b_index").alias("score"))
+        .orderBy(F.desc("score"), F.asc(CARD_ID_COLUMN))
+    )
