@@ -252,6 +252,33 @@ card_feat AS (
 
 BASE_CTES = [RAW_TXN, CLEAN_TXN, MERCHANTS, ENRICHED, INDICATORS, CARD_AGG]
 
+# high-volume source: one transaction per order line
+VOLUME_CLEAN_TXN = f"""
+vol_raw AS (
+  SELECT o.o_custkey AS card_number, l.l_extendedprice AS transaction_amount_kzt,
+         l.l_suppkey AS merchant_id, regexp_extract(p.p_brand, '[0-9]+', 0) AS mcc,
+         CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'online' ELSE 'offline' END AS channel,
+         l.l_shipdate AS ship, c.c_nationkey AS country,
+         l.l_returnflag = 'R' AS tokenized, l.l_linestatus = 'O' AS Is_recurring,
+         coalesce(c.c_mktsegment IN {_in(BUSINESS_SEGMENTS)}, false) AS is_business
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+),
+clean_txn AS (
+  SELECT CAST(card_number AS VARCHAR) AS card_number,
+         CAST(transaction_amount_kzt AS DOUBLE) AS transaction_amount_kzt,
+         CAST(merchant_id AS VARCHAR) AS merchant_id, mcc,
+         coalesce(lower(channel), 'unknown') AS channel,
+         CAST(country AS VARCHAR) AS country,
+         coalesce(tokenized, false) AS tokenized, coalesce(Is_recurring, false) AS Is_recurring,
+         CAST(ship AS DATE) AS transaction_date, CAST(ship AS TIMESTAMP) AS transaction_timestamp,
+         CAST(ship AS TIMESTAMP) AS transaction_datetime,
+         CAST(CASE WHEN is_business THEN 1 ELSE 0 END AS TINYINT) AS label
+  FROM vol_raw WHERE card_number IS NOT NULL AND transaction_amount_kzt IS NOT NULL
+)"""
+VOLUME_CTES = [VOLUME_CLEAN_TXN, MERCHANTS, ENRICHED, INDICATORS, CARD_AGG]
+
 
 def with_ctes(select: str, extra: list[str] | None = None, base: list[str] | None = None) -> str:
     ctes = list(BASE_CTES if base is None else base) + list(extra or [])

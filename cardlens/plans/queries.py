@@ -381,7 +381,7 @@ q95 AS (
     "mcc_mix_topk",
     O.with_ctes(
         f"""SELECT mcc, count(*) AS total_count, CAST(sum(label) AS BIGINT) AS business_count,
-       count_if(label = 0) AS consumer_count,
+       CAST(count_if(label = 0) AS BIGINT) AS consumer_count,
        CAST(sum(label) AS DOUBLE) / count(*) AS business_share
 FROM clean_txn WHERE mcc IN {O._in(TOP20_MCC)} GROUP BY mcc""",
         base=_CLEAN,
@@ -671,8 +671,10 @@ scored AS (
 ),
 pred AS (SELECT *, CAST(y_proba >= 0.5 AS INTEGER) AS y_pred FROM scored),
 cm AS (
-  SELECT count_if(y_true = 1 AND y_pred = 1) AS tp, count_if(y_true = 0 AND y_pred = 1) AS fp,
-         count_if(y_true = 1 AND y_pred = 0) AS fn, count_if(y_true = 0 AND y_pred = 0) AS tn
+  SELECT CAST(count_if(y_true = 1 AND y_pred = 1) AS BIGINT) AS tp,
+         CAST(count_if(y_true = 0 AND y_pred = 1) AS BIGINT) AS fp,
+         CAST(count_if(y_true = 1 AND y_pred = 0) AS BIGINT) AS fn,
+         CAST(count_if(y_true = 0 AND y_pred = 0) AS BIGINT) AS tn
   FROM pred
 )"""
 
@@ -750,9 +752,9 @@ per AS (
         """SELECT class_name, precision, recall, f1_score, CAST(support AS BIGINT) AS support FROM per
 UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT """ + _P.format(n="tp + tn", d="tp + fp + fn + tn") + """ FROM cm),
   (SELECT tp + fp + fn + tn FROM cm)
-UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM per
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), CAST(sum(support) AS BIGINT) FROM per
 UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-  sum(f1_score * support) / sum(support), sum(support) FROM per""",
+  sum(f1_score * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per""",
         base=[_SCORED, _REPORT],
     ),
 )
@@ -790,3 +792,77 @@ def rank_consumers(spark, sf_dir):
         .select(CARD_ID_COLUMN, F.col("card_b2b_index").alias("score"))
         .orderBy(F.desc("score"), F.asc(CARD_ID_COLUMN))
     )
+
+
+# -- model fits, selection, importance, summary (M2-M9, E5, E6): rows-only checks ----------
+
+_RUNS: dict[tuple[str, str], dict] = {}
+
+
+def model_run(spark: SparkSession, sf_dir: str) -> dict:
+    """Train both candidates once per (application, folder)."""
+    from cardlens.plans.pipeline import train_and_compare
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = train_and_compare(spark, card_features_df(spark, sf_dir))
+    return _RUNS[key]
+
+
+def _scores(spark, sf_dir, name):
+    return model_run(spark, sf_dir)["predictions"][name].select(
+        "card_number", "y_true", "y_pred", "y_proba"
+    )
+
+
+@register("score_logistic")
+def score_logistic(spark, sf_dir):
+    return _scores(spark, sf_dir, "logistic_regression")
+
+
+@register("score_forest")
+def score_forest(spark, sf_dir):
+    return _scores(spark, sf_dir, "random_forest")
+
+
+@register("select_best_model")
+def select_best_model(spark, sf_dir):
+    run = model_run(spark, sf_dir)
+    rows = [
+        (name, m.get("roc_auc"), float(m["f1"]), name == run["best"])
+        for name, m in run["metrics"].items()
+    ]
+    return spark.createDataFrame(rows, "model_name string, roc_auc double, f1 double, is_best boolean")
+
+
+@register("importance_ranked")
+def importance_ranked(spark, sf_dir):
+    return model_run(spark, sf_dir)["importance"]
+
+
+@register("metrics_payload")
+def metrics_payload(spark, sf_dir):
+    from cardlens.plans.pipeline import summary_frame
+
+    return summary_frame(spark, model_run(spark, sf_dir))
+
+
+# -- flagship at volume: one transaction per order line --------------------------------------
+
+
+def volume_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fixtures.volume_sources(spark, sf_dir)
+    return enrich.prepare_transactions(
+        s["business_cards"], s["consumer_cards"], s["merchants_reference"]
+    )
+
+
+@register(
+    "card_features_volume",
+    O.with_ctes(
+        f"SELECT card_number, label, {', '.join(features.CARD_FEATURES)} FROM card_feat",
+        base=O.VOLUME_CTES,
+    ),
+)
+def card_features_volume(spark, sf_dir):
+    return features.build_card_level_features(volume_prepared(spark, sf_dir))

@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     # all timestamps are TIMESTAMP_NTZ; UTC keeps any LTZ step stable
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
