@@ -85,22 +85,51 @@ def bool_expr(df, name: str) -> Column:
     )
 
 
+def datetime_parts(c: Column) -> Column:
+    """Text -> array "y, m, d, H, M, S, frac" (absent parts empty), or null
+    when the text matches neither pattern. One full-match test and one
+    ``regexp_replace`` per pattern; day-first is tried only if year-first
+    failed."""
+    ymd = F.split(F.regexp_replace(c, YMD_RE, "$1,$3,$4,$5,$6,$7,$8"), ",")
+    dmy = F.split(F.regexp_replace(c, DMY_RE, "$4,$3,$1,$5,$6,$7,$8"), ",")
+    return F.when(c.rlike(YMD_RE), ymd).when(c.rlike(DMY_RE), dmy)
+
+
+def timestamp_from_parts(parts: Column) -> Column:
+    """TIMESTAMP_NTZ from :func:`datetime_parts` (invalid dates -> null)."""
+    g = parts.getItem
+    num = lambda i: F.when(g(i) == "", F.lit("0")).otherwise(g(i)).cast("int")
+    secs = F.concat(F.when(g(5) == "", F.lit("0")).otherwise(g(5)), g(6)).cast("decimal(16,6)")
+    return F.try_make_timestamp_ntz(
+        g(0).cast("int"), g(1).cast("int"), g(2).cast("int"), num(3), num(4), secs
+    )
+
+
 def _datetime_from_text(c: Column) -> Column:
-    """Full-match parse of the supported date/datetime texts to TIMESTAMP_NTZ."""
-
-    def build(regex: str, y: int, m: int, d: int) -> Column:
-        g = lambda i: F.regexp_extract(c, regex, i)
-        hour = F.when(g(5) == "", F.lit("0")).otherwise(g(5)).cast("int")
-        minute = F.when(g(6) == "", F.lit("0")).otherwise(g(6)).cast("int")
-        secs = F.concat(F.when(g(7) == "", F.lit("0")).otherwise(g(7)), g(8)).cast(
-            "decimal(16,6)"
-        )
-        ts = F.try_make_timestamp_ntz(
-            g(y).cast("int"), g(m).cast("int"), g(d).cast("int"), hour, minute, secs
-        )
-        return F.when(c.rlike(regex), ts)
+    """Single-expression form (the parts expression is repeated; prefer
+    :func:`with_parsed_datetimes` on large frames)."""
+    return timestamp_from_parts(datetime_parts(c))
+
 
-    return F.coalesce(build(YMD_RE, 1, 3, 4), build(DMY_RE, 4, 3, 1))
+def with_parsed_datetimes(df, specs: dict[str, tuple[str, str]]):
+    """Add/replace columns ``out -> (source column, "date" | "timestamp")``.
+
+    Text sources are parsed in two projections: the parts array is computed
+    once per row in the first, and the second builds the value from it
+    (Catalyst does not inline a non-trivial expression referenced many
+    times, so the regex work is not repeated).
+    """
+    stage1, stage2 = {}, {}
+    for out, (src, kind) in specs.items():
+        if isinstance(_field_type(df, src), T.StringType):
+            tmp = f"_parts_{out}"
+            stage1[tmp] = datetime_parts(F.col(src))
+            ts = timestamp_from_parts(F.col(tmp))
+            stage2[out] = F.to_date(ts) if kind == "date" else ts
+        else:
+            stage2[out] = date_expr(df, src) if kind == "date" else timestamp_expr(df, src)
+    staged = df.withColumns(stage1) if stage1 else df
+    return staged.withColumns(stage2).drop(*stage1)
 
 
 def timestamp_expr(df, name: str) -> Column:
