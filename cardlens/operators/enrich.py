@@ -44,6 +44,18 @@ def combine_transactions(business: DataFrame, consumer: DataFrame) -> DataFrame:
     return b.unionByName(c)
 
 
+def label_by_flag(raw: DataFrame, flag: str, name: str = "transactions") -> DataFrame:
+    """Normalize a source that holds both segments and carries a boolean
+    segment flag (true = business). Same rows and labels as splitting it into
+    two frames and :func:`combine_transactions`, in one pass: the source (and
+    any join that produced it) is computed once."""
+    labelled = raw.withColumn("_segment", F.coalesce(F.col(flag), F.lit(False))).drop(flag)
+    cleaned = normalize_transactions(labelled, name)
+    return cleaned.withColumn(
+        "label", F.when(F.col("_segment"), F.lit(1)).otherwise(F.lit(0)).cast("byte")
+    ).drop("_segment")
+
+
 def merge_merchants(transactions: DataFrame, merchants_reference: DataFrame) -> DataFrame:
     """Left join of transactions to the cleaned merchant dimension.
 

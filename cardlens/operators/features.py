@@ -1,11 +1,24 @@
 """Card-level behaviour features: one row per card from any volume of rows.
 
-The whole build is one ``groupBy(card_number)``: every aggregate is either
-algebraic (count, sum, avg, max, stddev — partial-aggregated map-side, so a
-card holding a third of all rows still shuffles one partial row per task) or
-a bounded-domain set. The merchant count is the only distinct count over an
-unbounded domain; it is planned as Spark's single-distinct two-phase
-aggregate (see :func:`card_aggregates`).
+Plan (no task ever holds a whole card, no Python, no row reaches the driver):
+
+* wide pass — one ``groupBy(card_number)`` of algebraic aggregates only
+  (count, sum, avg, max, stddev, boolean shares): plain hash aggregation with
+  a map-side partial, so a card holding a third of all rows shuffles one
+  partial row per task;
+* narrow pass — the five exact distinct counts over only the six columns they
+  need. Catalyst plans several ``count_distinct`` as ``Expand`` + a two-level
+  aggregate keyed first by ``(card, column, value)``: a hot card is spread
+  over tasks before the per-card count. On narrow rows this is about twice
+  as fast as doing it inside the wide pass, and it needs no per-card sets;
+* median pass — exact median from distinct ``(card, amount)`` counts and
+  range-partitioned running counts
+  (:func:`cardlens.operators.quantiles.group_median_exact`);
+* the three card-level results are joined on the card (sizes ~ #cards).
+
+``median="single_pass"`` puts Spark's ``percentile`` into the wide pass
+instead (one pass fewer, but its final merge holds each card's distinct
+amounts in one task).
 """
 
 from __future__ import annotations
@@ -21,6 +34,7 @@ from cardlens.config import (
 )
 from cardlens.functions.parsing import guarded_ratio, iso_weekday
 from cardlens.operators.clean import require_columns
+from cardlens.operators.quantiles import group_median_exact
 
 FEATURE_REQUIRED_COLUMNS = [
     CARD_ID_COLUMN,
@@ -142,27 +156,36 @@ def distinct_size(c: str) -> Column:
     return F.size(F.collect_set(c)).cast("long")
 
 
-def activity_aggregates() -> list[Column]:
+def activity_aggregates(single_pass_median: bool) -> list[Column]:
     amt = F.col(AMOUNT)
+    median = [F.median(amt).alias("median_amount")] if single_pass_median else []
     return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum(amt).alias("total_amount"),
         F.avg(amt).alias("avg_amount"),
-        F.median(amt).alias("median_amount"),
+        *median,
         nan_skipping_max(amt).alias("max_amount"),
         F.stddev_samp(amt).alias("std_amount"),
-        distinct_size("transaction_date").alias("active_days"),
     ]
 
 
-def diversity_aggregates() -> list[Column]:
-    return [
-        # unbounded domain: exact two-phase distinct (dedup on (card, merchant) first)
-        F.count_distinct("merchant_id").alias("unique_merchants"),
-        distinct_size("mcc").alias("unique_mcc"),
-        distinct_size("country").alias("unique_countries"),
-        distinct_size("merchant_country").alias("unique_merchant_countries"),
-    ]
+# distinct-count feature -> source column (non-null values counted)
+DISTINCT_FEATURES = {
+    "active_days": "transaction_date",
+    "unique_merchants": "merchant_id",
+    "unique_mcc": "mcc",
+    "unique_countries": "country",
+    "unique_merchant_countries": "merchant_country",
+}
+
+
+def distinct_counts(txn: DataFrame, names: list[str]) -> DataFrame:
+    """Exact distinct counts per card from a narrow projection."""
+    cols = [DISTINCT_FEATURES[n] for n in names]
+    narrow = txn.select(CARD_ID_COLUMN, *dict.fromkeys(cols))
+    return narrow.groupBy(CARD_ID_COLUMN).agg(
+        *[F.count_distinct(DISTINCT_FEATURES[n]).alias(n) for n in names]
+    )
 
 
 def share_aggregates(names: list[str]) -> list[Column]:
@@ -200,30 +223,44 @@ def fill_numeric_nulls(df: DataFrame, value: float = 0) -> DataFrame:
     )
 
 
-def card_aggregates(txn: DataFrame, blocks: list[str]) -> DataFrame:
-    """One ``groupBy(card)`` producing the requested feature blocks."""
+def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "distributed") -> DataFrame:
+    """Card-level aggregates for the requested feature blocks (wide pass,
+    plus the narrow distinct and median passes when the blocks need them)."""
+    if median not in ("distributed", "single_pass"):
+        raise ValueError(f"unknown median strategy {median!r}")
     require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
     ind = add_behavior_indicators(txn)
     aggs: list[Column] = [F.max(TARGET_COLUMN).cast("byte").alias(TARGET_COLUMN)]
-    if "activity" in blocks or "ratios" in blocks:
-        aggs += activity_aggregates()
+    with_activity = "activity" in blocks or "ratios" in blocks
+    distinct: list[str] = []
+    if with_activity:
+        aggs += activity_aggregates(median == "single_pass")
+        distinct.append("active_days")
     if "diversity" in blocks or "ratios" in blocks:
-        aggs += diversity_aggregates()
+        distinct += DIVERSITY_FEATURES
     if "channel" in blocks:
         aggs += share_aggregates(CHANNEL_SHARES)
     if "time" in blocks:
         aggs += share_aggregates(TIME_SHARES)
     if "amount" in blocks:
         aggs += share_aggregates(AMOUNT_SHARES)
-    return ind.groupBy(CARD_ID_COLUMN).agg(*aggs)
+    out = ind.groupBy(CARD_ID_COLUMN).agg(*aggs)
+    if distinct:
+        out = out.join(distinct_counts(txn, distinct), CARD_ID_COLUMN, "left")
+    if with_activity and median == "distributed":
+        med = group_median_exact(txn, CARD_ID_COLUMN, AMOUNT, "median_amount")
+        out = out.join(med, CARD_ID_COLUMN, "left")
+    return out
 
 
-def build_card_level_features(txn: DataFrame) -> DataFrame:
+def build_card_level_features(txn: DataFrame, median: str = "distributed") -> DataFrame:
     """All 26 features + label per card, nulls filled with 0.
 
     Not globally sorted: a total order is only imposed at sinks.
     """
-    agg = card_aggregates(txn, ["activity", "diversity", "channel", "time", "amount", "ratios"])
+    agg = card_aggregates(
+        txn, ["activity", "diversity", "channel", "time", "amount", "ratios"], median
+    )
     out = fill_numeric_nulls(agg.withColumns(card_ratios()))
     return out.select(CARD_ID_COLUMN, TARGET_COLUMN, *CARD_FEATURES)
 

@@ -40,3 +40,32 @@ def group_quantile_nearest(
         (F.col("_cum_before") <= F.col("_pos")) & (F.col("_pos") < F.col("_cum_before") + F.col("_cnt"))
     )
     return hit.select(group, F.col("_v").alias(out))
+
+
+def group_median_exact(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
+    """Exact median per group (mean of the two middle values when n is even).
+
+    Same plan as :func:`group_quantile_nearest`: distinct ``(group, value)``
+    counts, then range-partitioned running counts, so no task ever holds a
+    whole group. NaN sorts above every number (as in Spark's ordering); only
+    nulls are skipped.
+    """
+    vals = df.select(group, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    counts = vals.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = ordered_cumulative(counts, [group], "_v", "_cnt")
+    n = cum.groupBy(group).agg(F.sum("_cnt").alias("_n"))
+    targets = n.select(
+        group,
+        F.floor((F.col("_n") - 1) / 2).cast("long").alias("_lo"),
+        F.ceil((F.col("_n") - 1) / 2).cast("long").alias("_hi"),
+    )
+
+    def covers(pos: str):
+        return (F.col("_cum_before") <= F.col(pos)) & (F.col(pos) < F.col("_cum"))
+
+    hits = cum.join(targets, group).filter(covers("_lo") | covers("_hi"))
+    mid = hits.groupBy(group).agg(
+        F.max(F.when(covers("_lo"), F.col("_v"))).alias("_v_lo"),
+        F.max(F.when(covers("_hi"), F.col("_v"))).alias("_v_hi"),
+    )
+    return mid.select(group, (F.col("_v_lo") * 0.5 + F.col("_v_hi") * 0.5).alias(out))

@@ -851,10 +851,16 @@ def metrics_payload(spark, sf_dir):
 
 
 def volume_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = fixtures.volume_sources(spark, sf_dir)
-    return enrich.prepare_transactions(
-        s["business_cards"], s["consumer_cards"], s["merchants_reference"]
+    """Order lines labelled by customer segment in one pass (the fact join is
+    computed once, not once per segment)."""
+    raw = fixtures.volume_transactions(
+        table(spark, sf_dir, "lineitem"),
+        table(spark, sf_dir, "orders"),
+        table(spark, sf_dir, "customer"),
+        table(spark, sf_dir, "part"),
     )
+    merchants = fixtures.merchants_reference(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"))
+    return enrich.merge_merchants(enrich.label_by_flag(raw, "is_business", "order_lines"), merchants)
 
 
 @register(

@@ -80,3 +80,10 @@ def test_invariant_under_repartition(spark):
                 assert math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-12) or (math.isnan(x) and math.isnan(y))
             else:
                 assert x == y
+
+
+def test_median_strategies_agree(spark):
+    _, txn = _features(spark, [ROWS[4]], ROWS)
+    a = {r.card_number: r.median_amount for r in build_card_level_features(txn).collect()}
+    b = {r.card_number: r.median_amount for r in build_card_level_features(txn, median="single_pass").collect()}
+    assert a == b and a["zero"] == 0.0 and a["both"] == 55.0

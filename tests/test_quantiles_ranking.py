@@ -44,3 +44,17 @@ def test_global_cumulative(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("o"), F.lit(2).cast("long").alias("w"))
     got = sorted((r.o, r._cum) for r in ordered_cumulative(df, [], "o", "w", 6).collect())
     assert [c for _, c in got] == [2 * (i + 1) for i in range(100)]
+
+
+def test_exact_median_matches_spark_percentile_with_hot_group(spark):
+    from cardlens.operators.quantiles import group_median_exact
+
+    rnd = random.Random(11)
+    rows = [("hot", float(rnd.randint(0, 300))) for _ in range(2001)]
+    rows += [(f"g{i % 30}", float(rnd.randint(-20, 20))) for i in range(900)]
+    rows += [("pair", 1.0), ("pair", 4.0), ("single", 7.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.m for r in group_median_exact(df, "g", "v", "m").collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect() if r.m is not None}
+    assert got == want
+    assert got["pair"] == 2.5 and got["single"] == 7.0 and "nulls" not in got
