@@ -253,11 +253,22 @@ def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "distribute
     return out
 
 
-def build_card_level_features(txn: DataFrame, median: str = "distributed") -> DataFrame:
+def build_card_level_features(
+    txn: DataFrame, median: str = "distributed", materialize_input: bool = True
+) -> DataFrame:
     """All 26 features + label per card, nulls filled with 0.
 
-    Not globally sorted: a total order is only imposed at sinks.
+    The prepared transactions feed three passes; by default the columns they
+    need are written once as a parquet table under the checkpoint folder
+    (:func:`cardlens.operators.materialize.materialize`) so the upstream
+    cleaning and joins run once. Not globally sorted: a total order is only
+    imposed at sinks.
     """
+    if materialize_input:
+        from cardlens.operators.materialize import materialize
+
+        require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
+        txn = materialize(txn.select(*FEATURE_REQUIRED_COLUMNS), "prepared-transactions")
     agg = card_aggregates(
         txn, ["activity", "diversity", "channel", "time", "amount", "ratios"], median
     )
@@ -275,7 +286,7 @@ def card_feature_block(txn: DataFrame, block: str) -> DataFrame:
         "amount": AMOUNT_SHARES,
         "ratios": RATIO_FEATURES,
     }[block]
-    agg = card_aggregates(txn, [block])
+    agg = card_aggregates(txn, [block])  # one or two passes: no materialization
     if block == "ratios":
         agg = agg.withColumns(card_ratios())
     return fill_numeric_nulls(agg).select(CARD_ID_COLUMN, TARGET_COLUMN, *cols)

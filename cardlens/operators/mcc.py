@@ -20,6 +20,7 @@ from cardlens.config import (
 )
 from cardlens.operators.features import fill_numeric_nulls, nan_skipping_max
 from cardlens.operators.joins import join_dimension
+from cardlens.operators.materialize import materialize
 from cardlens.operators.quantiles import group_quantile_nearest
 
 AMOUNT = "transaction_amount_kzt"
@@ -98,8 +99,15 @@ def card_b2b_index(weighted: DataFrame) -> DataFrame:
     )
 
 
+# columns the per-card MCC families read (the input is written once as
+# parquet because each family reads it three times: weights, card pass, q95)
+_MCC_INPUT = [CARD_ID_COLUMN, TARGET_COLUMN, AMOUNT, "mcc"]
+_EXT_INPUT = _MCC_INPUT + ["transaction_timestamp", "channel", "Is_recurring"]
+
+
 def household_features(txn: DataFrame) -> DataFrame:
     """Amount profile + (leaky) B2B index + household-MCC amounts per card."""
+    txn = materialize(txn.select(*_MCC_INPUT), "mcc-input")
     weighted = attach_weights(txn, mcc_weights(txn))
     cards = weighted.groupBy(CARD_ID_COLUMN).agg(
         F.max(TARGET_COLUMN).alias(TARGET_COLUMN),
@@ -131,6 +139,7 @@ def extended_aggregates(weight: Column) -> list[Column]:
 
 def extended_features(txn: DataFrame) -> DataFrame:
     """Money + time + channel features per card with the (leaky) B2B index."""
+    txn = materialize(txn.select(*_EXT_INPUT), "mcc-input")
     weighted = attach_weights(txn, mcc_weights(txn))
     cards = weighted.groupBy(CARD_ID_COLUMN).agg(*extended_aggregates(F.col("mcc_b2b_weight")))
     return fill_numeric_nulls(with_q95(cards, txn))
@@ -142,6 +151,8 @@ def safe_features(train_txn: DataFrame, test_txn: DataFrame) -> tuple[DataFrame,
     Before aggregating, a missing weight (MCC unseen in training, or null MCC)
     and a missing amount count as 0.0.
     """
+    train_txn = materialize(train_txn.select(*_EXT_INPUT), "train-input")
+    test_txn = materialize(test_txn.select(*_EXT_INPUT), "test-input")
     weights = mcc_weights(train_txn)
 
     def aggregate(txn: DataFrame) -> DataFrame:

@@ -653,9 +653,10 @@ def _standardize_sql() -> str:
 
 @register("standardize_features", _standardize_sql())
 def standardize_features(spark, sf_dir):
+    from cardlens.operators.materialize import materialize
     from cardlens.operators.model import standardize
 
-    cards = card_features_df(spark, sf_dir)
+    cards = materialize(card_features_df(spark, sf_dir), "card-features")
     train, _, cols = split.split_train_test(cards)
     return standardize(cards, train, cols).select(CARD_ID_COLUMN, "label", *cols)
 
@@ -803,9 +804,12 @@ def model_run(spark: SparkSession, sf_dir: str) -> dict:
     """Train both candidates once per (application, folder)."""
     from cardlens.plans.pipeline import train_and_compare
 
+    from cardlens.operators.materialize import materialize
+
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        _RUNS[key] = train_and_compare(spark, card_features_df(spark, sf_dir))
+        cards = materialize(card_features_df(spark, sf_dir), "card-features")
+        _RUNS[key] = train_and_compare(spark, cards)
     return _RUNS[key]
 
 
