@@ -1,0 +1,7 @@
+"""Streaming.
+
+The card pipeline this library reproduces is batch only: it has no stream
+source, watermark, window or state. Nothing here is a streaming operator;
+every query runs as a batch plan. (A continuously arriving transaction feed
+would be handled by re-running the batch feature build per day/partition.)
+"""
