@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions.parsing import iso_weekday, timestamp_expr
+from cardlens.operators.joins import join_dimension
 
 
 def prototype_time_features(
@@ -28,8 +29,8 @@ def prototype_time_features(
             if c != "merchant_id"
         ],
     )
-    df = txn.withColumn("merchant_id", F.col("merchant_id").cast("string")).join(
-        dim, "merchant_id", "left"
+    df = join_dimension(
+        txn.withColumn("merchant_id", F.col("merchant_id").cast("string")), dim, "merchant_id", "left"
     )
     df = df.withColumn("dt", timestamp_expr(df, "transaction_timestamp"))
     df = df.withColumns({"hour": F.hour("dt"), "dayofweek": iso_weekday(F.col("dt"))})

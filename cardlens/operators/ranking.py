@@ -24,10 +24,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def ordered_cumulative(
     df: DataFrame,
     keys: list[str],
@@ -40,8 +36,14 @@ def ordered_cumulative(
 
     ``df`` must hold one row per ``(keys, order)`` value (pre-aggregate first).
     """
-    n = num_partitions or _shuffle_partitions(df)
-    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], F.col(order))
+    sort_cols = [*[F.col(k).asc_nulls_first() for k in keys], F.col(order)]
+    # Without an explicit count AQE may coalesce adjacent ranges; coalesced
+    # partitions are still contiguous and in order, which is all we need.
+    ranged = (
+        df.repartitionByRange(num_partitions, *sort_cols)
+        if num_partitions
+        else df.repartitionByRange(*sort_cols)
+    )
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint()
 
     block = ["_pid", *keys]

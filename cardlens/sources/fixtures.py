@@ -32,61 +32,54 @@ CHANNEL_TEXT = {"click": "ONLINE", "view": "online", "purchase": "Offline", "sig
 BUSINESS_SEGMENTS = ("BUILDING", "MACHINERY")
 
 
-def _cycle(index: Column, values) -> Column:
-    out = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        out = F.when(index == i, lit) if out is None else out.when(index == i, lit)
-    return out
+def _sql_text(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
-def _event_mcc(k: Column) -> Column:
+def _cycle_sql(index: str, values) -> str:
+    """CASE over an index picking one of ``values`` (as text)."""
+    whens = " ".join(f"WHEN {i} THEN {_sql_text(v)}" for i, v in enumerate(values))
+    return f"CASE {index} {whens} END"
+
+
+def _event_mcc_sql(k: str) -> str:
     """Integer MCC from the event's props key: household codes, else a top-20 code."""
-    top = None
-    for i, code in enumerate(TOP20_MCC):
-        top = F.when(k % 20 == i, F.lit(int(code))) if top is None else top.when(
-            k % 20 == i, F.lit(int(code))
-        )
+    top = " ".join(f"WHEN {i} THEN {int(code)}" for i, code in enumerate(TOP20_MCC))
     return (
-        F.when(k % 10 == 0, F.lit(int(MCC_SUPERMARKET)))
-        .when(k % 10 == 1, F.lit(int(MCC_RESTAURANT)))
-        .when(k % 10 == 2, F.lit(int(MCC_TAXI)))
-        .otherwise(top)
+        f"CASE WHEN {k} % 10 = 0 THEN {int(MCC_SUPERMARKET)} "
+        f"WHEN {k} % 10 = 1 THEN {int(MCC_RESTAURANT)} "
+        f"WHEN {k} % 10 = 2 THEN {int(MCC_TAXI)} "
+        f"ELSE CASE {k} % 20 {top} END END"
     )
 
 
+_CHANNEL_SQL = "CASE event_type " + " ".join(
+    f"WHEN {_sql_text(ev)} THEN {_sql_text(t)}" for ev, t in CHANNEL_TEXT.items()
+) + " END"
+
+# one Spark SQL expression per raw column (parsed once on the JVM)
+_EVENT_COLUMNS = [
+    "event_id AS transaction_id",
+    "user_id AS card_number",
+    "value * 200 AS transaction_amount_kzt",
+    "CASE WHEN event_type <> 'error' THEN regexp_extract(props, '[0-9]+', 0) END AS merchant_id",
+    _event_mcc_sql("try_cast(regexp_extract(props, '[0-9]+', 0) AS INT)") + " AS mcc",
+    _CHANNEL_SQL + " AS channel",
+    "CASE WHEN event_id % 3 = 0 THEN date_format(ts, 'dd/MM/yyyy') "
+    "ELSE date_format(ts, 'yyyy-MM-dd') END AS transaction_date",
+    "CASE WHEN event_type <> 'error' THEN CASE WHEN event_id % 2 = 0 "
+    "THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') "
+    "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") END END AS transaction_timestamp",
+    "CASE WHEN event_id % 11 <> 0 THEN concat('C', CAST(user_id % 7 AS STRING)) END AS country",
+    _cycle_sql("event_id % 8", FLAG_TEXTS) + " AS tokenized",
+    _cycle_sql("(event_id + 3) % 8", FLAG_TEXTS) + " AS Is_recurring",
+    "user_id % 4 = 0 AS is_business",
+]
+
+
 def event_transactions(events: DataFrame) -> DataFrame:
     """Raw (uncleaned) transactions, one per event, plus ``is_business``."""
-    k_text = F.regexp_extract("props", "[0-9]+", 0)
-    k = k_text.try_cast("int")
-    eid = F.col("event_id")
-    channel = None
-    for ev, text in CHANNEL_TEXT.items():
-        cond = F.col("event_type") == ev
-        channel = F.when(cond, F.lit(text)) if channel is None else channel.when(cond, F.lit(text))
-    return events.select(
-        eid.alias("transaction_id"),
-        F.col("user_id").alias("card_number"),
-        (F.col("value") * 200).alias("transaction_amount_kzt"),
-        F.when(F.col("event_type") != "error", k_text).alias("merchant_id"),
-        _event_mcc(k).alias("mcc"),
-        channel.alias("channel"),
-        F.when(eid % 3 == 0, F.date_format("ts", "dd/MM/yyyy"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd"))
-        .alias("transaction_date"),
-        F.when(
-            F.col("event_type") != "error",
-            F.when(eid % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(
-                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-            ),
-        ).alias("transaction_timestamp"),
-        F.when(eid % 11 != 0, F.concat(F.lit("C"), (F.col("user_id") % 7).cast("string"))).alias(
-            "country"
-        ),
-        _cycle(eid % 8, FLAG_TEXTS).alias("tokenized"),
-        _cycle((eid + 3) % 8, FLAG_TEXTS).alias("Is_recurring"),
-        (F.col("user_id") % 4 == 0).alias("is_business"),
-    )
+    return events.selectExpr(*_EVENT_COLUMNS)
 
 
 def split_segments(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
