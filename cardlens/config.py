@@ -69,5 +69,9 @@ TOP_FEATURES_IN_SUMMARY = 15
 # ---------------------------------------------------------------------------
 # Number of hash buckets of the card split (bucket < TEST_SIZE * buckets -> test).
 SPLIT_BUCKETS = 1000
+# Largest card (rows) whose exact median may be computed by one task with
+# Spark's percentile aggregate (its state is <= that many value counts);
+# above it the range-partitioned distributed median is used.
+MEDIAN_SINGLE_TASK_MAX_ROWS = 2_000_000
 # RandomForest depth cap: Spark ML trees need a finite maxDepth (<= 30).
 RF_MAX_DEPTH = 12

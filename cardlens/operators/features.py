@@ -11,14 +11,19 @@ Plan (no task ever holds a whole card, no Python, no row reaches the driver):
   aggregate keyed first by ``(card, column, value)``: a hot card is spread
   over tasks before the per-card count. On narrow rows this is about twice
   as fast as doing it inside the wide pass, and it needs no per-card sets;
-* median pass — exact median from distinct ``(card, amount)`` counts and
-  range-partitioned running counts
-  (:func:`cardlens.operators.quantiles.group_median_exact`);
-* the three card-level results are joined on the card (sizes ~ #cards).
-
-``median="single_pass"`` puts Spark's ``percentile`` into the wide pass
-instead (one pass fewer, but its final merge holds each card's distinct
-amounts in one task).
+* median pass — exact median over ``(card, amount)`` only. The plan is
+  chosen from a measured bound (``median="auto"``): the wide pass already
+  counts each card's rows, so when the largest card has at most
+  ``MEDIAN_SINGLE_TASK_MAX_ROWS`` rows a narrow ``groupBy(card).median`` is
+  used (per-task state provably bounded by that many values); otherwise the
+  distributed plan — distinct ``(card, amount)`` counts and range-partitioned
+  running counts (:func:`cardlens.operators.quantiles.group_median_exact`) —
+  so a card with a third of all rows is split across tasks;
+* the card-level results are joined on the card (sizes ~ #cards).
+
+``median="distributed"`` / ``"grouped"`` force a plan; ``"single_pass"`` puts
+Spark's ``percentile`` into the wide pass (one pass fewer, unbounded state
+for a hot card).
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from cardlens.config import (
     CARD_ID_COLUMN,
     LARGE_TRANSACTION_AMOUNT,
+    MEDIAN_SINGLE_TASK_MAX_ROWS,
     SMALL_TRANSACTION_AMOUNT,
     TARGET_COLUMN,
 )
@@ -223,10 +229,23 @@ def fill_numeric_nulls(df: DataFrame, value: float = 0) -> DataFrame:
     )
 
 
-def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "distributed") -> DataFrame:
+MEDIAN_STRATEGIES = ("auto", "grouped", "distributed", "single_pass")
+
+
+def card_median(txn: DataFrame, strategy: str, max_card_rows: int | None = None) -> DataFrame:
+    """Exact per-card median of the amount (``card_number, median_amount``)."""
+    if strategy == "auto":
+        limit = MEDIAN_SINGLE_TASK_MAX_ROWS
+        strategy = "grouped" if max_card_rows is not None and max_card_rows <= limit else "distributed"
+    if strategy == "grouped":
+        return txn.groupBy(CARD_ID_COLUMN).agg(F.median(AMOUNT).alias("median_amount"))
+    return group_median_exact(txn, CARD_ID_COLUMN, AMOUNT, "median_amount")
+
+
+def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") -> DataFrame:
     """Card-level aggregates for the requested feature blocks (wide pass,
     plus the narrow distinct and median passes when the blocks need them)."""
-    if median not in ("distributed", "single_pass"):
+    if median not in MEDIAN_STRATEGIES:
         raise ValueError(f"unknown median strategy {median!r}")
     require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
     ind = add_behavior_indicators(txn)
@@ -245,16 +264,23 @@ def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "distribute
     if "amount" in blocks:
         aggs += share_aggregates(AMOUNT_SHARES)
     out = ind.groupBy(CARD_ID_COLUMN).agg(*aggs)
+    max_card_rows = None
+    if with_activity and median == "auto":
+        # card-level rows are small: write them once, then read the largest
+        # card's row count (one number to the driver) to pick the median plan
+        from cardlens.operators.materialize import materialize
+
+        out = materialize(out, "card-wide")
+        max_card_rows = out.agg(F.max("total_transactions")).first()[0] or 0
     if distinct:
         out = out.join(distinct_counts(txn, distinct), CARD_ID_COLUMN, "left")
-    if with_activity and median == "distributed":
-        med = group_median_exact(txn, CARD_ID_COLUMN, AMOUNT, "median_amount")
-        out = out.join(med, CARD_ID_COLUMN, "left")
+    if with_activity and median != "single_pass":
+        out = out.join(card_median(txn, median, max_card_rows), CARD_ID_COLUMN, "left")
     return out
 
 
 def build_card_level_features(
-    txn: DataFrame, median: str = "distributed", materialize_input: bool = True
+    txn: DataFrame, median: str = "auto", materialize_input: bool = True
 ) -> DataFrame:
     """All 26 features + label per card, nulls filled with 0.
 

@@ -84,6 +84,10 @@ def test_invariant_under_repartition(spark):
 
 def test_median_strategies_agree(spark):
     _, txn = _features(spark, [ROWS[4]], ROWS)
-    a = {r.card_number: r.median_amount for r in build_card_level_features(txn).collect()}
-    b = {r.card_number: r.median_amount for r in build_card_level_features(txn, median="single_pass").collect()}
-    assert a == b and a["zero"] == 0.0 and a["both"] == 10.0 and a["solo"] == 100.0
+    got = {
+        m: {r.card_number: r.median_amount for r in build_card_level_features(txn, median=m).collect()}
+        for m in ("auto", "grouped", "distributed", "single_pass")
+    }
+    a = got["auto"]
+    assert all(g == a for g in got.values())
+    assert a["zero"] == 0.0 and a["both"] == 10.0 and a["solo"] == 100.0
