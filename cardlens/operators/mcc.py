@@ -84,8 +84,13 @@ def household_aggregates() -> list[Column]:
 
 
 def with_q95(cards: DataFrame, txn: DataFrame, out: str = "global_quantile_95") -> DataFrame:
-    q = group_quantile_nearest(txn, CARD_ID_COLUMN, AMOUNT, 0.95, out)
-    return cards.join(q, CARD_ID_COLUMN, "left")
+    """Join the per-card nearest-rank q95 to a card frame that carries
+    ``_rows`` (rows per card): the card frame is written once, the largest
+    card's row count picks the quantile plan, and ``_rows`` is dropped."""
+    cards = materialize(cards, "card-level")
+    bound = cards.agg(F.max("_rows")).first()[0] or 0
+    q = group_quantile_nearest(txn, CARD_ID_COLUMN, AMOUNT, 0.95, out, max_group_rows=bound)
+    return cards.drop("_rows").join(q, CARD_ID_COLUMN, "left")
 
 
 def card_amount_q95(txn: DataFrame) -> DataFrame:
@@ -115,6 +120,7 @@ def household_features(txn: DataFrame) -> DataFrame:
         F.avg(AMOUNT).alias("global_mean_amount"),
         F.avg("mcc_b2b_weight").alias("card_b2b_index"),
         *household_aggregates(),
+        F.count(F.lit(1)).alias("_rows"),
     )
     return fill_numeric_nulls(with_q95(cards, txn))
 
@@ -134,6 +140,7 @@ def extended_aggregates(weight: Column) -> list[Column]:
         _hour_share(hour, 9, 18).alias("working_hours_share"),
         F.avg((F.col("channel") == "online").cast("double")).alias("online_share"),
         F.avg((F.col("Is_recurring") == F.lit(True)).cast("double")).alias("recurring_share"),
+        F.count(F.lit(1)).alias("_rows"),
     ]
 
 

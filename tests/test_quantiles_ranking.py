@@ -58,3 +58,12 @@ def test_exact_median_matches_spark_percentile_with_hot_group(spark):
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect() if r.m is not None}
     assert got == want
     assert got["pair"] == 2.5 and got["single"] == 7.0 and "nulls" not in got
+
+
+def test_quantile_plans_agree(spark):
+    rnd = random.Random(5)
+    rows = [(f"g{i % 25}", float(rnd.randint(0, 99))) for i in range(2000)] + [("hot", float(i % 313)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    windowed = {r.g: r.q for r in group_quantile_nearest(df, "g", "v", 0.95, "q", max_group_rows=3000).collect()}
+    ranged = {r.g: r.q for r in group_quantile_nearest(df, "g", "v", 0.95, "q").collect()}
+    assert windowed == ranged and len(windowed) == 26
