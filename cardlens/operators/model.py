@@ -47,23 +47,27 @@ def with_class_weights(train: DataFrame, target: str = TARGET_COLUMN) -> DataFra
     return train.join(F.broadcast(w), target, "left")
 
 
+def fit_standardizer(fitted_on: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
+    """Mean and population std per column: one aggregate, 2 x len(cols)
+    scalars to the driver (the fitted model, as a scaler's fit produces)."""
+    row = fitted_on.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in cols],
+        *[F.stddev_pop(c).alias(f"s_{c}") for c in cols],
+    ).first()
+    return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in cols}
+
+
 def standardize(df: DataFrame, fitted_on: DataFrame, cols: list[str]) -> DataFrame:
-    """z = (x - mean) / population std, stats from ``fitted_on``; a zero std
-    leaves the centred value (scale 1)."""
-    stats = fitted_on.agg(
-        *[F.avg(c).alias(f"_m_{c}") for c in cols],
-        *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols],
-    ).withColumn("_one", F.lit(1))
-    # one-row statistics frame: broadcast equi-join on a constant key
-    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(stats), "_one")
-    z = {
-        c: (F.col(c) - F.col(f"_m_{c}"))
-        / F.when((F.col(f"_s_{c}") == 0) | F.col(f"_s_{c}").isNull(), F.lit(1.0)).otherwise(
-            F.col(f"_s_{c}")
-        )
-        for c in cols
-    }
-    return joined.withColumns(z).select(*df.columns)
+    """z = (x - mean) / population std, statistics fitted on ``fitted_on``; a
+    zero (or undefined) std leaves the centred value (scale 1)."""
+    stats = fit_standardizer(fitted_on, cols)
+
+    def z(c: str):
+        mean, std = stats[c]
+        scale = 1.0 if not std else float(std)
+        return (F.col(c) - F.lit(mean).cast("double")) / F.lit(scale)
+
+    return df.withColumns({c: z(c) for c in cols})
 
 
 def _features_stage(cols: list[str]):
