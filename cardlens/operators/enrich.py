@@ -33,6 +33,30 @@ def dedup_keep_first(df: DataFrame, key: str, order: list[str] | None = None) ->
     return first.select(key, *[F.col(f"_first._v_{c}").alias(c) for c in others])
 
 
+def concat_strict(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Vertical concat that requires identical schemas (names, order, types).
+
+    Plan-time check only; raises ``ValueError`` naming the first difference.
+    """
+    want = [(f.name, f.dataType.simpleString()) for f in first.schema.fields]
+    out = first
+    for i, df in enumerate(others, start=1):
+        got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+        if got != want:
+            diff = next(
+                (f"{a} vs {b}" for a, b in zip(want, got) if a != b),
+                f"{len(want)} vs {len(got)} columns",
+            )
+            raise ValueError(f"frame {i} does not match the first frame's schema: {diff}")
+        out = out.union(df)
+    return out
+
+
+def frame_shape(df: DataFrame) -> tuple[int, int]:
+    """(rows, columns): one count job, the column count is plan-time."""
+    return df.count(), len(df.columns)
+
+
 def combine_transactions(business: DataFrame, consumer: DataFrame) -> DataFrame:
     """Normalize both segments, label them (business=1, consumer=0), union.
 

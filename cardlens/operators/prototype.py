@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions.parsing import iso_weekday, timestamp_expr
+from cardlens.operators.enrich import concat_strict
 from cardlens.operators.joins import join_dimension
 
 
@@ -20,7 +21,7 @@ def prototype_time_features(
 ) -> DataFrame:
     bus = business.withColumn("target", F.lit(1))
     con = consumer.withColumn("target", F.lit(0))
-    txn = bus.unionByName(con)
+    txn = concat_strict(bus, con)
     dim = merchants.select(
         F.col("merchant_id").cast("string").alias("merchant_id"),
         *[

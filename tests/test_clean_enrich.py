@@ -74,3 +74,15 @@ def test_union_labels_and_mismatched_columns(spark):
     assert out == {"1": 1, "2": 0}
     with pytest.raises(Exception):
         combine_transactions(b.withColumn("extra", F.lit(1)), c).collect()
+
+
+def test_concat_strict_and_shape(spark):
+    from cardlens.operators.enrich import concat_strict, frame_shape
+
+    a = spark.createDataFrame([(1, "x")], "id long, s string")
+    b = spark.createDataFrame([(2, "y")], "id long, s string")
+    assert frame_shape(concat_strict(a, b)) == (2, 2)
+    with pytest.raises(ValueError, match="does not match"):
+        concat_strict(a, spark.createDataFrame([(2, 1.0)], "id long, s double"))
+    with pytest.raises(ValueError):
+        concat_strict(a, spark.createDataFrame([("y", 2)], "s string, id long"))
