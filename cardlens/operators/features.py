@@ -151,17 +151,6 @@ def nan_skipping_max(c: Column) -> Column:
     return F.max(F.nanvl(c, F.lit(None).cast("double")))
 
 
-def distinct_size(c: str) -> Column:
-    """Number of distinct non-null values of a bounded-domain column.
-
-    Used for dates, MCC codes and countries, whose domains are small by nature
-    (days of history, <=10,000 four-digit codes, ~250 countries), so the per-card
-    set is bounded whatever the card's row count. Avoids Catalyst's ``Expand``
-    rewrite, which multiplies every row by the number of distinct columns.
-    """
-    return F.size(F.collect_set(c)).cast("long")
-
-
 def activity_aggregates(single_pass_median: bool) -> list[Column]:
     amt = F.col(AMOUNT)
     median = [F.median(amt).alias("median_amount")] if single_pass_median else []

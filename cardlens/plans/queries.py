@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.config import CARD_ID_COLUMN
-from cardlens.operators import clean, enrich, features
+from cardlens.config import CARD_ID_COLUMN, RANDOM_STATE, SPLIT_BUCKETS, TEST_SIZE, TOP20_MCC
+from cardlens.operators import clean, enrich, evaluate, features, mcc, split
 from cardlens.plans import oracle as O
 from cardlens.sources import fixtures
 from cardlens.sources.tables import table
@@ -351,8 +351,6 @@ def card_features(spark, sf_dir):
 
 # -- exploratory MCC family (G1-G11, J3, J4) -------------------------------------------
 
-from cardlens.operators import evaluate, mcc, split  # noqa: E402
-from cardlens.config import SPLIT_BUCKETS, TEST_SIZE, RANDOM_STATE, TOP20_MCC  # noqa: E402
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

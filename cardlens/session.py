@@ -1,8 +1,8 @@
 """SparkSession helpers.
 
-On a cluster the session comes from ``spark-submit`` and its settings win:
-``builder`` only fills what is unset. Local tests and the bench call
-:func:`get_session` with a master URL.
+On a cluster the session comes from ``spark-submit`` and its settings are
+used untouched. Local tests and the bench call :func:`get_session` with a
+master URL, which applies :data:`DEFAULT_CONF`.
 """
 
 from __future__ import annotations
@@ -33,17 +33,25 @@ def get_session(
     app_name: str = "cardlens",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
+    """Session for this library.
+
+    Without ``master`` (spark-submit on a cluster) the existing/submitted
+    configuration is used as is — size shuffle partitions, AQE advisory size
+    and ``spark.checkpoint.dir`` there. With ``master`` (local runs, tests,
+    the bench) :data:`DEFAULT_CONF` plus ``extra_conf`` are applied.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for key, value in conf.items():
-        builder = builder.config(key, value)
+        conf = dict(DEFAULT_CONF)
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf.update(extra_conf or {})
+        for key, value in conf.items():
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
