@@ -90,3 +90,11 @@ def test_end_to_end_pipeline(spark):
     summary = spark.read.json(f"{out_dir}/metrics/metrics.json").first()
     assert summary.best_model == run["best"] and summary.feature_count == 26
     assert len(summary.top_features) == 15
+
+
+def test_pipeline_missing_sources_exit_code(spark, capsys):
+    from cardlens.plans.pipeline import main
+
+    d = tempfile.mkdtemp(prefix="cardlens-empty-")
+    assert main(["pipeline.py", d, d + "/out"]) == 1
+    assert "Missing files" in capsys.readouterr().err
