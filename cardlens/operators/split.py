@@ -32,6 +32,37 @@ def assign_split(
     return cards.withColumn("split_bucket", b).withColumn("is_test", F.col("split_bucket") < cut)
 
 
+def assign_split_exact(
+    cards: DataFrame, test_size: float = TEST_SIZE, seed: int = RANDOM_STATE
+) -> DataFrame:
+    """Exactly ``round(test_size * n_c)`` test cards in every class c.
+
+    Cards are ordered within their class by (md5 hash, card) and the first
+    ones form the test set. The rank comes from the range-partitioned running
+    count (:func:`cardlens.operators.ranking.ordered_cumulative`), not a
+    ``row_number`` over the label, which would put each class — half the data
+    or more — into one task.
+    """
+    from cardlens.operators.ranking import ordered_cumulative
+
+    digest = F.md5(F.concat(F.col(CARD_ID_COLUMN).cast("string"), F.lit(f":{seed}")))
+    keyed = cards.select(
+        CARD_ID_COLUMN,
+        TARGET_COLUMN,
+        F.concat(digest, F.lit("|"), F.col(CARD_ID_COLUMN).cast("string")).alias("_order"),
+        F.lit(1).cast("long").alias("_one"),
+    )
+    ranked = ordered_cumulative(keyed, [TARGET_COLUMN], "_order", "_one")
+    per_class = cards.groupBy(TARGET_COLUMN).agg(F.count(F.lit(1)).alias("_n"))  # one row per class
+    cut = per_class.select(
+        TARGET_COLUMN, F.round(F.col("_n") * F.lit(float(test_size))).cast("long").alias("_cut")
+    )
+    flags = ranked.join(F.broadcast(cut), TARGET_COLUMN).select(
+        CARD_ID_COLUMN, (F.col("_cum_before") < F.col("_cut")).alias("is_test")
+    )
+    return cards.join(flags, CARD_ID_COLUMN)
+
+
 def feature_columns(cards: DataFrame) -> list[str]:
     """Model inputs: every column except the card id, the label and split tags."""
     excluded = {CARD_ID_COLUMN, TARGET_COLUMN, "split_bucket", "is_test"}

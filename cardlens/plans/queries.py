@@ -614,6 +614,24 @@ def split_stratified(spark, sf_dir):
     return split.assign_split(cards).select(CARD_ID_COLUMN, "label", "split_bucket", "is_test")
 
 
+@register(
+    "split_stratified_exact",
+    O.with_ctes(
+        f"""SELECT card_number, label, pos < CAST(round(n * CAST({TEST_SIZE} AS DOUBLE)) AS BIGINT) AS is_test
+FROM (SELECT card_number, label,
+             row_number() OVER (PARTITION BY label
+                                ORDER BY md5(card_number || ':{RANDOM_STATE}') || '|' || card_number) - 1 AS pos,
+             count(*) OVER (PARTITION BY label) AS n
+      FROM card_feat)"""
+    ),
+)
+def split_stratified_exact(spark, sf_dir):
+    from cardlens.operators.materialize import materialize
+
+    cards = materialize(card_features_df(spark, sf_dir), "card-features")
+    return split.assign_split_exact(cards).select(CARD_ID_COLUMN, "label", "is_test")
+
+
 _TRAIN_CARDS = f"""
 train_cards AS (SELECT * FROM card_feat WHERE {_bucket_sql('card_number')} >= {_TEST_CUT})"""
 

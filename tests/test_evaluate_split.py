@@ -60,3 +60,20 @@ def test_split_disjoint_complete_stable(spark):
         ids = [c for c in a if (int(c) % 3 == 0) == bool(lab)]
         s = sum(a[c] for c in ids) / len(ids)
         assert 0.16 < s < 0.24
+
+
+def test_exact_stratified_split(spark):
+    from cardlens.operators.split import assign_split_exact
+
+    cards = spark.range(2003).select(
+        F.col("id").cast("string").alias("card_number"), (F.col("id") % 7 == 0).cast("int").alias("label")
+    )
+    out = assign_split_exact(cards)
+    rows = out.collect()
+    assert len(rows) == 2003 and len({r.card_number for r in rows}) == 2003
+    for lab in (0, 1):
+        n = sum(1 for r in rows if r.label == lab)
+        t = sum(1 for r in rows if r.label == lab and r.is_test)
+        assert t == round(0.2 * n)
+    again = {r.card_number: r.is_test for r in assign_split_exact(cards.repartition(5)).collect()}
+    assert again == {r.card_number: r.is_test for r in rows}
