@@ -47,21 +47,34 @@ def row_width_estimate(df: DataFrame) -> int:
     return max(8, width)
 
 
+def measured_bytes(dim: DataFrame) -> int:
+    """One aggregate over the dimension: rows x fixed-width columns plus the
+    actual bytes of its string columns."""
+    strings = [f.name for f in dim.schema.fields if f.dataType.typeName() == "string"]
+    fixed = row_width_estimate(dim.drop(*strings)) if len(strings) < len(dim.columns) else 0
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if strings:
+        total = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(0))
+        aggs.append(F.sum(total).alias("text_bytes"))
+    row = dim.agg(*aggs).first()
+    text = (row["text_bytes"] or 0) if strings else 0
+    return int(row["n"]) * fixed + int(text)
+
+
 def checked_broadcast(dim: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Return (dim, broadcast?) after measuring the dimension.
 
-    The dimension is persisted (memory, spilling to disk) and counted: one
-    cheap job over a small frame, then the join reads the persisted rows. It is
-    marked for broadcast only when rows x estimated width fits the session's
-    broadcast threshold; otherwise the caller's join shuffles both sides (and
-    AQE splits skewed keys).
+    The dimension is persisted (memory, spilling to disk) and measured by one
+    aggregate (row count, actual string bytes); the join then reads the
+    persisted rows. It is marked for broadcast only when the measured size
+    fits the session's broadcast threshold; otherwise the caller's join
+    shuffles both sides (and AQE splits skewed keys).
     """
     limit = broadcast_limit_bytes(dim) if max_bytes is None else max_bytes
     if limit <= 0:
         return dim, False
     dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = dim.count()
-    if n_rows * row_width_estimate(dim) <= limit:
+    if measured_bytes(dim) <= limit:
         return F.broadcast(dim), True
     return dim, False
 

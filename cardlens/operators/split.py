@@ -70,12 +70,16 @@ def feature_columns(cards: DataFrame) -> list[str]:
 
 
 def split_train_test(
-    cards: DataFrame, test_size: float = TEST_SIZE, seed: int = RANDOM_STATE
+    cards: DataFrame, test_size: float = TEST_SIZE, seed: int = RANDOM_STATE, exact: bool = False
 ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(train, test, feature columns); ``exact`` gives exact per-class shares."""
     cols = feature_columns(cards)
     if not cols:
         raise ValueError("No model feature columns were found.")
-    tagged = assign_split(cards, test_size, seed)
+    if exact:
+        tagged = assign_split_exact(cards, test_size, seed).withColumn("split_bucket", F.lit(0))
+    else:
+        tagged = assign_split(cards, test_size, seed)
     train = tagged.filter(~F.col("is_test")).drop("split_bucket", "is_test")
     test = tagged.filter(F.col("is_test")).drop("split_bucket", "is_test")
     return train, test, cols
