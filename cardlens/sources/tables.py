@@ -50,6 +50,21 @@ def load_raw_data(
     return validate_sources(spark, paths)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that has fewer files than the cluster has cores.
+
+    A small source stored as one file (one row group) is scanned by one task,
+    which would then do all of the cleaning alone. Large inputs (at least one
+    file per core) are returned unchanged: no extra shuffle at scale.
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """One table of a scale-factor folder (``{sf_dir}/{name}.parquet``)."""
-    return load_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = load_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if balance else df
