@@ -12,14 +12,19 @@ Plan (no task ever holds a whole card, no Python, no row reaches the driver):
   over tasks before the per-card count. On narrow rows this is about twice
   as fast as doing it inside the wide pass, and it needs no per-card sets;
 * median pass — exact median over ``(card, amount)`` only. The plan is
-  chosen from a measured bound (``median="auto"``): the wide pass already
-  counts each card's rows, so when the largest card has at most
+  chosen from a measured bound (``median="auto"``): a narrow probe over the
+  card column counts each card's rows, and when the largest card has at most
   ``MEDIAN_SINGLE_TASK_MAX_ROWS`` rows a narrow ``groupBy(card).median`` is
   used (per-task state provably bounded by that many values); otherwise the
   distributed plan — distinct ``(card, amount)`` counts and range-partitioned
   running counts (:func:`cardlens.operators.quantiles.group_median_exact`) —
   so a card with a third of all rows is split across tasks;
-* the card-level results are joined on the card (sizes ~ #cards).
+* the card-level results are joined on the card (sizes ~ #cards); each is
+  already hash-partitioned on the card by its aggregate, so a sort-merge
+  join of them adds no exchange (small results are broadcast by Spark's own
+  size statistics, which bound an aggregate by its input). The wide pass stays a codegen ``HashAggregate``: putting
+  ``median`` into it would turn it into an ``ObjectHashAggregate`` that
+  falls back to sorting the wide rows once a task sees more than 128 cards.
 
 ``median="distributed"`` / ``"grouped"`` force a plan; ``"single_pass"`` puts
 Spark's ``percentile`` into the wide pass (one pass fewer, unbounded state
@@ -231,9 +236,24 @@ def card_median(txn: DataFrame, strategy: str, max_card_rows: int | None = None)
     return group_median_exact(txn, CARD_ID_COLUMN, AMOUNT, "median_amount")
 
 
+def largest_card_rows(txn: DataFrame) -> int:
+    """Row count of the largest card (one number to the driver).
+
+    A narrow pass over the card column only: map-side partial counts, one
+    row per card after the shuffle, then a global max.
+    """
+    counts = txn.groupBy(CARD_ID_COLUMN).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.max("_n")).first()[0] or 0
+
+
 def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") -> DataFrame:
     """Card-level aggregates for the requested feature blocks (wide pass,
-    plus the narrow distinct and median passes when the blocks need them)."""
+    plus the narrow distinct and median passes when the blocks need them).
+
+    With ``median="auto"`` the largest card's row count is measured first
+    (:func:`largest_card_rows`) to pick the median plan; pass a materialized
+    ``txn`` so that probe does not recompute the upstream plan.
+    """
     if median not in MEDIAN_STRATEGIES:
         raise ValueError(f"unknown median strategy {median!r}")
     require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
@@ -252,15 +272,12 @@ def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") ->
         aggs += share_aggregates(TIME_SHARES)
     if "amount" in blocks:
         aggs += share_aggregates(AMOUNT_SHARES)
-    out = ind.groupBy(CARD_ID_COLUMN).agg(*aggs)
     max_card_rows = None
     if with_activity and median == "auto":
-        # card-level rows are small: write them once, then read the largest
-        # card's row count (one number to the driver) to pick the median plan
-        from cardlens.operators.materialize import materialize
-
-        out = materialize(out, "card-wide")
-        max_card_rows = out.agg(F.max("total_transactions")).first()[0] or 0
+        max_card_rows = largest_card_rows(txn)
+    # the card-level results are hash-partitioned on the card by their
+    # aggregates: a sort-merge join of them needs no further exchange
+    out = ind.groupBy(CARD_ID_COLUMN).agg(*aggs)
     if distinct:
         out = out.join(distinct_counts(txn, distinct), CARD_ID_COLUMN, "left")
     if with_activity and median != "single_pass":
@@ -268,6 +285,13 @@ def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") ->
     return out
 
 
+def _materialized_input(txn: DataFrame) -> DataFrame:
+    from cardlens.operators.materialize import materialize
+
+    require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
+    return materialize(txn.select(*FEATURE_REQUIRED_COLUMNS), "prepared-transactions")
+
+
 def build_card_level_features(
     txn: DataFrame, median: str = "auto", materialize_input: bool = True
 ) -> DataFrame:
@@ -280,10 +304,7 @@ def build_card_level_features(
     imposed at sinks.
     """
     if materialize_input:
-        from cardlens.operators.materialize import materialize
-
-        require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
-        txn = materialize(txn.select(*FEATURE_REQUIRED_COLUMNS), "prepared-transactions")
+        txn = _materialized_input(txn)
     agg = card_aggregates(
         txn, ["activity", "diversity", "channel", "time", "amount", "ratios"], median
     )
@@ -301,7 +322,10 @@ def card_feature_block(txn: DataFrame, block: str) -> DataFrame:
         "amount": AMOUNT_SHARES,
         "ratios": RATIO_FEATURES,
     }[block]
-    agg = card_aggregates(txn, [block])  # one or two passes: no materialization
+    if block in ("activity", "ratios"):
+        # size probe + three passes: read the prepared columns from one copy
+        txn = _materialized_input(txn)
+    agg = card_aggregates(txn, [block])
     if block == "ratios":
         agg = agg.withColumns(card_ratios())
     return fill_numeric_nulls(agg).select(CARD_ID_COLUMN, TARGET_COLUMN, *cols)
