@@ -83,14 +83,21 @@ def household_aggregates() -> list[Column]:
     ]
 
 
-def with_q95(cards: DataFrame, txn: DataFrame, out: str = "global_quantile_95") -> DataFrame:
+def with_q95(
+    cards: DataFrame,
+    txn: DataFrame,
+    out: str = "global_quantile_95",
+    keys: list[str] | None = None,
+) -> DataFrame:
     """Join the per-card nearest-rank q95 to a card frame that carries
     ``_rows`` (rows per card): the card frame is written once, the largest
-    card's row count picks the quantile plan, and ``_rows`` is dropped."""
+    card's row count picks the quantile plan, and ``_rows`` is dropped.
+    ``keys`` (default: the card) identify a card row in both frames."""
+    keys = keys or [CARD_ID_COLUMN]
     cards = materialize(cards, "card-level")
     bound = cards.agg(F.max("_rows")).first()[0] or 0
-    q = group_quantile_nearest(txn, CARD_ID_COLUMN, AMOUNT, 0.95, out, max_group_rows=bound)
-    return cards.drop("_rows").join(q, CARD_ID_COLUMN, "left")
+    q = group_quantile_nearest(txn, keys, AMOUNT, 0.95, out, max_group_rows=bound)
+    return cards.drop("_rows").join(q, keys, "left")
 
 
 def card_amount_q95(txn: DataFrame) -> DataFrame:
@@ -157,22 +164,32 @@ def safe_features(train_txn: DataFrame, test_txn: DataFrame) -> tuple[DataFrame,
 
     Before aggregating, a missing weight (MCC unseen in training, or null MCC)
     and a missing amount count as 0.0.
-    """
-    train_txn = materialize(train_txn.select(*_EXT_INPUT), "train-input")
-    test_txn = materialize(test_txn.select(*_EXT_INPUT), "test-input")
-    weights = mcc_weights(train_txn)
-
-    def aggregate(txn: DataFrame) -> DataFrame:
-        w = attach_weights(txn, weights).withColumns(
-            {
-                "mcc_b2b_weight": F.coalesce(F.col("mcc_b2b_weight"), F.lit(0.0)),
-                AMOUNT: F.coalesce(F.col(AMOUNT), F.lit(0.0)),
-            }
-        )
-        cards = w.groupBy(CARD_ID_COLUMN).agg(*extended_aggregates(F.col("mcc_b2b_weight")))
-        return fill_numeric_nulls(with_q95(cards, w))
 
-    return aggregate(train_txn), aggregate(test_txn)
+    Both frames are tagged with their side and written as one table, so the
+    weight join (one size check), the card pass and the q95 pass each run
+    once over both sides, grouped by ``(card, side)``; a card present in both
+    frames gets one row per frame.
+    """
+    side = "_side"
+    both = materialize(
+        train_txn.select(*_EXT_INPUT, F.lit(0).alias(side)).unionByName(
+            test_txn.select(*_EXT_INPUT, F.lit(1).alias(side))
+        ),
+        "safe-input",
+    )
+    weights = mcc_weights(both.filter(F.col(side) == 0))
+    w = attach_weights(both, weights).withColumns(
+        {
+            "mcc_b2b_weight": F.coalesce(F.col("mcc_b2b_weight"), F.lit(0.0)),
+            AMOUNT: F.coalesce(F.col(AMOUNT), F.lit(0.0)),
+        }
+    )
+    keys = [CARD_ID_COLUMN, side]
+    cards = w.groupBy(*keys).agg(*extended_aggregates(F.col("mcc_b2b_weight")))
+    feats = fill_numeric_nulls(with_q95(cards, w, keys=keys))
+    train = feats.filter(F.col(side) == 0).drop(side)
+    test = feats.filter(F.col(side) == 1).drop(side)
+    return train, test
 
 
 def class_profile(cards: DataFrame, columns: list[str], target: str = TARGET_COLUMN) -> DataFrame:

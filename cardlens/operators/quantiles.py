@@ -21,12 +21,12 @@ from cardlens.config import MEDIAN_SINGLE_TASK_MAX_ROWS
 from cardlens.operators.ranking import grouped_cumulative, ordered_cumulative
 
 
-def _cumulative(counts: DataFrame, group: str, max_group_rows: int | None) -> DataFrame:
+def _cumulative(counts: DataFrame, keys: list[str], max_group_rows: int | None) -> DataFrame:
     """Per-group window when every group is proven small, else the
     range-partitioned plan (a hot group is split across tasks)."""
     if max_group_rows is not None and max_group_rows <= MEDIAN_SINGLE_TASK_MAX_ROWS:
-        return grouped_cumulative(counts, [group], "_v", "_cnt")
-    return ordered_cumulative(counts, [group], "_v", "_cnt")
+        return grouped_cumulative(counts, keys, "_v", "_cnt")
+    return ordered_cumulative(counts, keys, "_v", "_cnt")
 
 
 def nearest_rank_position(q: float, n: Column) -> Column:
@@ -35,24 +35,31 @@ def nearest_rank_position(q: float, n: Column) -> Column:
 
 
 def group_quantile_nearest(
-    df: DataFrame, group: str, value: str, q: float, out: str, max_group_rows: int | None = None
+    df: DataFrame,
+    group: str | list[str],
+    value: str,
+    q: float,
+    out: str,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
-    """One row per group with a non-null value: ``(group, out)``.
+    """One row per group with a non-null value: ``(*group, out)``.
 
-    ``max_group_rows`` is a measured bound on rows per group (if the caller
-    has one); it selects the per-group window plan when small enough.
+    ``group`` is one key column or several. ``max_group_rows`` is a measured
+    bound on rows per group (if the caller has one); it selects the
+    per-group window plan when small enough.
     """
-    vals = df.select(group, F.nanvl(F.col(value), F.lit(None).cast("double")).alias("_v")).filter(
+    keys = [group] if isinstance(group, str) else list(group)
+    vals = df.select(*keys, F.nanvl(F.col(value), F.lit(None).cast("double")).alias("_v")).filter(
         F.col("_v").isNotNull()
     )
-    counts = vals.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = _cumulative(counts, group, max_group_rows)
-    n = cum.groupBy(group).agg(F.sum("_cnt").alias("_n"))
-    target = n.select(group, nearest_rank_position(q, F.col("_n")).alias("_pos"))
-    hit = cum.join(target, group).filter(
+    counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = _cumulative(counts, keys, max_group_rows)
+    n = cum.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
+    target = n.select(*keys, nearest_rank_position(q, F.col("_n")).alias("_pos"))
+    hit = cum.join(target, keys).filter(
         (F.col("_cum_before") <= F.col("_pos")) & (F.col("_pos") < F.col("_cum_before") + F.col("_cnt"))
     )
-    return hit.select(group, F.col("_v").alias(out))
+    return hit.select(*keys, F.col("_v").alias(out))
 
 
 def group_median_exact(df: DataFrame, group: str, value: str, out: str) -> DataFrame:

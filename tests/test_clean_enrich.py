@@ -86,3 +86,31 @@ def test_concat_strict_and_shape(spark):
         concat_strict(a, spark.createDataFrame([(2, 1.0)], "id long, s double"))
     with pytest.raises(ValueError):
         concat_strict(a, spark.createDataFrame([("y", 2)], "s string, id long"))
+
+
+def test_safe_features_one_row_per_card_and_side(spark):
+    from cardlens.operators.mcc import safe_features
+
+    schema = (
+        "card_number string, label byte, transaction_amount_kzt double, mcc string, "
+        "transaction_timestamp timestamp_ntz, channel string, Is_recurring boolean"
+    )
+    ts = __import__("datetime").datetime(2024, 1, 6, 10, 0)
+    train = spark.createDataFrame(
+        [("a", 1, 10.0, "5411", ts, "online", True), ("b", 0, 20.0, "5411", ts, "offline", False),
+         ("b", 0, None, "5812", ts, "online", None)],
+        schema,
+    )
+    # card "a" also appears in the test frame; mcc 4121 is unseen in training
+    test = spark.createDataFrame(
+        [("a", 1, 30.0, "4121", ts, "online", False), ("c", 0, 5.0, "5812", ts, "offline", True)], schema
+    )
+    tr, te = safe_features(train, test)
+    tr = {r.card_number: r for r in tr.collect()}
+    te = {r.card_number: r for r in te.collect()}
+    assert set(tr) == {"a", "b"} and set(te) == {"a", "c"}
+    # train weights: 5411 -> 0.5, 5812 -> 0.0; unseen and null weights count 0.0
+    assert tr["a"].card_b2b_index == 0.5 and tr["b"].card_b2b_index == 0.25
+    assert te["a"].card_b2b_index == 0.0 and te["c"].card_b2b_index == 0.0
+    # a missing amount counts 0.0 before the max/q95
+    assert tr["b"].global_max_amount == 20.0 and te["a"].global_quantile_95 == 30.0

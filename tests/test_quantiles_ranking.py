@@ -67,3 +67,21 @@ def test_quantile_plans_agree(spark):
     windowed = {r.g: r.q for r in group_quantile_nearest(df, "g", "v", 0.95, "q", max_group_rows=3000).collect()}
     ranged = {r.g: r.q for r in group_quantile_nearest(df, "g", "v", 0.95, "q").collect()}
     assert windowed == ranged and len(windowed) == 26
+
+
+def test_nearest_rank_composite_key_matches_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [("hot", i % 2, float(rnd.randint(0, 300))) for i in range(2500)]
+    rows += [(f"c{i % 30}", i % 2, float(rnd.randint(0, 40))) for i in range(900)]
+    rows += [("solo", 1, 3.5), ("solo", 0, float("nan"))]
+    df = spark.createDataFrame(rows, "c string, s int, v double")
+    groups = {}
+    for c, s, v in rows:
+        if v == v:
+            groups.setdefault((c, s), []).append(v)
+    for bound in (None, 3000):
+        got = {
+            (r.c, r.s): r.q
+            for r in group_quantile_nearest(df, ["c", "s"], "v", 0.95, "q", max_group_rows=bound).collect()
+        }
+        assert got == {k: _brute_nearest(v, 0.95) for k, v in groups.items()}
