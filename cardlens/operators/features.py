@@ -45,7 +45,7 @@ from cardlens.config import (
 )
 from cardlens.functions.parsing import guarded_ratio, iso_weekday
 from cardlens.operators.clean import require_columns
-from cardlens.operators.quantiles import group_median_exact
+from cardlens.operators.quantiles import group_median_exact, largest_group_rows
 
 FEATURE_REQUIRED_COLUMNS = [
     CARD_ID_COLUMN,
@@ -237,13 +237,8 @@ def card_median(txn: DataFrame, strategy: str, max_card_rows: int | None = None)
 
 
 def largest_card_rows(txn: DataFrame) -> int:
-    """Row count of the largest card (one number to the driver).
-
-    A narrow pass over the card column only: map-side partial counts, one
-    row per card after the shuffle, then a global max.
-    """
-    counts = txn.groupBy(CARD_ID_COLUMN).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
+    """Row count of the largest card (narrow probe over the card column)."""
+    return largest_group_rows(txn, CARD_ID_COLUMN)
 
 
 def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") -> DataFrame:

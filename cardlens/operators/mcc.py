@@ -21,7 +21,7 @@ from cardlens.config import (
 from cardlens.operators.features import fill_numeric_nulls, nan_skipping_max
 from cardlens.operators.joins import join_dimension
 from cardlens.operators.materialize import materialize
-from cardlens.operators.quantiles import group_quantile_nearest
+from cardlens.operators.quantiles import group_quantile_nearest, largest_group_rows
 
 AMOUNT = "transaction_amount_kzt"
 
@@ -89,15 +89,17 @@ def with_q95(
     out: str = "global_quantile_95",
     keys: list[str] | None = None,
 ) -> DataFrame:
-    """Join the per-card nearest-rank q95 to a card frame that carries
-    ``_rows`` (rows per card): the card frame is written once, the largest
-    card's row count picks the quantile plan, and ``_rows`` is dropped.
-    ``keys`` (default: the card) identify a card row in both frames."""
+    """Left-join the per-card nearest-rank q95 of ``txn`` to ``cards``.
+
+    The largest card's row count in ``txn`` (a narrow probe; pass a
+    materialized ``txn``) picks the quantile plan. ``keys`` (default: the
+    card) identify a card row in both frames; both results are aggregated on
+    them, so the join adds no exchange of its own.
+    """
     keys = keys or [CARD_ID_COLUMN]
-    cards = materialize(cards, "card-level")
-    bound = cards.agg(F.max("_rows")).first()[0] or 0
+    bound = largest_group_rows(txn, keys)
     q = group_quantile_nearest(txn, keys, AMOUNT, 0.95, out, max_group_rows=bound)
-    return cards.drop("_rows").join(q, keys, "left")
+    return cards.join(q, keys, "left")
 
 
 def card_amount_q95(txn: DataFrame) -> DataFrame:
@@ -112,7 +114,8 @@ def card_b2b_index(weighted: DataFrame) -> DataFrame:
 
 
 # columns the per-card MCC families read (the input is written once as
-# parquet because each family reads it three times: weights, card pass, q95)
+# parquet because each family reads it four times: weights, card pass, the
+# size probe and q95)
 _MCC_INPUT = [CARD_ID_COLUMN, TARGET_COLUMN, AMOUNT, "mcc"]
 _EXT_INPUT = _MCC_INPUT + ["transaction_timestamp", "channel", "Is_recurring"]
 
@@ -127,7 +130,6 @@ def household_features(txn: DataFrame) -> DataFrame:
         F.avg(AMOUNT).alias("global_mean_amount"),
         F.avg("mcc_b2b_weight").alias("card_b2b_index"),
         *household_aggregates(),
-        F.count(F.lit(1)).alias("_rows"),
     )
     return fill_numeric_nulls(with_q95(cards, txn))
 
@@ -147,7 +149,6 @@ def extended_aggregates(weight: Column) -> list[Column]:
         _hour_share(hour, 9, 18).alias("working_hours_share"),
         F.avg((F.col("channel") == "online").cast("double")).alias("online_share"),
         F.avg((F.col("Is_recurring") == F.lit(True)).cast("double")).alias("recurring_share"),
-        F.count(F.lit(1)).alias("_rows"),
     ]
 
 

@@ -29,6 +29,15 @@ def _cumulative(counts: DataFrame, keys: list[str], max_group_rows: int | None)
     return ordered_cumulative(counts, keys, "_v", "_cnt")
 
 
+def largest_group_rows(df: DataFrame, group: str | list[str]) -> int:
+    """Row count of the largest group (one number to the driver): a narrow
+    pass over the key columns, map-side partial counts, then a global max.
+    Used as the measured bound that selects a per-group plan."""
+    keys = [group] if isinstance(group, str) else list(group)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.max("_n")).first()[0] or 0
+
+
 def nearest_rank_position(q: float, n: Column) -> Column:
     """0-based position of the nearest-rank quantile among n sorted values."""
     return F.round(F.lit(float(q)) * (n - 1).cast("double"), 0).cast("long")
