@@ -73,5 +73,9 @@ SPLIT_BUCKETS = 1000
 # Spark's percentile aggregate (its state is <= that many value counts);
 # above it the range-partitioned distributed median is used.
 MEDIAN_SINGLE_TASK_MAX_ROWS = 2_000_000
+# Largest card (rows) whose five distinct sets and median buffer may be held
+# by one task in a single per-card pass (state <= 6 x that many values);
+# above it the distinct counts use Catalyst's Expand plan instead.
+SET_PASS_MAX_ROWS = 500_000
 # RandomForest depth cap: Spark ML trees need a finite maxDepth (<= 30).
 RF_MAX_DEPTH = 12
