@@ -73,9 +73,12 @@ SPLIT_BUCKETS = 1000
 # Spark's percentile aggregate (its state is <= that many value counts);
 # above it the range-partitioned distributed median is used.
 MEDIAN_SINGLE_TASK_MAX_ROWS = 2_000_000
-# Largest card (rows) whose five distinct sets and median buffer may be held
-# by one task in a single per-card pass (state <= 6 x that many values);
-# above it the distinct counts use Catalyst's Expand plan instead.
-SET_PASS_MAX_ROWS = 500_000
+# Largest card (rows) whose values may be held as per-card collections by one
+# aggregate: the five distinct sets + median buffer of the card features
+# (state <= 6 x that many values per card) and the sorted value list of the
+# q95. A reducer holds at most 128 such cards in hash mode before Spark's
+# object aggregate switches to sorting, so the bound is kept modest; above it
+# the Expand / window / range-partitioned plans are used.
+SET_PASS_MAX_ROWS = 100_000
 # RandomForest depth cap: Spark ML trees need a finite maxDepth (<= 30).
 RF_MAX_DEPTH = 12

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.config import MEDIAN_SINGLE_TASK_MAX_ROWS
+from cardlens.config import MEDIAN_SINGLE_TASK_MAX_ROWS, SET_PASS_MAX_ROWS
 from cardlens.operators.ranking import grouped_cumulative, ordered_cumulative
 
 
@@ -54,13 +54,21 @@ def group_quantile_nearest(
     """One row per group with a non-null value: ``(*group, out)``.
 
     ``group`` is one key column or several. ``max_group_rows`` is a measured
-    bound on rows per group (if the caller has one); it selects the
-    per-group window plan when small enough.
+    bound on rows per group (if the caller has one): at most
+    ``SET_PASS_MAX_ROWS`` selects one aggregate of sorted per-group value
+    lists, at most ``MEDIAN_SINGLE_TASK_MAX_ROWS`` the per-group window over
+    distinct value counts, otherwise the range-partitioned plan.
     """
     keys = [group] if isinstance(group, str) else list(group)
     vals = df.select(*keys, F.nanvl(F.col(value), F.lit(None).cast("double")).alias("_v")).filter(
         F.col("_v").isNotNull()
     )
+    if max_group_rows is not None and max_group_rows <= SET_PASS_MAX_ROWS:
+        # every group is proven small: one aggregate sorts each group's values
+        # (state <= the measured row bound) and picks the position
+        lists = vals.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+        pos = nearest_rank_position(q, F.size("_vs"))
+        return lists.select(*keys, F.element_at("_vs", (pos + 1).cast("int")).alias(out))
     counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
     cum = _cumulative(counts, keys, max_group_rows)
     n = cum.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
