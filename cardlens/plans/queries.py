@@ -41,11 +41,19 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fixtures.event_sources(spark, sf_dir)
 
 
+def flagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned, labelled events from one scan: the segment flag labels each
+    row (same rows and labels as normalizing the two segment frames and
+    uniting them, which the ``label_union`` query checks, without scanning and
+    parsing the source once per segment)."""
+    return enrich.label_by_flag(raw_events(spark, sf_dir), "is_business", "events")
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sources(spark, sf_dir)
-    return enrich.prepare_transactions(
-        s["business_cards"], s["consumer_cards"], s["merchants_reference"]
+    merchants = fixtures.merchants_reference(
+        table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     )
+    return enrich.merge_merchants(flagged_events(spark, sf_dir), merchants)
 
 
 def card_features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,9 +362,8 @@ def card_features(spark, sf_dir):
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned, labelled union of both segments (no merchant join)."""
-    s = sources(spark, sf_dir)
-    return enrich.combine_transactions(s["business_cards"], s["consumer_cards"])
+    """Cleaned, labelled transactions of both segments (no merchant join)."""
+    return flagged_events(spark, sf_dir)
 
 
 _CLEAN = [O.RAW_TXN, O.CLEAN_TXN]
