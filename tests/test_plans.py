@@ -40,3 +40,18 @@ def test_flagship_scan_is_pruned_and_filtered(spark):
     assert "PushedFilters: [IsNotNull(user_id), IsNotNull(value)" in text
     # the events scan reads only what card/amount/merchant key need
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in text
+
+
+def test_card_features_plan_follows_measured_bound(spark):
+    from cardlens.operators.features import build_card_level_features
+    from cardlens.plans.queries import prepared
+
+    txn = prepared(spark, SF)
+    small = _plan(build_card_level_features(txn, median="auto"))
+    general = _plan(build_card_level_features(txn, median="grouped"))
+    # cards measured small: one bounded per-card pass, no Expand
+    assert "collect_set" in small and "Expand" not in small
+    # general plan: Expand-based distinct counts, a separate median pass
+    assert "Expand" in general and "collect_set" not in general
+    # the wide pass stays a (codegen) hash aggregate in both
+    assert "HashAggregate(keys=[card_number" in small
