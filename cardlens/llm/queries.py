@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardlens.llm import bpe_codec, token_counts
+from cardlens.llm import bpe_codec, exact_dedup, langid, simhash, token_counts, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
+MIN_PAYLOAD = 100
+SHINGLE_WORDS, MAX_BITS = 3, 2
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +28,35 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page as a WARC record, read the archives back."""
+    pages = read(spark, sf_dir, "pages")
+    manifest = warc.write_archives(pages, warc.archive_folder(pages), MIN_PAYLOAD)
+    id_type = pages.schema["page_id"].dataType
+    return warc.read_archives(manifest).select(
+        F.col("page_id").cast(id_type).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(id_type).alias("refers_to"),
+    )
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicates of all documents: snapshot, static filters, byte checks."""
+    return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by cross-parsing."""
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints and components of all documents."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the longest prefix within the limit."""
     docs = read(spark, sf_dir, "documents")
@@ -33,8 +65,38 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_warc_round_trip": op2_warc_round_trip,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
 }
 
 # DuckDB SQL where SQL can express the whole result
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_warc_round_trip": f"""
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= {MIN_PAYLOAD}
+                           THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM f
+    """,
+    "op3_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = min(doc_id) OVER g AS kept, text_sha256
+        FROM d WINDOW g AS (PARTITION BY text_sha256)
+    """,
+}
