@@ -127,5 +127,53 @@ def calibrate(
     return rows.join(chances, fits).drop(*(f"{n}_cell" for n in names))
 
 
+def margins_of(docs: DataFrame) -> dict[str, Column]:
+    """The margins of the documents table: source, language and topic."""
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(F.col("text"))}
+
+
 def sampled() -> Column:
     return F.col("_mix_draw") < F.col("_mix_probability")
+
+
+def duckdb_sql(table: str, rounds: int = ROUNDS, temper: float = TEMPER) -> str:
+    """The same raking as DuckDB SQL: common table expressions that end in ``mixed``
+    (all columns of ``table`` and topic, n_tokens, probability, kept)."""
+    pick = " ".join(
+        f"WHEN regexp_matches(coalesce(text, ''), '{pattern}') THEN '{name}'" for name, pattern in TOPICS
+    )
+    margins = ("source", "lang", "topic")
+    steps, last = [], "w0"
+    for r in range(rounds):
+        for m in margins:
+            name = f"w{r}_{m}"
+            steps.append(
+                f"{name} AS (SELECT * REPLACE (w * want_{m} / (SELECT norm_{m} FROM norms)"
+                f" / sum(w) OVER (PARTITION BY {m}) AS w) FROM {last})"
+            )
+            last = name
+    wants = ", ".join(
+        f"pow(sum(tokens) OVER (PARTITION BY {m}) / (SELECT sum(tokens) FROM cells), {temper}) AS want_{m},"
+        f" tokens / sum(tokens) OVER (PARTITION BY {m}) AS part_{m}"
+        for m in margins
+    )
+    norms = ", ".join(f"sum(want_{m} * part_{m}) AS norm_{m}" for m in margins)
+    same = " AND ".join(f"d.{m} IS NOT DISTINCT FROM p.{m}" for m in margins)
+    digits = DRAW_BITS // 4
+    return f"""
+    WITH docs AS (
+        SELECT *, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens,
+               CASE {pick} ELSE '{OTHER_TOPIC}' END AS topic,
+               ('0x' || substr(md5('{SALT}' || coalesce(doc_id::VARCHAR, '')), 1, {digits}))::BIGINT
+                   / {float(2**DRAW_BITS)} AS draw
+        FROM {table}
+    ), cells AS (
+        SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL HAVING sum(n_tokens) > 0
+    ), wants AS (SELECT *, {wants} FROM cells), norms AS (SELECT {norms} FROM wants),
+    w0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS w FROM wants),
+    {", ".join(steps)},
+    p AS (SELECT source, lang, topic, round((w / tokens) / max(w / tokens) OVER (), 9) AS probability FROM {last}),
+    mixed AS (
+        SELECT d.*, coalesce(p.probability, 1) AS probability, d.draw < coalesce(p.probability, 1) AS kept
+        FROM docs d LEFT JOIN p ON {same}
+    )"""

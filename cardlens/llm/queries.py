@@ -10,12 +10,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import bpe_codec, exact_dedup, langid, simhash, token_counts, warc
+from cardlens.llm import (
+    bpe_codec,
+    exact_dedup,
+    langid,
+    mixing,
+    secret_scan,
+    simhash,
+    token_counts,
+    url_filter,
+    warc,
+)
+from cardlens.llm.secret_scan import BASE_RULES, MORE_RULES, Rule
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
 MIN_PAYLOAD = 100
 SHINGLE_WORDS, MAX_BITS = 3, 2
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+ABUSE = r"(?i)\b(scum|worthless|disgusting)\b"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,6 +82,41 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability of every document after raking to tempered margins."""
+    docs = read(spark, sf_dir, "documents")
+    out = mixing.calibrate(docs, mixing.margins_of(docs))
+    return out.select(
+        "doc_id",
+        F.col("_mix_topic").alias("topic"),
+        F.col("_mix_tokens").alias("n_tokens"),
+        F.round("_mix_probability", 6).alias("probability"),
+        mixing.sampled().alias("kept"),
+    )
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document through the blob ledger."""
+    docs = read(spark, sf_dir, "documents")
+    rules = BASE_RULES + MORE_RULES
+    found = secret_scan.findings(docs, secret_scan.scan(docs, rules), rules)
+    base = [r.kind for r in BASE_RULES]
+    return found.select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text([r.kind for r in rules]).alias("spans"),
+    )
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL; listed are the canonical URLs of pages with abuse."""
+    pages = read(spark, sf_dir, "pages")
+    bad = pages.filter(F.rlike("html", F.lit(ABUSE)) & F.contains("url", F.lit("://")))
+    listed = bad.select(url_filter.canonical(F.col("url")).alias("url_key"))
+    return url_filter.judge(pages, URL_RULES, listed)
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -70,6 +124,9 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_mixing": op7_mixing,
+    "op8_secrets": op8_secrets,
+    "op10_url_filter": op10_url_filter,
 }
 
 # DuckDB SQL where SQL can express the whole result
@@ -100,3 +157,48 @@ ORACLE = {
         FROM d WINDOW g AS (PARTITION BY text_sha256)
     """,
 }
+
+
+def _sql_secrets() -> str:
+    """Spans from the pieces between matches, as the operator does, in DuckDB SQL."""
+    rules = BASE_RULES + MORE_RULES
+    found, spans = [], []
+    for r in rules:
+        pattern = r.pattern.replace("'", "''")
+        found.append(
+            f"regexp_extract_all(t, '{pattern}', 0) AS h_{r.kind}, "
+            f"regexp_extract_all(t, '{pattern}', {r.value}) AS v_{r.kind}, "
+            f"string_split_regex(t, '{pattern}') AS g_{r.kind}"
+        )
+        gaps = f"list_sum(list_transform(g_{r.kind}[1:i], lambda g: length(g)))"
+        hits = f"coalesce(list_sum(list_transform(h_{r.kind}[1:i - 1], lambda h: length(h))), 0)"
+        one = (
+            f"{{'s': ({gaps} + {hits})::BIGINT, 'n': length(h_{r.kind}[i]), "
+            f"'v': length(v_{r.kind}[i])}}"
+        )
+        every = f"list_transform(range(1, len(h_{r.kind}) + 1), lambda i: {one})"
+        spans.append(f"list_filter({every}, lambda x: x.v >= {r.least}) AS k_{r.kind}")
+
+    def text(some) -> str:
+        parts = ", ".join(
+            f"list_transform(k_{r.kind}, lambda x: {{'s': x.s, 'o': {i}, "
+            f"'t': '{r.kind}:' || x.s || ':' || (x.s + x.n)}})"
+            for i, r in enumerate(some)
+        )
+        joined = f"list_transform(list_sort(flatten([{parts}])), lambda x: x.t)"
+        return f"coalesce(array_to_string({joined}, ','), '')"
+
+    counts = ", ".join(f"len(k_{r.kind})::BIGINT AS n_{r.kind}" for r in BASE_RULES)
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        f AS (SELECT doc_id, {", ".join(found)} FROM d),
+        s AS (SELECT doc_id, {", ".join(spans)} FROM f)
+        SELECT doc_id, {counts}, sha256({text(BASE_RULES)}) AS base_sha256, {text(rules)} AS spans FROM s
+    """
+
+
+ORACLE["op8_secrets"] = _sql_secrets()
+ORACLE["op7_mixing"] = mixing.duckdb_sql("documents") + """
+    SELECT doc_id, topic, n_tokens, round(probability, 6) AS probability, kept FROM mixed
+"""
+ORACLE["op10_url_filter"] = url_filter.duckdb_sql("pages", URL_RULES, ABUSE)
