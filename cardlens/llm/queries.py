@@ -15,6 +15,7 @@ from cardlens.llm import (
     exact_dedup,
     langid,
     mixing,
+    quality,
     secret_scan,
     simhash,
     token_counts,
@@ -109,6 +110,14 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the likelihood-ratio verdict of every document."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.ratios(docs, quality.trusted_ids(read(spark, sf_dir, "labels")))
+    out = quality.judge(docs, model)
+    return out.withColumn("score", F.round("score", 6))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL; listed are the canonical URLs of pages with abuse."""
     pages = read(spark, sf_dir, "pages")
@@ -126,6 +135,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 
