@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from cardlens.llm.scratch import cut
 
 ROUNDS = 8
-TEMPER = 0.85
+TEMPER = 0.9
 DRAW_BITS = 52
 SALT = "mix"
 
@@ -43,6 +43,8 @@ TOPICS = (
     ("noisy", r"[#*$%&|<>!]{2}"),
 )
 OTHER_TOPIC = "prose"
+# targets of the query: less noise; sources and languages are tempered
+TARGETS = {"topic": {"noisy": 0.01}}
 
 
 def tokens(text: Column) -> Column:
@@ -136,7 +138,12 @@ def sampled() -> Column:
     return F.col("_mix_draw") < F.col("_mix_probability")
 
 
-def duckdb_sql(table: str, rounds: int = ROUNDS, temper: float = TEMPER) -> str:
+def duckdb_sql(
+    table: str,
+    targets: dict[str, dict[str, float]] | None = None,
+    rounds: int = ROUNDS,
+    temper: float = TEMPER,
+) -> str:
     """The same raking as DuckDB SQL: common table expressions that end in ``mixed``
     (all columns of ``table`` and topic, n_tokens, probability, kept)."""
     pick = " ".join(
@@ -152,10 +159,15 @@ def duckdb_sql(table: str, rounds: int = ROUNDS, temper: float = TEMPER) -> str:
                 f" / sum(w) OVER (PARTITION BY {m}) AS w) FROM {last})"
             )
             last = name
+    def want(m: str) -> str:
+        share = f"sum(tokens) OVER (PARTITION BY {m}) / (SELECT sum(tokens) FROM cells)"
+        given = (targets or {}).get(m)
+        if not given:
+            return f"pow({share}, {temper})"
+        return f"CASE {m} " + " ".join(f"WHEN '{v}' THEN {t}" for v, t in given.items()) + f" ELSE {share} END"
+
     wants = ", ".join(
-        f"pow(sum(tokens) OVER (PARTITION BY {m}) / (SELECT sum(tokens) FROM cells), {temper}) AS want_{m},"
-        f" tokens / sum(tokens) OVER (PARTITION BY {m}) AS part_{m}"
-        for m in margins
+        f"{want(m)} AS want_{m}, tokens / sum(tokens) OVER (PARTITION BY {m}) AS part_{m}" for m in margins
     )
     norms = ", ".join(f"sum(want_{m} * part_{m}) AS norm_{m}" for m in margins)
     same = " AND ".join(f"d.{m} IS NOT DISTINCT FROM p.{m}" for m in margins)

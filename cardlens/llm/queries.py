@@ -86,7 +86,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling probability of every document after raking to tempered margins."""
     docs = read(spark, sf_dir, "documents")
-    out = mixing.calibrate(docs, mixing.margins_of(docs))
+    out = mixing.calibrate(docs, mixing.margins_of(docs), mixing.TARGETS)
     return out.select(
         "doc_id",
         F.col("_mix_topic").alias("topic"),
@@ -208,7 +208,7 @@ def _sql_secrets() -> str:
 
 
 ORACLE["op8_secrets"] = _sql_secrets()
-ORACLE["op7_mixing"] = mixing.duckdb_sql("documents") + """
+ORACLE["op7_mixing"] = mixing.duckdb_sql("documents", mixing.TARGETS) + """
     SELECT doc_id, topic, n_tokens, round(probability, 6) AS probability, kept FROM mixed
 """
 ORACLE["op10_url_filter"] = url_filter.duckdb_sql("pages", URL_RULES, ABUSE)
