@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cardlens.llm.words import chunks, list_parts
 
@@ -151,41 +152,54 @@ def _worker_models(samples: dict[str, str]) -> list[SuffixAutomaton]:
     return _MODELS[key]
 
 
-def predict(
-    docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``id_col, lang_pred, score``: the score is 1 - best / second best cost per
-    character (0: undecided, towards 1: clear; 1 if there is one language)."""
-    shared = docs.sparkSession.sparkContext.broadcast(samples)
-    id_type = docs.schema[id_col].dataType.simpleString()
+def label_rows(rows: DataFrame, samples: dict[str, str]) -> DataFrame:
+    """``rows`` (with their words in ``_lid_words``) with that column replaced by
+    ``_lid_lang`` and ``_lid_score``; all other columns pass through. The score is 1 -
+    best / second best cost (0: undecided, towards 1: clear; 1 if there is one language)."""
+    shared = rows.sparkSession.sparkContext.broadcast(samples)
+    kept = [c for c in rows.columns if c != "_lid_words"]
+    fields = [f for f in rows.schema.fields if f.name != "_lid_words"]
+    schema = StructType([*fields, StructField("_lid_lang", StringType()), StructField("_lid_score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = _worker_models(shared.value)
         names = np.array([*shared.value, UNKNOWN], object)
         for batch in batches:
-            for part in chunks(batch, "words"):
-                flat, offsets = list_parts(part.column("words"))
-                coded = flat.dictionary_encode()
-                costs, _ = bits_per_word(models, coded.dictionary)
-                at = coded.indices.to_numpy(zero_copy_only=False)
-                total = np.zeros((part.num_rows, len(models)))
-                for k in range(len(models)):
-                    sums = np.concatenate([[0.0], np.cumsum(costs[at, k])])
-                    total[:, k] = sums[offsets[1:]] - sums[offsets[:-1]]
-                known = (offsets[1:] > offsets[:-1]) & bool(models)
-                best = np.where(known, total.argmin(axis=1) if models else -1, len(models))
-                score = known.astype(float)
-                if len(models) > 1:
-                    low = np.partition(total, 1, axis=1)[:, :2]
-                    score = np.where(known, 1 - low[:, 0] / np.maximum(low[:, 1], 1e-9), 0.0)
+            for part in chunks(batch, "_lid_words"):
+                best, score = _decide(models, part.column("_lid_words"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))],
-                    ["id", "lang_pred", "score"],
+                    [*(part.column(c) for c in kept), pa.array(names[best], pa.string()), pa.array(score)],
+                    [*kept, "_lid_lang", "_lid_score"],
                 )
 
-    words = docs.select(F.col(id_col).alias("id"), letters_of(F.col(text_col)).alias("words"))
-    out = words.mapInArrow(run, f"id {id_type}, lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, schema)
+
+
+def _decide(models: list[SuffixAutomaton], lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the winning model (behind the last: none) and score of each row."""
+    flat, offsets = list_parts(lists)
+    coded = flat.dictionary_encode()
+    costs, _ = bits_per_word(models, coded.dictionary)
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    total = np.zeros((len(lists), len(models)))
+    for k in range(len(models)):
+        sums = np.concatenate([[0.0], np.cumsum(costs[at, k])])
+        total[:, k] = sums[offsets[1:]] - sums[offsets[:-1]]
+    known = (offsets[1:] > offsets[:-1]) & bool(models)
+    best = np.where(known, total.argmin(axis=1) if models else -1, len(models))
+    score = known.astype(float)
+    if len(models) > 1:
+        low = np.partition(total, 1, axis=1)[:, :2]
+        score = np.where(known, 1 - low[:, 0] / np.maximum(low[:, 1], 1e-9), 0.0)
+    return best, np.clip(score, 0, 1)
+
+
+def predict(
+    docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``id_col, lang_pred, score`` of every row."""
+    rows = docs.select(F.col(id_col), letters_of(F.col(text_col)).alias("_lid_words"))
+    return label_rows(rows, samples).toDF(id_col, "lang_pred", "score")
 
 
 def identify(

@@ -141,8 +141,10 @@ def judge(
     rows = rows.select(id_col, host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path"), canonical(F.col("_url")).alias("url_key"))
     rows = rows.withColumns({"rule": rule_of(F.col("host"), F.col("path"), rules), "url_hash": url_hash(F.col("url_key"))})
     rows = cut(rows, "urls")  # narrow; the parts of a URL are worked out once
-    verdicts = F.create_map(*(F.lit(x) for kv in rules for x in kv))
-    ruled = rows.filter("rule is not null").withColumn("verdict", F.get(F.array(verdicts[F.col("rule")]), F.lit(0)))
+    verdict = F.lit(None).cast("string")
+    for rule, what in rules:
+        verdict = F.when(F.col("rule") == rule, what).otherwise(verdict)
+    ruled = rows.filter("rule is not null").withColumn("verdict", verdict)
     blocked, free = listed_among(rows.filter("rule is null"), listed)
     free = free.withColumn("verdict", F.lit("allow"))
     out = ruled.unionByName(blocked.withColumn("verdict", F.lit("block"))).unionByName(free)
