@@ -12,7 +12,8 @@ of documents. Every stage works on all that its predecessor kept:
 
 Rows with the same id and equal text count as one document from stage 2 on;
 rows with the same id and different texts stand or fall together in stage 3.
-Null ids are an id like any other.
+Null ids are an id like any other. Column names that start with ``_lid_``, ``_mix_`` and
+``_key`` are reserved.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.llm import bpe_codec, exact_dedup, langid, mixing, simhash
@@ -28,39 +29,35 @@ from cardlens.llm.queries import MAX_BITS, SHINGLE_WORDS, TOKENIZER
 from cardlens.session import ensure_checkpoint_dir
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids`` (column ``kept_id``, may be null)."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what no language can be told of. The prediction runs inside the scan,
-    so rejected documents never meet a shuffle."""
-    samples = langid.learn(docs)
-    found = langid.predict(docs, samples).filter(F.col("lang_pred") == langid.UNKNOWN)
-    gone = found.select(F.col("doc_id").alias("gone_id")).distinct()
-    # an id may be repeated: only rows without a letter go
-    silent = F.size(langid.letters_of(F.col("text"))) == 0
-    rejected = docs["doc_id"].eqNullSafe(gone["gone_id"]) & silent
-    return docs.join(gone, rejected, "left_anti")
+    """Rejects what no language can be told of. Rows pass through the prediction
+    whole, so nothing is shuffled but the training sample."""
+    rows = docs.withColumn("_lid_words", langid.letters_of(F.col("text")))
+    named = langid.label_rows(rows, langid.learn(docs))
+    return named.filter(F.col("_lid_lang") != langid.UNKNOWN).select(docs.columns)
 
 
 def exact_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row that stays of each group of equal texts."""
+    """Keeps the row that stays of each group of equal texts. The kept keys grow with
+    the data and are never broadcast; a repeated row of the one that stays goes
+    on the same partitioning, without another shuffle."""
+
+    def key(sha) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
+
     found = exact_dedup.exact_duplicates(docs).filter("kept")
-    stay = found.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
-    digest = exact_dedup.digest(F.col("text"))
-    same = docs["doc_id"].eqNullSafe(stay["kept_id"]) & (digest == stay["kept_sha"])
-    rows = docs.join(stay, same, "left_semi")
-    # a repeated row of the one that stays: same id, same digest
-    return rows.withColumn("_sha", digest).dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    stay = found.select(key(F.col("text_sha256")).alias("_key"))
+    rows = docs.withColumn("_key", key(exact_dedup.digest(F.col("text"))))
+    kept = rows.join(stay.hint("merge"), "_key", "left_semi")
+    return kept.dropDuplicates(["_key"]).select(docs.columns)
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each component."""
     found = simhash.near_duplicates(docs, SHINGLE_WORDS, MAX_BITS)
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _keep(docs, stay.select(F.col("doc_id").alias("kept_id")).distinct())
+    stay = stay.select(F.col("doc_id").alias("kept_id")).hint("merge")
+    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["kept_id"]), "left_semi")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
