@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from cardlens.llm import fuse_filter
 from cardlens.llm.scratch import cut
+from cardlens.llm.url_filter import block_count, bloom, may_hold, url_hash
 
 BUCKET_KEYS = 4096
 FILTER_TYPE = "bucket int, seed int, length int, segments int, slots binary"
@@ -112,15 +113,20 @@ def same_bytes(
     docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Byte check of ``digest, a, b`` (two ids that claim the digest):
-    ``digest`` where the two normalised texts are identical. Only the texts of
-    claimed ids leave the scan's side of the join."""
-    wanted = pairs.select("digest", F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(
+    ``digest`` where the two normalised texts are identical.
+
+    A Bloom filter of the claimed ids (bounded size) keeps most other texts out of the
+    shuffle. The claims grow with the data, so they are never broadcast."""
+    wanted = cut(pairs.select("digest", F.explode(F.array("a", "b")).alias("id")).distinct(), "claims")
+    blocks = block_count(wanted.count())
+    claimed = cut(bloom(wanted, blocks, "id"), "claimed")
+    near = docs.filter(may_hold(claimed.scalar(), blocks, url_hash(F.col(id_col))))
+    texts = near.select(
         F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest"),
         normalise(F.col(text_col)).alias("text"),
     )
     same_row = (texts.digest == wanted.digest) & texts.id.eqNullSafe(wanted.id)
-    found = texts.join(wanted, same_row, "left_semi")
+    found = texts.join(wanted.hint("merge"), same_row, "left_semi")
     return (
         found.groupBy("digest")
         .agg(F.min("text").alias("low"), F.max("text").alias("high"))
