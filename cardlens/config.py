@@ -22,6 +22,23 @@ LARGE_TRANSACTION_AMOUNT = 50_000.0
 TRUTHY_VALUES = ("1", "true", "t", "yes", "y")
 FALSEY_VALUES = ("0", "false", "f", "no", "n")
 
+# what the card features read of a prepared transaction
+FEATURE_REQUIRED_COLUMNS = [
+    CARD_ID_COLUMN,
+    TARGET_COLUMN,
+    "transaction_amount_kzt",
+    "merchant_id",
+    "mcc",
+    "country",
+    "merchant_country",
+    "channel",
+    "tokenized",
+    "Is_recurring",
+    "recurring_capable",
+    "transaction_date",
+    "transaction_datetime",
+]
+
 REQUIRED_TRANSACTION_COLUMNS = (CARD_ID_COLUMN, "transaction_amount_kzt", "merchant_id")
 
 # optional transaction columns and the value used when a source lacks them
@@ -69,16 +86,7 @@ TOP_FEATURES_IN_SUMMARY = 15
 # ---------------------------------------------------------------------------
 # Number of hash buckets of the card split (bucket < TEST_SIZE * buckets -> test).
 SPLIT_BUCKETS = 1000
-# Largest card (rows) whose exact median may be computed by one task with
-# Spark's percentile aggregate (its state is <= that many value counts);
-# above it the range-partitioned distributed median is used.
-MEDIAN_SINGLE_TASK_MAX_ROWS = 2_000_000
-# Largest card (rows) whose values may be held as per-card collections by one
-# aggregate: the five distinct sets + median buffer of the card features
-# (state <= 6 x that many values per card) and the sorted value list of the
-# q95. A reducer holds at most 128 such cards in hash mode before Spark's
-# object aggregate switches to sorting, so the bound is kept modest; above it
-# the Expand / window / range-partitioned plans are used.
-SET_PASS_MAX_ROWS = 100_000
-# RandomForest depth cap: Spark ML trees need a finite maxDepth (<= 30).
-RF_MAX_DEPTH = 12
+# Spark ML trees need a finite depth; this is the largest it accepts.
+RF_MAX_DEPTH = 30
+# Candidate split points per feature (Spark's default of 32 coarsens amounts).
+RF_MAX_BINS = 128

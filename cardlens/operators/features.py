@@ -1,6 +1,6 @@
 """Card-level behaviour features: one row per card from any volume of rows.
 
-Plan (no task ever holds a whole card, no Python, no row reaches the driver):
+One plan at every size; no task ever holds a whole card, no row reaches the driver:
 
 * wide pass — one ``groupBy(card_number)`` of algebraic aggregates only
   (count, sum, avg, max, stddev, boolean shares): plain hash aggregation with
@@ -9,30 +9,12 @@ Plan (no task ever holds a whole card, no Python, no row reaches the driver):
 * narrow pass — the five exact distinct counts over only the six columns they
   need. Catalyst plans several ``count_distinct`` as ``Expand`` + a two-level
   aggregate keyed first by ``(card, column, value)``: a hot card is spread
-  over tasks before the per-card count. On narrow rows this is about twice
-  as fast as doing it inside the wide pass, and it needs no per-card sets;
-* median pass — exact median over ``(card, amount)`` only. The plan is
-  chosen from a measured bound (``median="auto"``): a narrow probe over the
-  card column counts each card's rows, and when the largest card has at most
-  ``MEDIAN_SINGLE_TASK_MAX_ROWS`` rows a narrow ``groupBy(card).median`` is
-  used (per-task state provably bounded by that many values); otherwise the
-  distributed plan — distinct ``(card, amount)`` counts and range-partitioned
-  running counts (:func:`cardlens.operators.quantiles.group_median_exact`) —
-  so a card with a third of all rows is split across tasks;
-* when the probe proves every card small (``SET_PASS_MAX_ROWS``), the
-  distinct and median passes are one narrow ``groupBy(card)`` of
-  ``size(collect_set(...))`` and ``median`` instead (:func:`bounded_card_pass`;
-  per-card state bounded by the measured row count, ~20% faster);
-* the card-level results are joined on the card (sizes ~ #cards); each is
-  already hash-partitioned on the card by its aggregate, so a sort-merge
-  join of them adds no exchange (small results are broadcast by Spark's own
-  size statistics, which bound an aggregate by its input). The wide pass stays a codegen ``HashAggregate``: putting
-  ``median`` into it would turn it into an ``ObjectHashAggregate`` that
-  falls back to sorting the wide rows once a task sees more than 128 cards.
-
-``median="distributed"`` / ``"grouped"`` force a plan; ``"single_pass"`` puts
-Spark's ``percentile`` into the wide pass (one pass fewer, unbounded state
-for a hot card).
+  over tasks before the per-card count;
+* median pass — distinct ``(card, amount)`` counts and range-partitioned running
+  counts (:func:`cardlens.operators.quantiles.group_median_exact`), so a card's
+  amounts are split across tasks;
+* the card-level results are joined on the card (sizes ~ #cards); the two
+  aggregates are already hash-partitioned on it, so joining them adds no exchange.
 """
 
 from __future__ import annotations
@@ -42,31 +24,14 @@ from pyspark.sql import functions as F
 
 from cardlens.config import (
     CARD_ID_COLUMN,
+    FEATURE_REQUIRED_COLUMNS,
     LARGE_TRANSACTION_AMOUNT,
-    MEDIAN_SINGLE_TASK_MAX_ROWS,
-    SET_PASS_MAX_ROWS,
     SMALL_TRANSACTION_AMOUNT,
     TARGET_COLUMN,
 )
 from cardlens.functions.parsing import guarded_ratio, iso_weekday
 from cardlens.operators.clean import require_columns
-from cardlens.operators.quantiles import group_median_exact, largest_group_rows
-
-FEATURE_REQUIRED_COLUMNS = [
-    CARD_ID_COLUMN,
-    TARGET_COLUMN,
-    "transaction_amount_kzt",
-    "merchant_id",
-    "mcc",
-    "country",
-    "merchant_country",
-    "channel",
-    "tokenized",
-    "Is_recurring",
-    "recurring_capable",
-    "transaction_date",
-    "transaction_datetime",
-]
+from cardlens.operators.quantiles import group_median_exact
 
 AMOUNT = "transaction_amount_kzt"
 
@@ -161,14 +126,12 @@ def nan_skipping_max(c: Column) -> Column:
     return F.max(F.nanvl(c, F.lit(None).cast("double")))
 
 
-def activity_aggregates(single_pass_median: bool) -> list[Column]:
+def activity_aggregates() -> list[Column]:
     amt = F.col(AMOUNT)
-    median = [F.median(amt).alias("median_amount")] if single_pass_median else []
     return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum(amt).alias("total_amount"),
         F.avg(amt).alias("avg_amount"),
-        *median,
         nan_skipping_max(amt).alias("max_amount"),
         F.stddev_samp(amt).alias("std_amount"),
     ]
@@ -184,21 +147,6 @@ DISTINCT_FEATURES = {
 }
 
 
-def bounded_card_pass(txn: DataFrame, names: list[str], with_median: bool) -> DataFrame:
-    """Exact distinct counts (``size(collect_set)``, nulls skipped) and,
-    optionally, the exact median per card in one narrow pass.
-
-    Only for cards proven small (largest card <= ``SET_PASS_MAX_ROWS``): the
-    per-card state is the card's distinct values, so it is bounded by that
-    measured row count. About 20% faster end to end than the ``Expand`` plan
-    plus a separate median pass.
-    """
-    aggs = [F.size(F.collect_set(DISTINCT_FEATURES[n])).cast("long").alias(n) for n in names]
-    if with_median:
-        aggs.append(F.median(AMOUNT).alias("median_amount"))
-    return txn.groupBy(CARD_ID_COLUMN).agg(*aggs)
-
-
 def distinct_counts(txn: DataFrame, names: list[str]) -> DataFrame:
     """Exact distinct counts per card from a narrow projection."""
     cols = [DISTINCT_FEATURES[n] for n in names]
@@ -243,41 +191,17 @@ def fill_numeric_nulls(df: DataFrame, value: float = 0) -> DataFrame:
     )
 
 
-MEDIAN_STRATEGIES = ("auto", "grouped", "distributed", "single_pass")
-
-
-def card_median(txn: DataFrame, strategy: str, max_card_rows: int | None = None) -> DataFrame:
-    """Exact per-card median of the amount (``card_number, median_amount``)."""
-    if strategy == "auto":
-        limit = MEDIAN_SINGLE_TASK_MAX_ROWS
-        strategy = "grouped" if max_card_rows is not None and max_card_rows <= limit else "distributed"
-    if strategy == "grouped":
-        return txn.groupBy(CARD_ID_COLUMN).agg(F.median(AMOUNT).alias("median_amount"))
-    return group_median_exact(txn, CARD_ID_COLUMN, AMOUNT, "median_amount")
-
-
-def largest_card_rows(txn: DataFrame) -> int:
-    """Row count of the largest card (narrow probe over the card column)."""
-    return largest_group_rows(txn, CARD_ID_COLUMN)
-
-
-def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") -> DataFrame:
-    """Card-level aggregates for the requested feature blocks (wide pass,
-    plus the narrow distinct and median passes when the blocks need them).
-
-    With ``median="auto"`` the largest card's row count is measured first
-    (:func:`largest_card_rows`) to pick the median plan; pass a materialized
-    ``txn`` so that probe does not recompute the upstream plan.
-    """
-    if median not in MEDIAN_STRATEGIES:
-        raise ValueError(f"unknown median strategy {median!r}")
+def card_aggregates(txn: DataFrame, blocks: list[str]) -> DataFrame:
+    """Card-level aggregates for the requested feature blocks (wide pass, plus the
+    narrow distinct and median passes when the blocks need them). Pass a
+    materialized ``txn`` so that the passes do not repeat the upstream plan."""
     require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
     ind = add_behavior_indicators(txn)
     aggs: list[Column] = [F.max(TARGET_COLUMN).cast("byte").alias(TARGET_COLUMN)]
     with_activity = "activity" in blocks or "ratios" in blocks
     distinct: list[str] = []
     if with_activity:
-        aggs += activity_aggregates(median == "single_pass")
+        aggs += activity_aggregates()
         distinct.append("active_days")
     if "diversity" in blocks or "ratios" in blocks:
         distinct += DIVERSITY_FEATURES
@@ -287,18 +211,12 @@ def card_aggregates(txn: DataFrame, blocks: list[str], median: str = "auto") ->
         aggs += share_aggregates(TIME_SHARES)
     if "amount" in blocks:
         aggs += share_aggregates(AMOUNT_SHARES)
-    max_card_rows = None
-    if (with_activity or distinct) and median == "auto":
-        max_card_rows = largest_card_rows(txn)
-    # the card-level results are hash-partitioned on the card by their
-    # aggregates: a sort-merge join of them needs no further exchange
     out = ind.groupBy(CARD_ID_COLUMN).agg(*aggs)
-    if max_card_rows is not None and max_card_rows <= SET_PASS_MAX_ROWS:
-        return out.join(bounded_card_pass(txn, distinct, with_activity), CARD_ID_COLUMN, "left")
     if distinct:
         out = out.join(distinct_counts(txn, distinct), CARD_ID_COLUMN, "left")
-    if with_activity and median != "single_pass":
-        out = out.join(card_median(txn, median, max_card_rows), CARD_ID_COLUMN, "left")
+    if "activity" in blocks:
+        median = group_median_exact(txn, CARD_ID_COLUMN, AMOUNT, "median_amount")
+        out = out.join(median, CARD_ID_COLUMN, "left")
     return out
 
 
@@ -310,7 +228,7 @@ def _materialized_input(txn: DataFrame) -> DataFrame:
 
 
 def build_card_level_features(
-    txn: DataFrame, median: str = "auto", materialize_input: bool = True
+    txn: DataFrame, materialize_input: bool = True
 ) -> DataFrame:
     """All 26 features + label per card, nulls filled with 0.
 
@@ -322,9 +240,7 @@ def build_card_level_features(
     """
     if materialize_input:
         txn = _materialized_input(txn)
-    agg = card_aggregates(
-        txn, ["activity", "diversity", "channel", "time", "amount", "ratios"], median
-    )
+    agg = card_aggregates(txn, ["activity", "diversity", "channel", "time", "amount", "ratios"])
     out = fill_numeric_nulls(agg.withColumns(card_ratios()))
     return out.select(CARD_ID_COLUMN, TARGET_COLUMN, *CARD_FEATURES)
 
@@ -340,7 +256,7 @@ def card_feature_block(txn: DataFrame, block: str) -> DataFrame:
         "ratios": RATIO_FEATURES,
     }[block]
     if block in ("activity", "ratios", "diversity"):
-        # size probe + several passes: read the prepared columns from one copy
+        # several passes: read the prepared columns from one copy
         txn = _materialized_input(txn)
     agg = card_aggregates(txn, [block])
     if block == "ratios":

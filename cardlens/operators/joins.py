@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardlens.operators.materialize import materialize
+
 _DEFAULT_MAX_BYTES = 10 * 1024 * 1024
 
 
@@ -64,24 +65,27 @@ def measured_bytes(dim: DataFrame) -> int:
 def checked_broadcast(dim: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Return (dim, broadcast?) after measuring the dimension.
 
-    The dimension is persisted (memory, spilling to disk) and measured by one
-    aggregate (row count, actual string bytes); the join then reads the
-    persisted rows. It is marked for broadcast only when the measured size
-    fits the session's broadcast threshold; otherwise the caller's join
-    shuffles both sides (and AQE splits skewed keys).
+    The dimension is written once (:func:`materialize`) and measured from there by
+    one aggregate, so nothing stays persisted whatever the outcome. It is marked
+    for broadcast only when the measured size fits the limit (default: the session's
+    broadcast threshold); otherwise the caller's join shuffles both sides.
     """
     limit = broadcast_limit_bytes(dim) if max_bytes is None else max_bytes
     if limit <= 0:
         return dim, False
-    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    if measured_bytes(dim) <= limit:
-        return F.broadcast(dim), True
-    return dim, False
+    dim = materialize(dim, "dimension")
+    return (F.broadcast(dim), True) if measured_bytes(dim) <= limit else (dim, False)
 
 
 def join_dimension(
-    fact: DataFrame, dim: DataFrame, on, how: str = "left", max_bytes: int | None = None
+    fact: DataFrame, dim: DataFrame, on: str, how: str = "left", max_bytes: int | None = None
 ) -> DataFrame:
-    """Fact-to-dimension join: broadcast when the dimension is measured small."""
-    side, _ = checked_broadcast(dim, max_bytes)
-    return fact.join(side, on=on, how=how)
+    """Left join of a dimension on one column: broadcast when it is measured small.
+
+    Beyond that, rows without a key go around the shuffle (they match nothing, and
+    would all meet in one partition); AQE splits the partition of a hot key."""
+    side, small = checked_broadcast(dim, max_bytes)
+    if small or how != "left":
+        return fact.join(side, on=on, how=how)
+    joined = fact.filter(F.col(on).isNotNull()).join(side, on=on, how="left")
+    return joined.unionByName(fact.filter(F.col(on).isNull()), allowMissingColumns=True)

@@ -21,7 +21,7 @@ from cardlens.config import (
 from cardlens.operators.features import fill_numeric_nulls, nan_skipping_max
 from cardlens.operators.joins import join_dimension
 from cardlens.operators.materialize import materialize
-from cardlens.operators.quantiles import group_quantile_nearest, largest_group_rows
+from cardlens.operators.quantiles import group_quantile_nearest
 
 AMOUNT = "transaction_amount_kzt"
 
@@ -91,14 +91,10 @@ def with_q95(
 ) -> DataFrame:
     """Left-join the per-card nearest-rank q95 of ``txn`` to ``cards``.
 
-    The largest card's row count in ``txn`` (a narrow probe; pass a
-    materialized ``txn``) picks the quantile plan. ``keys`` (default: the
-    card) identify a card row in both frames; both results are aggregated on
-    them, so the join adds no exchange of its own.
+    ``keys`` (default: the card) identify a card row in both frames.
     """
     keys = keys or [CARD_ID_COLUMN]
-    bound = largest_group_rows(txn, keys)
-    q = group_quantile_nearest(txn, keys, AMOUNT, 0.95, out, max_group_rows=bound)
+    q = group_quantile_nearest(txn, keys, AMOUNT, 0.95, out)
     return cards.join(q, keys, "left")
 
 
@@ -113,9 +109,8 @@ def card_b2b_index(weighted: DataFrame) -> DataFrame:
     )
 
 
-# columns the per-card MCC families read (the input is written once as
-# parquet because each family reads it four times: weights, card pass, the
-# size probe and q95)
+# columns the per-card MCC families read (the input is written once as parquet
+# because each family reads it three times: weights, card pass and q95)
 _MCC_INPUT = [CARD_ID_COLUMN, TARGET_COLUMN, AMOUNT, "mcc"]
 _EXT_INPUT = _MCC_INPUT + ["transaction_timestamp", "channel", "Is_recurring"]
 
@@ -160,37 +155,36 @@ def extended_features(txn: DataFrame) -> DataFrame:
     return fill_numeric_nulls(with_q95(cards, txn))
 
 
-def safe_features(train_txn: DataFrame, test_txn: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Train-fitted MCC weights applied to both frames (no label leakage).
+SIDE = "is_test"
+
 
-    Before aggregating, a missing weight (MCC unseen in training, or null MCC)
-    and a missing amount count as 0.0.
+def build_safe_features(txn: DataFrame) -> DataFrame:
+    """Train-fitted MCC weights applied to both sides (no label leakage).
 
-    Both frames are tagged with their side and written as one table, so the
-    weight join (one size check), the card pass and the q95 pass each run
-    once over both sides, grouped by ``(card, side)``; a card present in both
-    frames gets one row per frame.
+    ``txn`` is labelled and carries ``is_test``; the result has one row per card and
+    side. Before aggregating, a missing weight (MCC unseen in training, or null
+    MCC) and a missing amount count as 0.0.
+
+    Both sides go through one weight join, one card pass and one q95 pass, grouped
+    by ``(card, side)``; the q95 pass needs no weights and reads the input alone.
     """
-    side = "_side"
-    both = materialize(
-        train_txn.select(*_EXT_INPUT, F.lit(0).alias(side)).unionByName(
-            test_txn.select(*_EXT_INPUT, F.lit(1).alias(side))
-        ),
-        "safe-input",
-    )
-    weights = mcc_weights(both.filter(F.col(side) == 0))
-    w = attach_weights(both, weights).withColumns(
-        {
-            "mcc_b2b_weight": F.coalesce(F.col("mcc_b2b_weight"), F.lit(0.0)),
-            AMOUNT: F.coalesce(F.col(AMOUNT), F.lit(0.0)),
-        }
+    both = txn.select(*_EXT_INPUT, F.col(SIDE).cast("boolean").alias(SIDE))
+    both = materialize(both.withColumn(AMOUNT, F.coalesce(F.col(AMOUNT), F.lit(0.0))), "safe-input")
+    weights = mcc_weights(both.filter(~F.col(SIDE)))
+    weight = F.coalesce(F.col("mcc_b2b_weight"), F.lit(0.0))
+    keys = [CARD_ID_COLUMN, SIDE]
+    cards = attach_weights(both, weights).groupBy(*keys).agg(*extended_aggregates(weight))
+    return fill_numeric_nulls(with_q95(cards, both, keys=keys))
+
+
+def safe_features(train_txn: DataFrame, test_txn: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`build_safe_features` for two frames; a card present in both gets one
+    row per frame. The card rows are written once, so both results read them."""
+    both = train_txn.select(*_EXT_INPUT, F.lit(False).alias(SIDE)).unionByName(
+        test_txn.select(*_EXT_INPUT, F.lit(True).alias(SIDE))
     )
-    keys = [CARD_ID_COLUMN, side]
-    cards = w.groupBy(*keys).agg(*extended_aggregates(F.col("mcc_b2b_weight")))
-    feats = fill_numeric_nulls(with_q95(cards, w, keys=keys))
-    train = feats.filter(F.col(side) == 0).drop(side)
-    test = feats.filter(F.col(side) == 1).drop(side)
-    return train, test
+    cards = materialize(build_safe_features(both), "safe-cards")
+    return cards.filter(~F.col(SIDE)).drop(SIDE), cards.filter(F.col(SIDE)).drop(SIDE)
 
 
 def class_profile(cards: DataFrame, columns: list[str], target: str = TARGET_COLUMN) -> DataFrame:

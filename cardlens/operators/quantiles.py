@@ -17,25 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.config import MEDIAN_SINGLE_TASK_MAX_ROWS, SET_PASS_MAX_ROWS
-from cardlens.operators.ranking import grouped_cumulative, ordered_cumulative
-
-
-def _cumulative(counts: DataFrame, keys: list[str], max_group_rows: int | None) -> DataFrame:
-    """Per-group window when every group is proven small, else the
-    range-partitioned plan (a hot group is split across tasks)."""
-    if max_group_rows is not None and max_group_rows <= MEDIAN_SINGLE_TASK_MAX_ROWS:
-        return grouped_cumulative(counts, keys, "_v", "_cnt")
-    return ordered_cumulative(counts, keys, "_v", "_cnt")
-
-
-def largest_group_rows(df: DataFrame, group: str | list[str]) -> int:
-    """Row count of the largest group (one number to the driver): a narrow
-    pass over the key columns, map-side partial counts, then a global max.
-    Used as the measured bound that selects a per-group plan."""
-    keys = [group] if isinstance(group, str) else list(group)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
+from cardlens.operators.ranking import ordered_cumulative
 
 
 def nearest_rank_position(q: float, n: Column) -> Column:
@@ -49,29 +31,18 @@ def group_quantile_nearest(
     value: str,
     q: float,
     out: str,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """One row per group with a non-null value: ``(*group, out)``.
 
-    ``group`` is one key column or several. ``max_group_rows`` is a measured
-    bound on rows per group (if the caller has one): at most
-    ``SET_PASS_MAX_ROWS`` selects one aggregate of sorted per-group value
-    lists, at most ``MEDIAN_SINGLE_TASK_MAX_ROWS`` the per-group window over
-    distinct value counts, otherwise the range-partitioned plan.
+    ``group`` is one key column or several.
     """
     keys = [group] if isinstance(group, str) else list(group)
     vals = df.select(*keys, F.nanvl(F.col(value), F.lit(None).cast("double")).alias("_v")).filter(
         F.col("_v").isNotNull()
     )
-    if max_group_rows is not None and max_group_rows <= SET_PASS_MAX_ROWS:
-        # every group is proven small: one aggregate sorts each group's values
-        # (state <= the measured row bound) and picks the position
-        lists = vals.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
-        pos = nearest_rank_position(q, F.size("_vs"))
-        return lists.select(*keys, F.element_at("_vs", (pos + 1).cast("int")).alias(out))
     counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = _cumulative(counts, keys, max_group_rows)
-    n = cum.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
+    cum = ordered_cumulative(counts, keys, "_v", "_cnt")
+    n = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
     target = n.select(*keys, nearest_rank_position(q, F.col("_n")).alias("_pos"))
     hit = cum.join(target, keys).filter(
         (F.col("_cum_before") <= F.col("_pos")) & (F.col("_pos") < F.col("_cum_before") + F.col("_cnt"))
@@ -90,7 +61,7 @@ def group_median_exact(df: DataFrame, group: str, value: str, out: str) -> DataF
     vals = df.select(group, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     counts = vals.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
     cum = ordered_cumulative(counts, [group], "_v", "_cnt")
-    n = cum.groupBy(group).agg(F.sum("_cnt").alias("_n"))
+    n = counts.groupBy(group).agg(F.sum("_cnt").alias("_n"))
     targets = n.select(
         group,
         F.floor((F.col("_n") - 1) / 2).cast("long").alias("_lo"),

@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardlens.session import ensure_checkpoint_dir
+
 
 def ordered_cumulative(
     df: DataFrame,
@@ -36,6 +38,7 @@ def ordered_cumulative(
 
     ``df`` must hold one row per ``(keys, order)`` value (pre-aggregate first).
     """
+    ensure_checkpoint_dir(df.sparkSession)
     sort_cols = [*[F.col(k).asc_nulls_first() for k in keys], F.col(order)]
     # Without an explicit count AQE may coalesce adjacent ranges; coalesced
     # partitions are still contiguous and in order, which is all we need.
@@ -67,16 +70,3 @@ def ordered_cumulative(
     out = joined.withColumn("_cum", F.col("_offset") + F.col("_local_cum"))
     out = out.withColumn("_cum_before", F.col("_cum") - F.col(weight))
     return out.drop("_pid", "_local_cum", "_offset", *[f"_o{c}" for c in block])
-
-
-def grouped_cumulative(df: DataFrame, keys: list[str], order: str, weight: str) -> DataFrame:
-    """Same columns as :func:`ordered_cumulative` from a per-group window.
-
-    Only for groups whose size the caller has bounded: each group is sorted
-    by one task (spilling if needed).
-    """
-    w = Window.partitionBy(*keys).orderBy(F.col(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    out = df.withColumn("_cum", F.sum(weight).over(w))
-    return out.withColumn("_cum_before", F.col("_cum") - F.col(weight))

@@ -75,7 +75,7 @@ def split_train_test(
     """(train, test, feature columns); ``exact`` gives exact per-class shares."""
     cols = feature_columns(cards)
     if not cols:
-        raise ValueError("No model feature columns were found.")
+        raise ValueError(f"nothing to train on among {cards.columns}")
     if exact:
         tagged = assign_split_exact(cards, test_size, seed).withColumn("split_bucket", F.lit(0))
     else:

@@ -527,10 +527,9 @@ te_w AS (SELECT te.* REPLACE (coalesce(te.transaction_amount_kzt, 0.0) AS transa
 def encode_train_apply(spark, sf_dir):
     t = labelled(spark, sf_dir)
     is_test = split.split_bucket(F.col(CARD_ID_COLUMN)) < _TEST_CUT
-    train_f, test_f = mcc.safe_features(t.filter(~is_test), t.filter(is_test))
-    return train_f.withColumn("split", F.lit("train")).unionByName(
-        test_f.withColumn("split", F.lit("test"))
-    )
+    cards = mcc.build_safe_features(t.withColumn(mcc.SIDE, F.coalesce(is_test, F.lit(False))))
+    side = F.when(F.col(mcc.SIDE), "test").otherwise("train")
+    return cards.withColumn("split", side).drop(mcc.SIDE)
 
 
 _PROFILE_HH = ["global_max_amount", "global_quantile_95", "card_b2b_index", "max_amount_mcc_5411"]

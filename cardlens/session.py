@@ -68,7 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    if not spark.sparkContext.master.startswith("local"):
+    # local and local[...] share one disk; local-cluster[...] has executors of its own
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
             "for lineage cuts on a cluster"

@@ -12,12 +12,6 @@ RAW_SOURCE_FILES = {
     "merchants_reference": "merchants_reference.parquet",
 }
 
-MISSING_DATA_MESSAGE = (
-    "Please place business_cards.parquet, consumer_cards.parquet, "
-    "and merchants_reference.parquet into the raw data folder"
-)
-
-
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Lazy parquet scan (filters and projections reach the reader)."""
     return spark.read.parquet(path)
@@ -35,7 +29,7 @@ def validate_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, Da
             else:
                 raise
     if missing:
-        raise FileNotFoundError(f"{MISSING_DATA_MESSAGE}\nMissing files: {', '.join(missing)}")
+        raise FileNotFoundError(f"not found in the source set: {', '.join(sorted(missing))}")
     return frames
 
 
@@ -50,21 +44,6 @@ def load_raw_data(
     return validate_sources(spark, paths)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that has fewer files than the cluster has cores.
-
-    A small source stored as one file (one row group) is scanned by one task,
-    which would then do all of the cleaning alone. Large inputs (at least one
-    file per core) are returned unchanged: no extra shuffle at scale.
-    Filters and column pruning still reach the scan below the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a scale-factor folder (``{sf_dir}/{name}.parquet``)."""
-    df = load_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if balance else df
+    return load_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")

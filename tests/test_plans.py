@@ -42,16 +42,38 @@ def test_flagship_scan_is_pruned_and_filtered(spark):
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in text
 
 
-def test_card_features_plan_follows_measured_bound(spark):
+def test_card_features_have_one_plan_for_every_size(spark):
     from cardlens.operators.features import build_card_level_features
     from cardlens.plans.queries import prepared
 
-    txn = prepared(spark, SF)
-    small = _plan(build_card_level_features(txn, median="auto"))
-    general = _plan(build_card_level_features(txn, median="grouped"))
-    # cards measured small: one bounded per-card pass, no Expand
-    assert "collect_set" in small and "Expand" not in small
-    # general plan: Expand-based distinct counts, a separate median pass
-    assert "Expand" in general and "collect_set" not in general
-    # the wide pass stays a (codegen) hash aggregate in both
-    assert "HashAggregate(keys=[card_number" in small
+    plan = _plan(build_card_level_features(prepared(spark, SF)))
+    # two-level distinct counts, no per-card collections, a codegen wide pass
+    assert "Expand" in plan and "collect_set" not in plan and "percentile" not in plan
+    assert "HashAggregate(keys=[card_number" in plan
+
+
+def test_safe_encoding_joins_weights_once(spark):
+    df = QUERIES["encode_train_apply"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2  # the weights, and the q95 of each card
+
+
+def test_dimension_join_of_null_keys(spark):
+    fact = spark.range(1000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 50).alias("k"), F.col("id").alias("v")
+    )
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    a = sorted(map(repr, join_dimension(fact, dim, "k").collect()))
+    b = sorted(map(repr, join_dimension(fact, dim, "k", max_bytes=1).collect()))
+    assert a == b and len(a) == 1000
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
+
+
+def test_features_sink_is_in_card_order(spark, tmp_path):
+    from cardlens.sources.sinks import write_features
+
+    df = spark.range(500).select((F.col("id") * 7919 % 500).cast("string").alias("card_number")).repartition(6)
+    write_features(df, str(tmp_path / "f"))
+    parts = sorted((tmp_path / "f").glob("part-*.parquet"))
+    cards = [r.card_number for p in parts for r in spark.read.parquet(str(p)).collect()]
+    assert cards == sorted(cards) and len(cards) == 500
