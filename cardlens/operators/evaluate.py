@@ -59,6 +59,10 @@ def binary_metrics(pred: DataFrame) -> DataFrame:
     )
 
 
+# order of the report
+REPORT_ROWS = (*CLASS_NAMES, "accuracy", "macro avg", "weighted avg")
+
+
 def classification_report(pred: DataFrame) -> DataFrame:
     """Per class precision/recall/f1/support, then accuracy, macro and weighted
     averages; the accuracy row carries accuracy in ``f1_score``."""

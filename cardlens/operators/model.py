@@ -7,11 +7,14 @@ coefficients, importances and metric rows reach the driver.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.classification import (
+    LogisticRegression,
+    LogisticRegressionModel,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,11 +23,17 @@ from cardlens.config import (
     CARD_ID_COLUMN,
     LR_MAX_ITER,
     RANDOM_STATE,
+    RF_MAX_BINS,
     RF_MAX_DEPTH,
     RF_MIN_INSTANCES_PER_NODE,
     RF_NUM_TREES,
     TARGET_COLUMN,
 )
+from cardlens.operators.materialize import materialize
+from cardlens.operators.quantiles import group_median_exact
+
+LR_TOLERANCE = 1e-9
+MODEL_NAMES = ("logistic_regression", "random_forest")
 
 
 def class_weight_table(train: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
@@ -70,55 +79,112 @@ def standardize(df: DataFrame, fitted_on: DataFrame, cols: list[str]) -> DataFra
     return df.withColumns({c: z(c) for c in cols})
 
 
-def _features_stage(cols: list[str]):
-    imputer = Imputer(
-        inputCols=cols, outputCols=[f"_imp_{c}" for c in cols], strategy="median", relativeError=0.0
-    )
-    assembler = VectorAssembler(inputCols=[f"_imp_{c}" for c in cols], outputCol="_raw_features")
-    return [imputer, assembler]
-
-
-def build_model_candidates(cols: list[str], n_train: int, seed: int = RANDOM_STATE) -> dict[str, Pipeline]:
-    """Logistic regression (median impute, standardize, L2, balanced) and a
-    random forest (median impute, balanced, 300 trees, leaf >= 3)."""
-    lr = LogisticRegression(
-        featuresCol="features",
-        labelCol=TARGET_COLUMN,
-        weightCol="class_weight",
-        maxIter=LR_MAX_ITER,
-        regParam=1.0 / max(n_train, 1),
-        elasticNetParam=0.0,
-        standardization=False,
-    )
-    scaler = StandardScaler(
-        inputCol="_raw_features", outputCol="features", withMean=True, withStd=True
-    )
-    rf = RandomForestClassifier(
-        featuresCol="_raw_features",
-        labelCol=TARGET_COLUMN,
-        weightCol="class_weight",
-        numTrees=RF_NUM_TREES,
-        minInstancesPerNode=RF_MIN_INSTANCES_PER_NODE,
-        maxDepth=RF_MAX_DEPTH,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-    )
-    return {
-        "logistic_regression": Pipeline(stages=[*_features_stage(cols), scaler, lr]),
-        "random_forest": Pipeline(stages=[*_features_stage(cols), rf]),
-    }
+def _missing(c: str) -> str:
+    return f"(`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)))"
+
+
+def fit_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
+    """Exact median of each column that has a missing value (null or NaN); 0 where
+    nothing is known. The medians come from range-partitioned running counts; complete
+    columns cost one count and no shuffle of their values."""
+    gaps = df.agg(*[F.count_if(F.expr(_missing(c))).alias(c) for c in cols]).first()
+    need = [c for c in cols if gaps[c]]
+    if not need:
+        return {}
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in need]
+    known = df.select(F.inline(F.array(*pairs))).filter("value IS NOT NULL AND NOT isnan(value)")
+    found = group_median_exact(known, "feature", "value", "median").collect()  # one row per column
+    return dict.fromkeys(need, 0.0) | {r["feature"]: r["median"] for r in found}
 
 
-def train_models(train: DataFrame, cols: list[str], seed: int = RANDOM_STATE) -> dict[str, PipelineModel]:
-    """Fit every candidate on the (persisted) weighted training frame."""
-    data = with_class_weights(train.withColumn(TARGET_COLUMN, F.col(TARGET_COLUMN).cast("double")))
-    data = data.persist()
-    n_train = data.count()
-    models = {
-        name: pipe.fit(data) for name, pipe in build_model_candidates(cols, n_train, seed).items()
-    }
-    data.unpersist()
-    return models
+def _number(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def impute_stage(cols: list[str], medians: dict[str, float]) -> SQLTransformer:
+    """``_imp_<c>``: the value, or the fitted median where it is missing."""
+    filled = [
+        f"CASE WHEN {_missing(c)} THEN {_number(medians[c])} ELSE CAST(`{c}` AS DOUBLE) END"
+        if c in medians
+        else f"CAST(`{c}` AS DOUBLE)"
+        for c in cols
+    ]
+    names = (f"{e} AS `_imp_{c}`" for e, c in zip(filled, cols, strict=True))
+    return SQLTransformer(statement=f"SELECT *, {', '.join(names)} FROM __THIS__")
+
+
+def scale_stage(cols: list[str], stats: dict[str, tuple[float, float]]) -> SQLTransformer:
+    """``_std_<c>``: :func:`standardize` of the filled columns (population std)."""
+    scaled = (
+        f"(`_imp_{c}` - {_number(stats[f'_imp_{c}'][0] or 0.0)}) / {_number(stats[f'_imp_{c}'][1] or 1.0)} AS `_std_{c}`"
+        for c in cols
+    )
+    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
+
+def train_models(
+    train: DataFrame, cols: list[str], seed: int = RANDOM_STATE, names: tuple[str, ...] = MODEL_NAMES
+) -> dict[str, PipelineModel]:
+    """Fit candidates on the weighted training rows, which are written once:
+    logistic regression (median impute, standardize, L2, balanced) and a random
+    forest (median impute, balanced, 300 trees, leaf >= 3, Spark's largest depth)."""
+    labelled = train.withColumn(TARGET_COLUMN, F.col(TARGET_COLUMN).cast("double"))
+    data = materialize(with_class_weights(labelled), "train")
+    impute = impute_stage(cols, fit_medians(data, cols))
+    stages: dict[str, list] = {}
+    if "logistic_regression" in names:
+        n = data.count()
+        stats = fit_standardizer(impute.transform(data), [f"_imp_{c}" for c in cols])
+        stages["logistic_regression"] = [
+            impute,
+            scale_stage(cols, stats),
+            VectorAssembler(inputCols=[f"_std_{c}" for c in cols], outputCol="features"),
+            LogisticRegression(
+                featuresCol="features",
+                labelCol=TARGET_COLUMN,
+                weightCol="class_weight",
+                maxIter=LR_MAX_ITER,
+                tol=LR_TOLERANCE,
+                regParam=1.0 / max(n, 1),
+                elasticNetParam=0.0,
+                standardization=False,
+            ),
+        ]
+    if "random_forest" in names:
+        stages["random_forest"] = [
+            impute,
+            VectorAssembler(inputCols=[f"_imp_{c}" for c in cols], outputCol="features"),
+            RandomForestClassifier(
+                featuresCol="features",
+                labelCol=TARGET_COLUMN,
+                weightCol="class_weight",
+                numTrees=RF_NUM_TREES,
+                minInstancesPerNode=RF_MIN_INSTANCES_PER_NODE,
+                maxDepth=RF_MAX_DEPTH,
+                maxBins=RF_MAX_BINS,
+                featureSubsetStrategy="sqrt",
+                seed=seed,
+            ),
+        ]
+    return {name: Pipeline(stages=s).fit(data) for name, s in stages.items()}
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame, cols: list[str]) -> DataFrame:
+    """``feature, gradient``: slope of the weighted, regularised loss at the fitted
+    coefficients (0 at the optimum), from one aggregate over the training rows."""
+    lr = model.stages[-1]
+    labelled = train.withColumn(TARGET_COLUMN, F.col(TARGET_COLUMN).cast("double"))
+    scored = positive_class_probability(model, with_class_weights(labelled))
+    miss = F.col("class_weight") * (F.col("y_proba") - F.col(TARGET_COLUMN))
+    sums = scored.agg(
+        F.sum("class_weight").alias("_w"), *[F.sum(miss * F.col(f"_std_{c}")).alias(c) for c in cols]
+    )
+    penalty = lr.getRegParam()
+    slopes = [
+        F.struct(F.lit(c).alias("feature"), (F.col(c) / F.col("_w") + F.lit(penalty * float(b))).alias("gradient"))
+        for c, b in zip(cols, lr.coefficients.toArray(), strict=True)
+    ]
+    return sums.select(F.inline(F.array(*slopes)))
 
 
 def positive_class_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -138,24 +204,21 @@ def score_cards(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def select_best_model_name(metrics: dict[str, dict]) -> str:
-    """Highest ROC AUC; F1 when AUC is missing/NaN; -inf when both are; the
-    first candidate wins ties."""
-
-    def score(m: dict) -> float:
-        v = m.get("roc_auc")
-        if v is None or (isinstance(v, float) and math.isnan(v)):
-            v = m.get("f1")
-        return float("-inf") if v is None else float(v)
-
-    return max(metrics, key=lambda k: score(metrics[k]))
+def mark_best(metrics: DataFrame) -> DataFrame:
+    """Adds ``is_best`` to ``position, roc_auc, f1, ...`` (one row per candidate):
+    the highest AUC, F1 where there is no AUC, nothing last; ties go to the
+    candidate that comes first."""
+    nothing = F.lit(None).cast("double")
+    score = F.coalesce(F.nanvl("roc_auc", nothing), F.nanvl("f1", nothing), F.lit(float("-inf")))
+    best_first = Window.orderBy(score.desc(), "position")  # a handful of candidates
+    return metrics.withColumn("is_best", F.row_number().over(best_first) == 1)
 
 
 def feature_importance(model: PipelineModel, cols: list[str]) -> tuple[list[float], str]:
-    """Tree importances, else absolute coefficients, else zeros."""
-    est = model.stages[-1]
-    if hasattr(est, "featureImportances"):
-        return [float(x) for x in est.featureImportances.toArray()], "feature_importance"
-    if hasattr(est, "coefficients"):
-        return [abs(float(x)) for x in est.coefficients.toArray()], "absolute_coefficient"
-    return [0.0] * len(cols), "not_available"
+    """Importances of the fitted classifier, by its kind."""
+    fitted = model.stages[-1]
+    if isinstance(fitted, RandomForestClassificationModel):
+        return fitted.featureImportances.toArray().tolist(), "feature_importance"
+    if isinstance(fitted, LogisticRegressionModel):
+        return abs(fitted.coefficients.toArray()).tolist(), "absolute_coefficient"
+    return [0.0 for _ in cols], "not_available"

@@ -9,52 +9,60 @@ each), <=26 importances and the row counts of the split.
 
 from __future__ import annotations
 
-import json
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.config import CLASSIFICATION_THRESHOLD, TEST_SIZE, TOP_FEATURES_IN_SUMMARY
-from cardlens.operators import evaluate, explain, model as M
+from cardlens.operators import evaluate, explain
+from cardlens.operators import model as M
 from cardlens.operators.enrich import prepare_transactions
 from cardlens.operators.features import build_card_level_features
+from cardlens.operators.materialize import materialize, run_folder
 from cardlens.operators.split import split_train_test
+from cardlens.session import get_session
 from cardlens.sources import sinks
 from cardlens.sources.tables import load_raw_data
 
-
-def evaluate_model(pipeline_model, test: DataFrame) -> tuple[dict, DataFrame]:
-    """Metrics dict (from one-row aggregates) and the scored test frame."""
-    pred = evaluate.predict_with_threshold(M.score_cards(pipeline_model, test), CLASSIFICATION_THRESHOLD)
-    pred = pred.persist()
-    m = evaluate.binary_metrics(pred).first().asDict()
+_REPORT = "array<struct<class_name:string,precision:double,recall:double,f1_score:double,support:bigint>>"
+METRICS_SCHEMA = (
+    "model_name string, position int, accuracy double, precision double, recall double, f1 double, "
+    "tp bigint, fp bigint, fn bigint, tn bigint, roc_auc double, "
+    f"classification_report {_REPORT}"
+)
+
+
+def calculate_metrics(name: str, position: int, pred: DataFrame) -> DataFrame:
+    """One row of :data:`METRICS_SCHEMA` for a scored frame (``y_true, y_pred,
+    y_proba``); all of it from aggregates."""
+    report = evaluate.classification_report(pred).agg(
+        F.collect_list(F.struct("class_name", "precision", "recall", "f1_score", "support")).alias("r")
+    )
+    row = evaluate.binary_metrics(pred).first()
     auc = evaluate.roc_auc(pred).first()["roc_auc"]
-    cm = [
-        [r["n"] for r in sorted(evaluate.confusion_matrix(pred).collect(), key=lambda r: (r["y_true"], r["y_pred"])) if r["y_true"] == t]
-        for t in (0, 1)
-    ]
-    report = {r["class_name"]: r.asDict() for r in evaluate.classification_report(pred).collect()}
-    metrics = {
-        "accuracy": m["accuracy"],
-        "precision": m["precision"],
-        "recall": m["recall"],
-        "f1": m["f1"],
-        "confusion_matrix": cm,
-        "classification_report": report,
-        "roc_auc": auc,
-    }
-    return metrics, pred
+    order = {n: i for i, n in enumerate(evaluate.REPORT_ROWS)}
+    lines = sorted((tuple(x) for x in report.first()["r"]), key=lambda x: order[x[0]])
+    values = [row[c] for c in ("accuracy", "precision", "recall", "f1", "tp", "fp", "fn", "tn")]
+    return pred.sparkSession.createDataFrame([(name, position, *values, auc, lines)], METRICS_SCHEMA)
+
+
+def compare(predictions: dict[str, DataFrame]) -> DataFrame:
+    """Metrics of every candidate, in order, with ``is_best``."""
+    rows = [calculate_metrics(name, i, pred) for i, (name, pred) in enumerate(predictions.items())]
+    return M.mark_best(reduce(DataFrame.unionByName, rows))
 
 
 def train_and_compare(spark: SparkSession, cards: DataFrame) -> dict:
     train, test, cols = split_train_test(cards)
-    train, test = train.persist(), test.persist()
     models = M.train_models(train, cols)
-    metrics, preds = {}, {}
-    for name, pm in models.items():
-        metrics[name], preds[name] = evaluate_model(pm, test)
-    best = M.select_best_model_name(metrics)
+    preds = {
+        name: materialize(evaluate.predict_with_threshold(M.score_cards(m, test), CLASSIFICATION_THRESHOLD), "scores")
+        for name, m in models.items()
+    }
+    metrics = compare(preds)
+    best = metrics.filter("is_best").first()["model_name"]
     importance = explain.get_feature_importance(spark, models[best], cols)
     return {
         "train": train,
@@ -68,25 +76,29 @@ def train_and_compare(spark: SparkSession, cards: DataFrame) -> dict:
     }
 
 
-def summary_frame(spark: SparkSession, run: dict) -> DataFrame:
-    top = [r.asDict() for r in explain.top_features(run["importance"], TOP_FEATURES_IN_SUMMARY).collect()]
-    payload = {
-        "best_model": run["best"],
-        "selection_metric": "roc_auc",
-        "threshold": CLASSIFICATION_THRESHOLD,
-        "test_size": TEST_SIZE,
-        "train_cards": run["train"].count(),
-        "test_cards": run["test"].count(),
-        "feature_count": len(run["feature_columns"]),
-        "feature_columns": run["feature_columns"],
-        "models": {
-            k: {kk: vv for kk, vv in v.items() if kk not in ("classification_report",)}
-            for k, v in run["metrics"].items()
-        },
-        "top_features": top,
+def summary_frame(
+    metrics: DataFrame, importance: DataFrame, cols: list[str], train_cards: int, test_cards: int
+) -> DataFrame:
+    """The run's summary as one nested row: choice, settings, every candidate's metrics
+    with its per-class report, and the most important features."""
+    models = metrics.agg(
+        F.max(F.when(F.col("is_best"), F.col("model_name"))).alias("best_model"),
+        F.array_sort(F.collect_list(F.struct("position", *[c for c in metrics.columns if c != "position"]))).alias("models"),
+    )
+    top = explain.top_features(importance, TOP_FEATURES_IN_SUMMARY)
+    top = top.agg(F.array_sort(F.collect_list(F.struct(*top.columns))).alias("top_features"))
+    settings = {
+        "selection_metric": F.lit("roc_auc"),
+        "threshold": F.lit(CLASSIFICATION_THRESHOLD),
+        "test_size": F.lit(TEST_SIZE),
+        "train_cards": F.lit(train_cards).cast("long"),
+        "test_cards": F.lit(test_cards).cast("long"),
+        "feature_count": F.lit(len(cols)),
+        "feature_columns": F.array(*map(F.lit, cols)),
     }
-    doc = F.lit(json.dumps(payload))
-    return spark.range(1).select(F.from_json(doc, F.schema_of_json(doc)).alias("d")).select("d.*")
+    one = F.lit(1).alias("_one")  # both sides are one row
+    both = models.select("*", one).join(top.select("*", one), "_one").drop("_one")
+    return both.withColumns(settings)
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
@@ -97,8 +109,11 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
     # the written table cuts the lineage: training re-reads features, not transactions
     cards = spark.read.parquet(features_path)
     run = train_and_compare(spark, cards)
-    sinks.write_summary(summary_frame(spark, run), f"{out_dir}/metrics/metrics.json")
-    sinks.write_predictions(run["predictions"][run["best"]], f"{out_dir}/predictions/test_predictions.csv")
+    summary = summary_frame(
+        run["metrics"], run["importance"], run["feature_columns"], run["train"].count(), run["test"].count()
+    )
+    sinks.write_summary(summary, f"{out_dir}/metrics/metrics.json")
+    sinks.save_predictions(run["predictions"][run["best"]], f"{out_dir}/predictions/test_predictions.csv")
     sinks.save_model(run["models"][run["best"]], f"{out_dir}/models/model")
     return run
 
@@ -107,13 +122,14 @@ def main(argv: list[str]) -> int:
     if len(argv) != 3:
         print("usage: pipeline.py <raw_dir> <out_dir>", file=sys.stderr)
         return 2
-    spark = SparkSession.builder.appName("cardlens-pipeline").getOrCreate()
+    spark = get_session(app_name="cardlens-pipeline")
     try:
-        run = run_pipeline(spark, argv[1], argv[2])
-    except FileNotFoundError as exc:
-        print(f"\nERROR: {exc}", file=sys.stderr)
+        with run_folder(spark):
+            best = run_pipeline(spark, argv[1], argv[2])["best"]
+    except FileNotFoundError as missing:
+        print(f"pipeline: {missing}", file=sys.stderr)
         return 1
-    print(f"Best model: {run['best']}")
+    print(f"chosen: {best}")
     return 0
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.config import CARD_ID_COLUMN, RANDOM_STATE, SPLIT_BUCKETS, TEST_SIZE, TOP20_MCC
+from cardlens.config import CARD_ID_COLUMN, CLASS_NAMES, RANDOM_STATE, SPLIT_BUCKETS, TEST_SIZE, TOP20_MCC
 from cardlens.operators import clean, enrich, evaluate, features, mcc, split
 from cardlens.plans import oracle as O
 from cardlens.sources import fixtures
@@ -817,26 +817,21 @@ def rank_consumers(spark, sf_dir):
     )
 
 
-# -- model fits, selection, importance, summary (M2-M9, E5, E6): rows-only checks ----------
+# -- model fits (M2-M7): the fits themselves are beyond SQL, their optimum is not ------------
 
-_RUNS: dict[tuple[str, str], dict] = {}
-
-
-def model_run(spark: SparkSession, sf_dir: str) -> dict:
-    """Train both candidates once per (application, folder)."""
-    from cardlens.plans.pipeline import train_and_compare
 
+def _split_cards(spark: SparkSession, sf_dir: str):
     from cardlens.operators.materialize import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _RUNS:
-        cards = materialize(card_features_df(spark, sf_dir), "card-features")
-        _RUNS[key] = train_and_compare(spark, cards)
-    return _RUNS[key]
+    return split.split_train_test(materialize(card_features_df(spark, sf_dir), "card-features"))
 
 
 def _scores(spark, sf_dir, name):
-    return model_run(spark, sf_dir)["predictions"][name].select(
+    from cardlens.operators import model as M
+
+    train, test, cols = _split_cards(spark, sf_dir)
+    fitted = M.train_models(train, cols, names=(name,))[name]
+    return evaluate.predict_with_threshold(M.score_cards(fitted, test)).select(
         "card_number", "y_true", "y_pred", "y_proba"
     )
 
@@ -851,26 +846,139 @@ def score_forest(spark, sf_dir):
     return _scores(spark, sf_dir, "random_forest")
 
 
-@register("select_best_model")
+@register(
+    "logistic_optimum",
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in features.CARD_FEATURES) + "]) AS feature, true AS at_optimum",
+)
+def logistic_optimum(spark, sf_dir):
+    """The regularised loss is flat at the fitted coefficients, feature by feature."""
+    from cardlens.operators import model as M
+
+    train, _, cols = _split_cards(spark, sf_dir)
+    fitted = M.train_models(train, cols, names=("logistic_regression",))["logistic_regression"]
+    slopes = M.logistic_gradient(fitted, train, cols)
+    return slopes.select("feature", (F.abs("gradient") < 1e-4).alias("at_optimum"))
+
+
+# -- selection, importance, summary (M8, E5, E6, W1, S8) over two scorers that SQL can express --
+
+
+def _two_scorers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    pred = scored_predictions(spark, sf_dir).select("card_number", "y_true", "y_pred", "y_proba")
+    other = pred.withColumn("y_proba", F.pmod(F.col("card_number").cast("long"), F.lit(11)) / 10.0)
+    return {"balance_rule": pred, "key_rule": evaluate.predict_with_threshold(other)}
+
+
+_BEST = """
+key_scored AS (SELECT card_number, y_true, (CAST(card_number AS BIGINT) % 11) / 10.0::DOUBLE AS y_proba FROM scored),
+both_pred AS (
+  SELECT 0 AS position, 'balance_rule' AS model_name, y_true, y_proba, CAST(y_proba >= 0.5 AS INTEGER) AS y_pred FROM scored
+  UNION ALL
+  SELECT 1, 'key_rule', y_true, y_proba, CAST(y_proba >= 0.5 AS INTEGER) FROM key_scored),
+both_cm AS (
+  SELECT position, model_name, count_if(y_true = 1 AND y_pred = 1)::BIGINT AS tp, count_if(y_true = 0 AND y_pred = 1)::BIGINT AS fp,
+         count_if(y_true = 1 AND y_pred = 0)::BIGINT AS fn, count_if(y_true = 0 AND y_pred = 0)::BIGINT AS tn
+  FROM both_pred GROUP BY ALL),
+both_auc AS (
+  SELECT model_name, (sum(CASE WHEN y_true = 1 THEN r ELSE 0 END) - count_if(y_true = 1) * (count_if(y_true = 1) + 1) / 2.0)
+         / (count_if(y_true = 1)::DOUBLE * count_if(y_true <> 1)) AS roc_auc
+  FROM (SELECT model_name, y_true, rank() OVER (PARTITION BY model_name ORDER BY y_proba)
+               + (count(*) OVER (PARTITION BY model_name, y_proba) - 1) / 2.0 AS r FROM both_pred)
+  GROUP BY model_name),
+compared AS (
+  SELECT *, row_number() OVER (ORDER BY roc_auc DESC, position) = 1 AS is_best FROM (
+    SELECT position, model_name, tp, fp, fn, tn, roc_auc, {acc} AS accuracy, {p} AS precision, {r} AS recall, {f} AS f1
+    FROM both_cm JOIN both_auc USING (model_name)))""".format(
+    acc=_P.format(n="tp + tn", d="tp + fp + fn + tn"),
+    p=_P.format(n="tp", d="tp + fp"),
+    r=_P.format(n="tp", d="tp + fn"),
+    f=_P.format(n="2 * tp", d="2 * tp + fp + fn"),
+)
+
+
+@register(
+    "select_best_model",
+    O.with_ctes("SELECT model_name, roc_auc, f1, is_best FROM compared", base=[_SCORED, _BEST]),
+)
 def select_best_model(spark, sf_dir):
-    run = model_run(spark, sf_dir)
-    rows = [
-        (name, m.get("roc_auc"), float(m["f1"]), name == run["best"])
-        for name, m in run["metrics"].items()
-    ]
-    return spark.createDataFrame(rows, "model_name string, roc_auc double, f1 double, is_best boolean")
+    from cardlens.plans.pipeline import compare
+
+    return compare(_two_scorers(spark, sf_dir)).select("model_name", "roc_auc", "f1", "is_best")
 
 
-@register("importance_ranked")
+def _mean_gap_importance(cards: DataFrame) -> DataFrame:
+    """Distance of the class means of each feature: an importance that needs no fit."""
+    gap = {
+        c: F.abs(
+            F.avg(F.when(F.col("label") == 1, F.col(c))) - F.avg(F.when(F.col("label") == 0, F.col(c)))
+        )
+        for c in features.CARD_FEATURES
+    }
+    wide = cards.agg(*[F.round(F.coalesce(g, F.lit(0.0)), 6).alias(c) for c, g in gap.items()])
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("importance")) for c in gap]
+    return wide.select(F.inline(F.array(*rows))).withColumn("importance_type", F.lit("mean_gap"))
+
+
+_IMPORTANCE = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(coalesce(abs(avg(CASE WHEN label = 1 THEN {c} END)"
+    f" - avg(CASE WHEN label = 0 THEN {c} END)), 0), 6) AS importance FROM card_feat"
+    for c in features.CARD_FEATURES
+)
+
+
+@register(
+    "importance_ranked",
+    O.with_ctes(
+        "SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank, feature, importance,"
+        f" 'mean_gap' AS importance_type FROM ({_IMPORTANCE})",
+    ),
+)
 def importance_ranked(spark, sf_dir):
-    return model_run(spark, sf_dir)["importance"]
+    from cardlens.operators.explain import rank_importance
 
+    return rank_importance(_mean_gap_importance(card_features_df(spark, sf_dir)))
 
-@register("metrics_payload")
-def metrics_payload(spark, sf_dir):
-    from cardlens.plans.pipeline import summary_frame
 
-    return summary_frame(spark, model_run(spark, sf_dir))
+@register(
+    "metrics_payload",
+    O.with_ctes(
+        """SELECT (SELECT model_name FROM compared WHERE is_best) AS best_model, 'roc_auc' AS selection_metric, 0.5::DOUBLE AS threshold,
+       model_name, accuracy, tp, fp, fn, tn, roc_auc, class_name, c_precision, c_recall, c_f1, support
+FROM compared JOIN (
+  SELECT model_name, 'consumer' AS class_name, {p0} AS c_precision, {r0} AS c_recall, {f0} AS c_f1, tn + fp AS support FROM both_cm
+  UNION ALL SELECT model_name, 'business_like', {p1}, {r1}, {f1}, tp + fn FROM both_cm) USING (model_name)""".format(
+            p0=_P.format(n="tn", d="tn + fn"), r0=_P.format(n="tn", d="tn + fp"),
+            f0=_P.format(n="2 * tn", d="2 * tn + fn + fp"),
+            p1=_P.format(n="tp", d="tp + fp"), r1=_P.format(n="tp", d="tp + fn"),
+            f1=_P.format(n="2 * tp", d="2 * tp + fp + fn"),
+        ),
+        base=[_SCORED, _BEST],
+    ),
+)
+def metrics_payload(spark, sf_dir):
+    """The summary document of two scorers, unfolded to one row per model and class."""
+    from cardlens.operators.explain import rank_importance
+    from cardlens.plans.pipeline import compare, summary_frame
+
+    scorers = _two_scorers(spark, sf_dir)
+    pred = scorers["balance_rule"]
+    score = pred.agg(F.avg("y_proba").alias("importance"))
+    importance = rank_importance(
+        score.select(F.lit("y_proba").alias("feature"), "importance", F.lit("mean").alias("importance_type"))
+    )
+    doc = summary_frame(compare(scorers), importance, ["y_proba"], 0, pred.count())
+    models = doc.select("best_model", "selection_metric", "threshold", F.explode("models").alias("m"))
+    lines = models.select(
+        "best_model", "selection_metric", "threshold", "m.model_name", "m.accuracy",
+        "m.tp", "m.fp", "m.fn", "m.tn", "m.roc_auc", F.explode("m.classification_report").alias("c"),
+    )
+    lines = lines.filter(F.col("c.class_name").isin(*CLASS_NAMES))
+    named = {"precision": "c_precision", "recall": "c_recall", "f1_score": "c_f1", "support": "support"}
+    return lines.select(
+        *[c for c in lines.columns if c != "c"],
+        F.col("c.class_name").alias("class_name"),
+        *[F.col(f"c.{a}").alias(b) for a, b in named.items()],
+    )
 
 
 # -- flagship at volume: one transaction per order line --------------------------------------

@@ -14,7 +14,7 @@ def write_features(cards: DataFrame, path: str) -> None:
     cards.orderBy("card_number").write.mode("overwrite").parquet(path)
 
 
-def write_predictions(pred: DataFrame, path: str) -> None:
+def save_predictions(pred: DataFrame, path: str) -> None:
     """Predictions sorted by score, descending (ties by card).
 
     The global sort range-partitions the rows, so part files are in order

@@ -47,10 +47,6 @@ def test_train_score_select_and_reload(spark):
 
     aucs = {k: roc_auc(M.score_cards(m, test)).first().roc_auc for k, m in models.items()}
     assert all(a > 0.9 for a in aucs.values())
-    best = M.select_best_model_name({k: {"roc_auc": v, "f1": 0.0} for k, v in aucs.items()})
-    assert best in models
-    assert M.select_best_model_name({"a": {"roc_auc": None, "f1": 0.2}, "b": {"roc_auc": float("nan"), "f1": 0.5}}) == "b"
-    assert M.select_best_model_name({"a": {"roc_auc": 0.7}, "b": {"roc_auc": 0.7}}) == "a"
     path = tempfile.mkdtemp(prefix="cardlens-model-")
     sinks.save_model(models["logistic_regression"], path + "/lr")
     again = sinks.load_model(path + "/lr")
@@ -63,6 +59,35 @@ def test_train_score_select_and_reload(spark):
     assert kind == "absolute_coefficient" and min(imp) >= 0
 
 
+def test_mark_best_rules(spark):
+    def best(*rows):
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "position int, model_name string, roc_auc double, f1 double")
+        return M.mark_best(df).filter("is_best").first().model_name
+
+    assert best(("a", 0.6, 0.9), ("b", 0.7, 0.1)) == "b"
+    assert best(("a", None, 0.2), ("b", float("nan"), 0.5)) == "b"
+    assert best(("a", 0.7, 0.0), ("b", 0.7, 1.0)) == "a"
+    assert best(("a", None, None), ("b", None, 0.0)) == "b"
+
+
+def test_medians_only_where_something_is_missing(spark):
+    rows = [(1.0, 1.0, float("nan")), (5.0, None, None), (None, 9.0, None), (float("nan"), 3.0, None)]
+    df = spark.createDataFrame([(*r, 7.0) for r in rows], "a double, b double, c double, d double")
+    assert M.fit_medians(df, ["a", "b", "c", "d"]) == {"a": 3.0, "b": 3.0, "c": 0.0}
+    filled = M.impute_stage(["a", "d"], {"a": 3.0}).transform(df)
+    assert sorted(r["_imp_a"] for r in filled.collect()) == [1.0, 3.0, 3.0, 5.0]
+    assert {r["_imp_d"] for r in filled.collect()} == {7.0}
+
+
+def test_forest_shape_and_seed(spark):
+    train, test, cols = split_train_test(_cards(spark, 200))
+    one, two = (M.train_models(train, cols, names=("random_forest",))["random_forest"] for _ in range(2))
+    forest = one.stages[-1]
+    assert forest.getNumTrees == 300 and abs(sum(forest.featureImportances) - 1) < 1e-9
+    a, b = ({r.card_number: r.y_proba for r in M.score_cards(m, test).collect()} for m in (one, two))
+    assert a == b
+
+
 def test_missing_sources_listed_together(spark):
     d = tempfile.mkdtemp(prefix="cardlens-raw-")
     spark.range(1).write.parquet(os.path.join(d, "consumer_cards.parquet"))
@@ -90,6 +115,9 @@ def test_end_to_end_pipeline(spark):
     summary = spark.read.json(f"{out_dir}/metrics/metrics.json").first()
     assert summary.best_model == run["best"] and summary.feature_count == 26
     assert len(summary.top_features) == 15
+    reports = {m.model_name: [c.class_name for c in m.classification_report] for m in summary.models}
+    assert set(reports) == {"logistic_regression", "random_forest"}
+    assert all(r == ["consumer", "business_like", "accuracy", "macro avg", "weighted avg"] for r in reports.values())
 
 
 def test_pipeline_missing_sources_exit_code(spark, capsys):
