@@ -21,10 +21,16 @@ NUMERIC_TEXT_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_TEXT_RE = r"^[+-]?[0-9]+$"
 
 # Date / datetime text: year-first (2024-01-06, 2024/01/06, 2024.01.06) and
-# day-first (06-01-2024, 06/01/2024, 06.01.2024), optionally followed by a
-# time "HH:mm[:ss[.ffffff]]" after a space or "T". Separators must agree.
-_TIME_PART = r"(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]{1,6})?)?)?$"
+# day-first (06-01-2024, 06/01/2024, 06.01.2024), optionally followed by a time
+# "HH:mm[:ss[.f]]" (1 to 9 fraction digits, cut to microseconds) after a space or
+# "T", and that by "Z" or an offset, which is taken off (UTC). Separators must
+# agree. Dates may also be eight digits (20240106).
+_TIME_PART = (
+    r"(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]{1,9})?)?"
+    r"(Z|[+-](?:0[0-9]|1[0-8]):?[0-5][0-9])?)?$"
+)
 YMD_RE = r"^([0-9]{4})([-/.])([0-9]{2})\2([0-9]{2})" + _TIME_PART
+COMPACT_RE = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
 DMY_RE = r"^([0-9]{2})([-/.])([0-9]{2})\2([0-9]{4})" + _TIME_PART
 
 
@@ -86,23 +92,28 @@ def bool_expr(df, name: str) -> Column:
 
 
 def datetime_parts(c: Column) -> Column:
-    """Text -> array "y, m, d, H, M, S, frac" (absent parts empty), or null
-    when the text matches neither pattern. One full-match test and one
-    ``regexp_replace`` per pattern; day-first is tried only if year-first
-    failed."""
-    ymd = F.split(F.regexp_replace(c, YMD_RE, "$1,$3,$4,$5,$6,$7,$8"), ",")
-    dmy = F.split(F.regexp_replace(c, DMY_RE, "$4,$3,$1,$5,$6,$7,$8"), ",")
-    return F.when(c.rlike(YMD_RE), ymd).when(c.rlike(DMY_RE), dmy)
+    """Text -> array "y, m, d, H, M, S, frac, offset" (absent parts empty), or null
+    when the text matches no pattern. One full-match test and one
+    ``regexp_replace`` per pattern; each is tried only if those before failed."""
+    ymd = F.split(F.regexp_replace(c, YMD_RE, "$1,$3,$4,$5,$6,$7,$8,$9"), ",")
+    dmy = F.split(F.regexp_replace(c, DMY_RE, "$4,$3,$1,$5,$6,$7,$8,$9"), ",")
+    compact = F.split(F.regexp_replace(c, COMPACT_RE, "$1,$2,$3,,,,,"), ",")
+    return F.when(c.rlike(YMD_RE), ymd).when(c.rlike(DMY_RE), dmy).when(c.rlike(COMPACT_RE), compact)
 
 
 def timestamp_from_parts(parts: Column) -> Column:
     """TIMESTAMP_NTZ from :func:`datetime_parts` (invalid dates -> null)."""
     g = parts.getItem
     num = lambda i: F.when(g(i) == "", F.lit("0")).otherwise(g(i)).cast("int")
-    secs = F.concat(F.when(g(5) == "", F.lit("0")).otherwise(g(5)), g(6)).cast("decimal(16,6)")
-    return F.try_make_timestamp_ntz(
+    fraction = F.substring(g(6), 1, 7)
+    secs = F.concat(F.when(g(5) == "", F.lit("0")).otherwise(g(5)), fraction).cast("decimal(16,6)")
+    local = F.try_make_timestamp_ntz(
         g(0).cast("int"), g(1).cast("int"), g(2).cast("int"), num(3), num(4), secs
     )
+    zone = g(7)
+    minutes = F.substring(zone, 2, 2).cast("int") * 60 + F.right(zone, F.lit(2)).cast("int")
+    ahead = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
+    return F.when(F.length(zone) > 1, F.timestamp_add("MINUTE", -ahead, local)).otherwise(local)
 
 
 def _datetime_from_text(c: Column) -> Column:
@@ -132,17 +143,25 @@ def with_parsed_datetimes(df, specs: dict[str, tuple[str, str]]):
     return staged.withColumns(stage2).drop(*stage1)
 
 
+def _since_epoch(micros: Column) -> Column:
+    """Microseconds since the epoch -> TIMESTAMP_NTZ in UTC, whatever the session's zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros.cast("long"), epoch)
+
+
 def timestamp_expr(df, name: str) -> Column:
     """Multi-format value -> TIMESTAMP_NTZ (dates become midnight)."""
     dtype = _field_type(df, name)
     c = F.col(name)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType, T.TimestampType)):
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp_ntz")
+    if isinstance(dtype, T.TimestampType):
+        return _since_epoch(F.unix_micros(c))
     if isinstance(dtype, T.StringType):
         return _datetime_from_text(c)
     if isinstance(dtype, T.IntegralType):
         # integers are microseconds since the epoch
-        return F.timestamp_micros(c).cast("timestamp_ntz")
+        return _since_epoch(c)
     return F.lit(None).cast("timestamp_ntz")
 
 
@@ -153,7 +172,7 @@ def date_expr(df, name: str) -> Column:
     if isinstance(dtype, T.DateType):
         return c
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        return F.to_date(c)
+        return F.to_date(timestamp_expr(df, name))
     if isinstance(dtype, T.StringType):
         return F.to_date(_datetime_from_text(c))
     if isinstance(dtype, T.IntegralType):

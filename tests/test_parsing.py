@@ -67,3 +67,31 @@ def test_staged_parse_matches_single_expression(spark):
     a = [(r.id, r.d, r.t) for r in staged.orderBy("id").collect()]
     b = [(r.id, r.d, r.t) for r in single.orderBy("id").collect()]
     assert a == b
+
+
+def test_zones_fractions_and_compact_dates(spark):
+    vals = ["2024-01-06T10:00:00Z", "2024-01-06T10:00:00+05:00", "2024-01-06 01:30:00-0330",
+            "2024-01-06 10:00:00.123456789", "20240106", "2024-01-06T10:00:00+25:00", "20241301"]
+    t = dt.datetime
+    want = [t(2024, 1, 6, 10), t(2024, 1, 6, 5), t(2024, 1, 6, 5), t(2024, 1, 6, 10, 0, 0, 123456),
+            t(2024, 1, 6), None, None]
+    assert _parsed(spark, vals, T.StringType(), timestamp_expr) == want
+
+
+def test_session_zone_does_not_move_times(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    seen = set()
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.range(1).selectExpr(
+                "1704535200000000 AS i", "timestamp_micros(1704583800000000) AS t", "'2024-01-06T23:30:00Z' AS s"
+            )
+            out = df.select(
+                *(timestamp_expr(df, c).cast("string").alias(f"t_{c}") for c in df.columns),
+                *(date_expr(df, c).cast("string").alias(f"d_{c}") for c in ("t", "s")),
+            )
+            seen.add(tuple(out.first()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert seen == {("2024-01-06 10:00:00", "2024-01-06 23:30:00", "2024-01-06 23:30:00", "2024-01-06", "2024-01-06")}
