@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cardlens.llm.bpe_model import WORD_PATTERN
 
 # Pre-tokens handled at once by a worker: bounds its memory whatever the batch.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 500_000
 
 
 def pre_tokens(text: Column, special: list[str]) -> Column:
