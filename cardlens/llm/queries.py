@@ -22,7 +22,7 @@ from cardlens.llm import (
     url_filter,
     warc,
 )
-from cardlens.llm.secret_scan import BASE_RULES, MORE_RULES, Rule
+from cardlens.llm.secret_scan import BASE_RULES, MORE_RULES
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
