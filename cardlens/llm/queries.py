@@ -112,9 +112,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the likelihood-ratio verdict of every document."""
-    docs = read(spark, sf_dir, "documents")
-    model = quality.ratios(docs, quality.trusted_ids(read(spark, sf_dir, "labels")))
-    out = quality.judge(docs, model)
+    out = quality.judge_by_labels(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.withColumn("score", F.round("score", 6))
 
 
