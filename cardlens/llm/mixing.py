@@ -5,7 +5,9 @@ values); each round rakes the cell weights to one margin's target shares after
 the other, ``w * target / current``, as window sums over the cell table. A
 document is then kept with its cell's calibrated probability: raked weight /
 token weight, scaled so that the largest is 1 (so nothing is clipped and the
-expected token shares of the sample are exactly the raked ones).
+expected token shares of the sample are exactly the raked ones). If that keeps less than
+the token budget (``BUDGET``, a share of all tokens), the scale is solved for the
+budget and probabilities end at 1: a tiny cell lowers the rate of no other below it.
 
 Everything is DataFrame expressions. Documents are shuffled once, as partial
 sums per cell; the cell table is written, and Spark broadcasts it to the documents only if
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from cardlens.llm.scratch import cut
 
 ROUNDS = 8
+BUDGET = 0.7  # of the tokens are kept at least
 TEMPER = 0.9
 DRAW_BITS = 52
 SALT = "mix"
@@ -72,6 +75,7 @@ def rake(
     targets: dict[str, dict[str, float]] | None = None,
     rounds: int = ROUNDS,
     temper: float = TEMPER,
+    budget: float = 0.0,
 ) -> DataFrame:
     """Cells (``margins``, ``_mix_tokens``) with ``_mix_probability``. Only sums over
     the whole cell table come to the driver."""
@@ -97,13 +101,34 @@ def rake(
         for m in margins:
             now = F.sum(weight).over(Window.partitionBy(m))
             used = used.withColumn("_mix_weight", weight * F.col(f"_want_{m}") / F.lit(norm[m]) / now)
-    raked = cut(used.select(*margins, (weight / size).alias("_mix_lift")), "raked")
-    top = raked.agg(F.max("_mix_lift")).first()[0]
+    used = cut(used, "raked")
+    raked = used.select(*margins, size.alias("_mix_size"), weight.alias("_mix_raked"), (weight / size).alias("_mix_lift"))
+    scale = _scale(raked, float(total), budget)
     fits = reduce(lambda a, b: a & b, (cells[m].eqNullSafe(raked[m]) for m in margins))
-    lift = F.coalesce(F.col("_mix_lift") / F.lit(top), F.lit(1.0))
+    lift = F.coalesce(F.least(F.lit(1.0), F.col("_mix_lift") / F.lit(scale)), F.lit(1.0))
     return cells.join(raked, fits, "left").select(*(cells[m] for m in margins), size, F.round(lift, 9).alias("_mix_probability"))
 
 
+def _scale(raked: DataFrame, total: float, budget: float) -> float:
+    """The lift that stands for probability 1: the largest, or the one below it that
+    keeps ``budget`` of the tokens. Cells reach probability 1 one after the other, so the
+    scale only falls until the set of them stands."""
+    lift = F.col("_mix_lift")
+    scale = raked.agg(F.max(lift)).first()[0]
+    if 1 / scale >= budget * total:
+        return scale
+    full = lift >= F.lit(scale)
+    while True:
+        size, weight = raked.agg(
+            F.sum(F.when(full, F.col("_mix_size")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("_mix_raked")))
+        ).first()
+        rest = budget * total - float(size)
+        if rest <= 0 or not weight or weight / rest >= scale * (1 - 1e-12):
+            return scale
+        scale = weight / rest
+        full = lift >= F.lit(scale)
+
+
 def calibrate(
     docs: DataFrame,
     margins: dict[str, Column],
@@ -112,6 +137,7 @@ def calibrate(
     temper: float = TEMPER,
     id_col: str = "doc_id",
     text_col: str = "text",
+    budget: float = BUDGET,
 ) -> DataFrame:
     """``docs`` with ``_mix_tokens``, ``_mix_probability`` and ``_mix_draw``;
     a document is in the sample where the draw is below the probability. Column names
@@ -123,7 +149,7 @@ def calibrate(
     )
     sums = rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("_mix_tokens"))
     by_name = {f"_mix_{m}": t for m, t in (targets or {}).items()}
-    chances = cut(rake(cut(sums, "cells"), names, by_name, rounds, temper), "chances")
+    chances = cut(rake(cut(sums, "cells"), names, by_name, rounds, temper, budget), "chances")
     chances = chances.select(*(F.col(n).alias(f"{n}_cell") for n in names), "_mix_probability")
     fits = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"{n}_cell")) for n in names))
     return rows.join(chances, fits).drop(*(f"{n}_cell" for n in names))
