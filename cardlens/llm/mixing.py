@@ -15,7 +15,8 @@ the written size is under its own threshold.
 
 Targets default to tempered shares, ``share ** temper`` renormalised, which lift
 rare values. Given targets are renormalised over the values that occur;
-a value without a target keeps its observed share.
+a value without a target keeps its observed share. A ceiling is a target that never lifts: a
+value below it keeps its observed share.
 
 Defined cases: null margin values are a value of their own; a document of no tokens
 counts in no sum but is kept or dropped by its cell's probability (1 if the cell
@@ -46,7 +47,9 @@ TOPICS = (
     ("noisy", r"[#*$%&|<>!]{2}"),
 )
 OTHER_TOPIC = "prose"
-# targets of the query: less noise; sources and languages are tempered
+# a text is noisy by its pairs of symbols per word, not by a single one
+LEAST_DENSITY = {"noisy": 0.08}
+# ceilings of the query: less noise; sources and languages are tempered
 TARGETS = {"topic": {"noisy": 0.01}}
 
 
@@ -59,7 +62,10 @@ def tokens(text: Column) -> Column:
 def topic(text: Column) -> Column:
     pick = F.lit(OTHER_TOPIC)
     for name, pattern in reversed(TOPICS):
-        pick = F.when(F.coalesce(F.rlike(text, F.lit(pattern)), F.lit(False)), name).otherwise(pick)
+        fits = F.rlike(text, F.lit(pattern))
+        if name in LEAST_DENSITY:
+            fits &= F.regexp_count(text, F.lit(pattern)) >= F.lit(LEAST_DENSITY[name]) * tokens(text)
+        pick = F.when(F.coalesce(fits, F.lit(False)), name).otherwise(pick)
     return pick
 
 
@@ -75,10 +81,11 @@ def rake(
     targets: dict[str, dict[str, float]] | None = None,
     rounds: int = ROUNDS,
     temper: float = TEMPER,
+    ceilings: dict[str, dict[str, float]] | None = None,
     budget: float = 0.0,
 ) -> DataFrame:
     """Cells (``margins``, ``_mix_tokens``) with ``_mix_probability``. Only sums over
-    the whole cell table come to the driver."""
+    the whole cell table come to the driver. A margin has targets or ceilings."""
     size = F.col("_mix_tokens")
     used = cells.filter(size > 0)
     total = used.agg(F.sum(size)).first()[0]
@@ -89,9 +96,11 @@ def rake(
         share = of_value / F.lit(float(total))
         given = (targets or {}).get(m)
         want = F.pow(share, F.lit(float(temper)))
-        if given:
-            table = F.create_map(*(F.lit(x) for kv in given.items() for x in kv))
-            want = F.coalesce(F.try_element_at(table, F.col(m)), share)
+        most = (ceilings or {}).get(m)
+        if given or most:
+            table = F.create_map(*(F.lit(x) for kv in (given or most).items() for x in kv))
+            want = F.try_element_at(table, F.col(m))
+            want = F.coalesce(want if given else F.least(want, share), share)
         used = used.withColumn(f"_want_{m}", want).withColumn(f"_part_{m}", size / of_value)
     # a value's target counts once, spread over its cells by their tokens
     norm = used.agg(*(F.sum(F.col(f"_want_{m}") * F.col(f"_part_{m}")).alias(m) for m in margins)).first()
@@ -137,6 +146,7 @@ def calibrate(
     temper: float = TEMPER,
     id_col: str = "doc_id",
     text_col: str = "text",
+    ceilings: dict[str, dict[str, float]] | None = None,
     budget: float = BUDGET,
 ) -> DataFrame:
     """``docs`` with ``_mix_tokens``, ``_mix_probability`` and ``_mix_draw``;
@@ -148,8 +158,8 @@ def calibrate(
         | {"_mix_tokens": tokens(F.col(text_col)), "_mix_draw": draw(F.col(id_col))}
     )
     sums = rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("_mix_tokens"))
-    by_name = {f"_mix_{m}": t for m, t in (targets or {}).items()}
-    chances = cut(rake(cut(sums, "cells"), names, by_name, rounds, temper, budget), "chances")
+    by_name, most = ({f"_mix_{m}": t for m, t in (x or {}).items()} for x in (targets, ceilings))
+    chances = cut(rake(cut(sums, "cells"), names, by_name, rounds, temper, most, budget), "chances")
     chances = chances.select(*(F.col(n).alias(f"{n}_cell") for n in names), "_mix_probability")
     fits = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"{n}_cell")) for n in names))
     return rows.join(chances, fits).drop(*(f"{n}_cell" for n in names))

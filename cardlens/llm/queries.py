@@ -86,7 +86,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling probability of every document after raking to tempered margins."""
     docs = read(spark, sf_dir, "documents")
-    out = mixing.calibrate(docs, mixing.margins_of(docs), mixing.TARGETS)
+    out = mixing.calibrate(docs, mixing.margins_of(docs), ceilings=mixing.TARGETS)
     return out.select(
         "doc_id",
         F.col("_mix_topic").alias("topic"),

@@ -62,7 +62,7 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents drawn by their cell's probability."""
-    rows = mixing.calibrate(docs, mixing.margins_of(docs), mixing.TARGETS)
+    rows = mixing.calibrate(docs, mixing.margins_of(docs), ceilings=mixing.TARGETS)
     return rows.filter(mixing.sampled()).select(docs.columns)
 
 

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.01/documents.parquet"
 
 def shares(docs):
     """Expected kept share of all tokens (null) and of each topic."""
-    rows = mixing.calibrate(docs, mixing.margins_of(docs), mixing.TARGETS)
+    rows = mixing.calibrate(docs, mixing.margins_of(docs), ceilings=mixing.TARGETS)
     kept = F.sum(F.col("_mix_tokens") * F.col("_mix_probability")) / F.sum("_mix_tokens")
     return {r[0]: r[1] for r in rows.rollup("_mix_topic").agg(kept).collect()}
 
@@ -28,6 +28,21 @@ def test_a_document_of_a_new_source_lowers_no_rate(spark, lang):
     assert got["prose"] > got["noisy"]
 
 
+def test_little_noise_is_not_lifted(spark):
+    docs = spark.read.parquet(SF)
+    noisy = mixing.topic(F.col("text")) == "noisy"
+    few = docs.filter(~noisy | (F.pmod(F.xxhash64("doc_id"), F.lit(20)) == 0))
+    got = shares(few)
+    assert got[None] >= mixing.BUDGET - 1e-6 and got["prose"] >= 0.7 and got["noisy"] <= 1.1 * got["prose"]
+
+
+def test_one_pair_of_symbols_is_no_noise(spark):
+    text = "if (a && b) return; " + "plain words go on here " * 40
+    rows = [(text,), ("$$$ %%% &&& ### " * 20,), ("**",), ("",), (None,)]
+    found = spark.createDataFrame(rows, "t string").select(mixing.topic(F.col("t"))).collect()
+    assert [r[0] for r in found] == ["prose", "noisy", "noisy", "prose", "prose"]
+
+
 def cells(spark, rows):
     return spark.createDataFrame(rows, "a string, b string, _mix_tokens long")
 
