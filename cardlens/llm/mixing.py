@@ -9,6 +9,9 @@ expected token shares of the sample are exactly the raked ones). If that keeps l
 the token budget (``BUDGET``, a share of all tokens), the scale is solved for the
 budget and probabilities end at 1: a tiny cell lowers the rate of no other below it.
 
+Rounds go on until every margin is met to ``TOLERANCE`` or they help no more; margins that
+cannot be met are reported as a warning.
+
 Everything is DataFrame expressions. Documents are shuffled once, as partial
 sums per cell; the cell table is written, and Spark broadcasts it to the documents only if
 the written size is under its own threshold.
@@ -27,6 +30,7 @@ run; extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +38,9 @@ from pyspark.sql import functions as F
 
 from cardlens.llm.scratch import cut
 
-ROUNDS = 8
+ROUNDS = 8  # between two looks at the margins
+MOST_ROUNDS = 160
+TOLERANCE = 1e-5  # of all tokens
 BUDGET = 0.7  # of the tokens are kept at least
 TEMPER = 0.9
 DRAW_BITS = 52
@@ -106,11 +112,21 @@ def rake(
     norm = used.agg(*(F.sum(F.col(f"_want_{m}") * F.col(f"_part_{m}")).alias(m) for m in margins)).first()
     weight = F.col("_mix_weight")
     used = used.withColumn("_mix_weight", size / F.lit(float(total)))
-    for _ in range(rounds):
-        for m in margins:
-            now = F.sum(weight).over(Window.partitionBy(m))
-            used = used.withColumn("_mix_weight", weight * F.col(f"_want_{m}") / F.lit(norm[m]) / now)
-    used = cut(used, "raked")
+    done, last = 0, float("inf")
+    while True:
+        for _ in range(rounds):
+            for m in margins:
+                now = F.sum(weight).over(Window.partitionBy(m))
+                used = used.withColumn("_mix_weight", weight * F.col(f"_want_{m}") / F.lit(norm[m]) / now)
+        used, done = cut(used, "raked"), done + rounds
+        error = _margin_errors(used, margins, norm)
+        worst = max(error.values())
+        if worst <= TOLERANCE or worst > last / 2 or done >= MOST_ROUNDS:
+            break
+        last = worst
+    if worst > TOLERANCE:
+        missed = ", ".join(f"{m.removeprefix('_mix_')} by {e:.2g}" for m, e in error.items() if e > TOLERANCE)
+        warnings.warn(f"margins not met after {done} rounds: {missed}", RuntimeWarning, stacklevel=2)
     raked = used.select(*margins, size.alias("_mix_size"), weight.alias("_mix_raked"), (weight / size).alias("_mix_lift"))
     scale = _scale(raked, float(total), budget)
     fits = reduce(lambda a, b: a & b, (cells[m].eqNullSafe(raked[m]) for m in margins))
@@ -118,6 +134,13 @@ def rake(
     return cells.join(raked, fits, "left").select(*(cells[m] for m in margins), size, F.round(lift, 9).alias("_mix_probability"))
 
 
+def _margin_errors(used: DataFrame, margins: list[str], norm) -> dict[str, float]:
+    """Largest difference of a value's share from its target, of each margin."""
+    now = {m: F.sum("_mix_weight").over(Window.partitionBy(m)) for m in margins}
+    rows = used.select(*(F.abs(now[m] - F.col(f"_want_{m}") / F.lit(norm[m])).alias(m) for m in margins))
+    return rows.agg(*(F.max(m).alias(m) for m in margins)).first().asDict()
+
+
 def _scale(raked: DataFrame, total: float, budget: float) -> float:
     """The lift that stands for probability 1: the largest, or the one below it that
     keeps ``budget`` of the tokens. Cells reach probability 1 one after the other, so the

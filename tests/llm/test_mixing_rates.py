@@ -1,5 +1,7 @@
 """Mixing keeps clean text: rare cells, little noise, single marks, margins met as run."""
 
+import warnings
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,24 @@ def cells(spark, rows):
     return spark.createDataFrame(rows, "a string, b string, _mix_tokens long")
 
 
+def test_production_rounds_meet_the_margins(spark):
+    rows = [("s", "prose", 900), ("s", "noisy", 60), ("t", "prose", 500), ("junk", "noisy", 40), ("junk", "prose", 1)]
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        out = mixing.rake(cells(spark, rows), ["a", "b"], ceilings={"b": {"noisy": 0.02}}).collect()
+    kept = {(r.a, r.b): r["_mix_tokens"] * r["_mix_probability"] for r in out}
+    total = sum(kept.values())
+    want = {a: (sum(n for x, _, n in rows if x == a) / 1501) ** mixing.TEMPER for a in ("s", "t", "junk")}
+    for a, w in want.items():
+        assert sum(v for k, v in kept.items() if k[0] == a) / total == pytest.approx(w / sum(want.values()), abs=mixing.TOLERANCE)
+
+
+def test_margins_that_cannot_be_met_are_reported(spark):
+    rows = [("s", "x", 900), ("t", "y", 100)]
+    with pytest.warns(RuntimeWarning, match="margins not met"):
+        mixing.rake(cells(spark, rows), ["a", "b"], {"a": {"t": 0.3}, "b": {"y": 0.1}}).collect()
+
+
 def test_budget_is_met_exactly_with_probabilities_at_most_1(spark):
     rows = [("s", "x", 90_000), ("t", "x", 9_000), ("u", "x", 90), ("v", "x", 1)]
     out = mixing.rake(cells(spark, rows), ["a"], temper=0.5, budget=0.9).collect()
