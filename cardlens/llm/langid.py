@@ -9,8 +9,9 @@ length, and the language that needs the fewest such bits per character wins.
 Words come from the JVM; a worker parses the distinct words of a chunk in step,
 once per language, and adds up per document. No shuffle but for the sample.
 
-Sample (documented bound): at most ``TRAIN_DOCS`` texts per language of at most
-``TRAIN_CHARS`` code points, those with the smallest hash of their id. Every
+Sample (documented bound): at most ``TRAIN_DOCS`` texts per language, of any length, those
+with the smallest hash of their id; of each the first ``TRAIN_CHARS`` code points from its
+first letter on (and the rest of the last word) are learned. Every
 document is predicted from its whole text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
@@ -34,6 +35,7 @@ from cardlens.llm.words import chunks, list_parts
 FOLDS = 5  # fold 0 is held out
 TRAIN_DOCS = 100
 TRAIN_CHARS = 4000
+LETTER = r"\p{L}"
 WORD = r"\p{L}{1,32}"  # a longer run of letters counts as several words
 UNKNOWN = "und"
 EDGE = " "  # stands at both ends of a word
@@ -132,7 +134,9 @@ def learn(
     usable = docs.select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).filter((fold(F.col("id")) != 0) & F.col("lang").isNotNull())
-    usable = usable.filter((F.length("text") <= TRAIN_CHARS) & F.rlike("text", F.lit(r"\p{L}")))
+    usable = usable.filter(F.rlike("text", F.lit(LETTER)))
+    learned = rf"(?s){LETTER}.{{0,{TRAIN_CHARS - 1}}}{LETTER}{{0,32}}"
+    usable = usable.withColumn("text", F.regexp_extract("text", learned, 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
     sample = usable.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= TRAIN_DOCS)
     words: dict[str, dict[str, None]] = {}

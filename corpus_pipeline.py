@@ -30,10 +30,14 @@ from cardlens.session import ensure_checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what no language can be told of. Rows pass through the prediction
+    """Rejects what no language can be told of; without labelled texts to learn from, only
+    texts without a letter. Rows pass through the prediction
     whole, so nothing is shuffled but the training sample."""
+    samples = langid.learn(docs)
+    if not samples:
+        return docs.filter(F.rlike("text", F.lit(langid.LETTER)))
     rows = docs.withColumn("_lid_words", langid.letters_of(F.col("text")))
-    named = langid.label_rows(rows, langid.learn(docs))
+    named = langid.label_rows(rows, samples)
     return named.filter(F.col("_lid_lang") != langid.UNKNOWN).select(docs.columns)
 
 
