@@ -15,6 +15,7 @@ from cardlens.llm import (
     exact_dedup,
     langid,
     mixing,
+    periodic_runs,
     quality,
     secret_scan,
     simhash,
@@ -124,6 +125,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, listed)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, with the contract's planted periods."""
+    docs = read(spark, sf_dir, "documents")
+    return periodic_runs.periodic_runs(docs, source=periodic_runs.planted).drop("runs")
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_warc_round_trip": op2_warc_round_trip,
@@ -135,6 +142,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # DuckDB SQL where SQL can express the whole result
