@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cardlens.llm import (
     bpe_codec,
+    conversation_repair,
     exact_dedup,
     langid,
     mixing,
@@ -125,6 +126,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, listed)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least-cost repair of every conversation after the contract's damage."""
+    rows = conversation_repair.damage(read(spark, sf_dir, "conversations"))
+    found = conversation_repair.repair(rows, gone_col="_gone")
+    at_hand = F.col("repaired").isNotNull()
+    whole = found.conversations.filter(at_hand).withColumn("repaired_sha256", F.sha2("repaired", 256))
+    of_pieces = conversation_repair.text_digests(found.pieces).withColumnsRenamed(
+        {"conv_id": "_conv", "sha256": "repaired_sha256"}
+    )
+    long = found.conversations.filter(~at_hand)
+    long = long.join(of_pieces.hint("merge"), F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    return whole.unionByName(long).drop("repaired")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of repeated words of every document, with the contract's planted periods."""
     docs = read(spark, sf_dir, "documents")
@@ -142,6 +157,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
