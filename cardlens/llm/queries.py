@@ -16,6 +16,7 @@ from cardlens.llm import (
     exact_dedup,
     langid,
     mixing,
+    nearest,
     periodic_runs,
     quality,
     secret_scan,
@@ -30,6 +31,7 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
 MIN_PAYLOAD = 100
 SHINGLE_WORDS, MAX_BITS = 3, 2
+QUERY_EVERY, NEIGHBOURS = 20, 20
 URL_RULES = [
     ("com/", "allow"),
     ("example.com/en/", "block"),
@@ -126,6 +128,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, listed)
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every vector whose id is divisible by 20."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, F.col("id") % QUERY_EVERY == 0, NEIGHBOURS)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Least-cost repair of every conversation after the contract's damage."""
     rows = conversation_repair.damage(read(spark, sf_dir, "conversations"))
@@ -157,6 +165,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_nearest": op11_nearest,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
