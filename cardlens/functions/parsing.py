@@ -25,13 +25,15 @@ INTEGER_TEXT_RE = r"^[+-]?[0-9]+$"
 # "HH:mm[:ss[.f]]" (1 to 9 fraction digits, cut to microseconds) after a space or
 # "T", and that by "Z" or an offset, which is taken off (UTC). Separators must
 # agree. Dates may also be eight digits (20240106).
-_TIME_PART = (
-    r"(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]{1,9})?)?"
-    r"(Z|[+-](?:0[0-9]|1[0-8]):?[0-5][0-9])?)?$"
+DATETIME_RE = (
+    r"^(?:(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})"
+    r"(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?(?:Z|[+-](?:0[0-9]|1[0-8]):?[0-5][0-9])?)?"
+    r"|[0-9]{8})$"
 )
-YMD_RE = r"^([0-9]{4})([-/.])([0-9]{2})\2([0-9]{2})" + _TIME_PART
-COMPACT_RE = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
-DMY_RE = r"^([0-9]{2})([-/.])([0-9]{2})\2([0-9]{4})" + _TIME_PART
+# the date of such a text, whichever way round, and its year-first form
+DATE_PART_RE = r"^(?:([0-9]{2})[-/.]([0-9]{2})[-/.]([0-9]{4})|([0-9]{4})[-/.]?([0-9]{2})[-/.]?([0-9]{2}))"
+YEAR_FIRST = "$3$4-$2$5-$1$6"
+ZONE_RE = r":[0-9.]+(?:Z|[+-][0-9:]+)$"
 
 
 def _field_type(df, name: str) -> T.DataType:
@@ -91,62 +93,26 @@ def bool_expr(df, name: str) -> Column:
     )
 
 
-def datetime_parts(c: Column) -> Column:
-    """Text -> array "y, m, d, H, M, S, frac, offset" (absent parts empty), or null
-    when the text matches no pattern. One full-match test and one
-    ``regexp_replace`` per pattern; each is tried only if those before failed."""
-    ymd = F.split(F.regexp_replace(c, YMD_RE, "$1,$3,$4,$5,$6,$7,$8,$9"), ",")
-    dmy = F.split(F.regexp_replace(c, DMY_RE, "$4,$3,$1,$5,$6,$7,$8,$9"), ",")
-    compact = F.split(F.regexp_replace(c, COMPACT_RE, "$1,$2,$3,,,,,"), ",")
-    return F.when(c.rlike(YMD_RE), ymd).when(c.rlike(DMY_RE), dmy).when(c.rlike(COMPACT_RE), compact)
-
-
-def timestamp_from_parts(parts: Column) -> Column:
-    """TIMESTAMP_NTZ from :func:`datetime_parts` (invalid dates -> null)."""
-    g = parts.getItem
-    num = lambda i: F.when(g(i) == "", F.lit("0")).otherwise(g(i)).cast("int")
-    fraction = F.substring(g(6), 1, 7)
-    secs = F.concat(F.when(g(5) == "", F.lit("0")).otherwise(g(5)), fraction).cast("decimal(16,6)")
-    local = F.try_make_timestamp_ntz(
-        g(0).cast("int"), g(1).cast("int"), g(2).cast("int"), num(3), num(4), secs
-    )
-    zone = g(7)
-    minutes = F.substring(zone, 2, 2).cast("int") * 60 + F.right(zone, F.lit(2)).cast("int")
-    ahead = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
-    return F.when(F.length(zone) > 1, F.timestamp_add("MINUTE", -ahead, local)).otherwise(local)
+def _since_epoch(micros: Column) -> Column:
+    """Microseconds since the epoch -> TIMESTAMP_NTZ in UTC, whatever the session's zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros.cast("long"), epoch)
 
 
-def _datetime_from_text(c: Column) -> Column:
-    """Single-expression form (the parts expression is repeated; prefer
-    :func:`with_parsed_datetimes` on large frames)."""
-    return timestamp_from_parts(datetime_parts(c))
+def datetime_from_text(c: Column) -> Column:
+    """Text -> TIMESTAMP_NTZ, null where it has no accepted form or names no date or
+    time that exists. One gate, one rewrite of the date, one cast: few enough
+    instructions that a stage with several such columns is still compiled."""
+    iso = F.regexp_replace(c, DATE_PART_RE, YEAR_FIRST)
+    zoned = _since_epoch(F.unix_micros(iso.try_cast("timestamp")))
+    plain = iso.try_cast("timestamp_ntz")
+    return F.when(c.rlike(DATETIME_RE), F.when(c.rlike(ZONE_RE), zoned).otherwise(plain))
 
 
 def with_parsed_datetimes(df, specs: dict[str, tuple[str, str]]):
-    """Add/replace columns ``out -> (source column, "date" | "timestamp")``.
-
-    Text sources are parsed in two projections: the parts array is computed
-    once per row in the first, and the second builds the value from it
-    (Catalyst does not inline a non-trivial expression referenced many
-    times, so the regex work is not repeated).
-    """
-    stage1, stage2 = {}, {}
-    for out, (src, kind) in specs.items():
-        if isinstance(_field_type(df, src), T.StringType):
-            tmp = f"_parts_{out}"
-            stage1[tmp] = datetime_parts(F.col(src))
-            ts = timestamp_from_parts(F.col(tmp))
-            stage2[out] = F.to_date(ts) if kind == "date" else ts
-        else:
-            stage2[out] = date_expr(df, src) if kind == "date" else timestamp_expr(df, src)
-    staged = df.withColumns(stage1) if stage1 else df
-    return staged.withColumns(stage2).drop(*stage1)
-
-
-def _since_epoch(micros: Column) -> Column:
-    """Microseconds since the epoch -> TIMESTAMP_NTZ in UTC, whatever the session's zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", micros.cast("long"), epoch)
+    """Add/replace columns ``out -> (source column, "date" | "timestamp")``."""
+    built = {"date": date_expr, "timestamp": timestamp_expr}
+    return df.withColumns({out: built[kind](df, src) for out, (src, kind) in specs.items()})
 
 
 def timestamp_expr(df, name: str) -> Column:
@@ -158,7 +124,7 @@ def timestamp_expr(df, name: str) -> Column:
     if isinstance(dtype, T.TimestampType):
         return _since_epoch(F.unix_micros(c))
     if isinstance(dtype, T.StringType):
-        return _datetime_from_text(c)
+        return datetime_from_text(c)
     if isinstance(dtype, T.IntegralType):
         # integers are microseconds since the epoch
         return _since_epoch(c)
@@ -174,7 +140,7 @@ def date_expr(df, name: str) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return F.to_date(timestamp_expr(df, name))
     if isinstance(dtype, T.StringType):
-        return F.to_date(_datetime_from_text(c))
+        return F.to_date(datetime_from_text(c))
     if isinstance(dtype, T.IntegralType):
         # integers are days since the epoch
         return F.date_from_unix_date(c.cast("int"))

@@ -220,6 +220,12 @@ def card_aggregates(txn: DataFrame, blocks: list[str]) -> DataFrame:
     return out
 
 
+def card_labels(txn: DataFrame) -> DataFrame:
+    """``card_number, label`` alone: one aggregate of two columns, for steps that need no features."""
+    labels = txn.groupBy(CARD_ID_COLUMN).agg(F.max(TARGET_COLUMN).cast("byte").alias(TARGET_COLUMN))
+    return fill_numeric_nulls(labels)
+
+
 def _materialized_input(txn: DataFrame) -> DataFrame:
     from cardlens.operators.materialize import materialize
 

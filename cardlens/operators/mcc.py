@@ -115,6 +115,12 @@ _MCC_INPUT = [CARD_ID_COLUMN, TARGET_COLUMN, AMOUNT, "mcc"]
 _EXT_INPUT = _MCC_INPUT + ["transaction_timestamp", "channel", "Is_recurring"]
 
 
+def b2b_index(txn: DataFrame) -> DataFrame:
+    """:func:`card_b2b_index` with (leaky) weights of the same transactions, parsed once."""
+    txn = materialize(txn.select(CARD_ID_COLUMN, TARGET_COLUMN, mcc_column(txn)), "mcc-input")
+    return card_b2b_index(attach_weights(txn, mcc_weights(txn)))
+
+
 def household_features(txn: DataFrame) -> DataFrame:
     """Amount profile + (leaky) B2B index + household-MCC amounts per card."""
     txn = materialize(txn.select(*_MCC_INPUT), "mcc-input")

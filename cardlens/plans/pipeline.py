@@ -96,9 +96,7 @@ def summary_frame(
         "feature_count": F.lit(len(cols)),
         "feature_columns": F.array(*map(F.lit, cols)),
     }
-    one = F.lit(1).alias("_one")  # both sides are one row
-    both = models.select("*", one).join(top.select("*", one), "_one").drop("_one")
-    return both.withColumns(settings)
+    return models.withColumn("top_features", top.scalar()).withColumns(settings)
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:

@@ -411,8 +411,7 @@ FROM clean_txn t LEFT JOIN w ON t.mcc = w.mcc GROUP BY t.card_number""",
     ),
 )
 def card_b2b_index(spark, sf_dir):
-    t = labelled(spark, sf_dir)
-    return mcc.card_b2b_index(mcc.attach_weights(t, mcc.mcc_weights(t)))
+    return mcc.b2b_index(labelled(spark, sf_dir))
 
 
 @register(
@@ -616,7 +615,7 @@ def proto_txn_time(spark, sf_dir):
     ),
 )
 def split_stratified(spark, sf_dir):
-    cards = card_features_df(spark, sf_dir)
+    cards = features.card_labels(flagged_events(spark, sf_dir))
     return split.assign_split(cards).select(CARD_ID_COLUMN, "label", "split_bucket", "is_test")
 
 
@@ -634,7 +633,7 @@ FROM (SELECT card_number, label,
 def split_stratified_exact(spark, sf_dir):
     from cardlens.operators.materialize import materialize
 
-    cards = materialize(card_features_df(spark, sf_dir), "card-features")
+    cards = materialize(features.card_labels(flagged_events(spark, sf_dir)), "card-labels")
     return split.assign_split_exact(cards).select(CARD_ID_COLUMN, "label", "is_test")
 
 
@@ -654,8 +653,8 @@ FROM (SELECT label, count(*) AS n_cards FROM train_cards GROUP BY label)""",
 def class_weights(spark, sf_dir):
     from cardlens.operators.model import class_weight_table
 
-    train, _, _ = split.split_train_test(card_features_df(spark, sf_dir))
-    return class_weight_table(train)
+    cards = split.assign_split(features.card_labels(flagged_events(spark, sf_dir)))
+    return class_weight_table(cards.filter(~F.col("is_test")))
 
 
 def _standardize_sql() -> str:

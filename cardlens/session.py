@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM does not compile larger methods; such a stage runs better unfused
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

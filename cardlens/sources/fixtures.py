@@ -37,20 +37,15 @@ def _sql_text(v) -> str:
 
 
 def _cycle_sql(index: str, values) -> str:
-    """CASE over an index picking one of ``values`` (as text)."""
-    whens = " ".join(f"WHEN {i} THEN {_sql_text(v)}" for i, v in enumerate(values))
-    return f"CASE {index} {whens} END"
+    """The text at an index of ``values``: a lookup in a constant array."""
+    return f"get(array({', '.join(map(_sql_text, values))}), CAST({index} AS INT))"
 
 
 def _event_mcc_sql(k: str) -> str:
     """Integer MCC from the event's props key: household codes, else a top-20 code."""
-    top = " ".join(f"WHEN {i} THEN {int(code)}" for i, code in enumerate(TOP20_MCC))
-    return (
-        f"CASE WHEN {k} % 10 = 0 THEN {int(MCC_SUPERMARKET)} "
-        f"WHEN {k} % 10 = 1 THEN {int(MCC_RESTAURANT)} "
-        f"WHEN {k} % 10 = 2 THEN {int(MCC_TAXI)} "
-        f"ELSE CASE {k} % 20 {top} END END"
-    )
+    household = {0: MCC_SUPERMARKET, 1: MCC_RESTAURANT, 2: MCC_TAXI}
+    codes = [str(int(household.get(i % 10, code))) for i, code in enumerate(TOP20_MCC)]
+    return f"get(array({', '.join(codes)}), {k} % {len(codes)})"
 
 
 _CHANNEL_SQL = "CASE event_type " + " ".join(

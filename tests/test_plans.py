@@ -1,6 +1,8 @@
 """Plan-shape properties: size-checked broadcast and its fallback, no
 cartesian products, pruned scans."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,25 @@ def test_features_sink_is_in_card_order(spark, tmp_path):
     parts = sorted((tmp_path / "f").glob("part-*.parquet"))
     cards = [r.card_number for p in parts for r in spark.read.parquet(str(p)).collect()]
     assert cards == sorted(cards) and len(cards) == 500
+
+
+def _method_sizes(df) -> list[int]:
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+
+
+def test_generated_methods_are_compiled(spark):
+    """The JVM interprets methods of 8,000 bytes and more: the fused cleaning stages stay below."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else stages are fused only when they run
+    try:
+        for name in ("parse_dates", "parse_timestamps", "parse_bool_flags", "normalize_txn", "txn_enriched"):
+            sizes = _method_sizes(QUERIES[name](spark, SF))
+            assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_labels_alone_need_no_features(spark):
+    plan = _plan(QUERIES["split_stratified"](spark, SF))
+    assert "Expand" not in plan and "props" not in plan and "Join" not in plan
