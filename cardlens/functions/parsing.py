@@ -93,18 +93,23 @@ def bool_expr(df, name: str) -> Column:
     )
 
 
-def _since_epoch(micros: Column) -> Column:
+def since_epoch(micros: Column) -> Column:
     """Microseconds since the epoch -> TIMESTAMP_NTZ in UTC, whatever the session's zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", micros.cast("long"), epoch)
 
 
+def with_seconds(iso: Column) -> Column:
+    """An offset right after the minutes needs seconds before it to be cast."""
+    return F.regexp_replace(iso, "([ T][0-9]{1,2}:[0-9]{2})([-+Z])", "$1:00$2")
+
+
 def datetime_from_text(c: Column) -> Column:
     """Text -> TIMESTAMP_NTZ, null where it has no accepted form or names no date or
     time that exists. One gate, one rewrite of the date, one cast: few enough
     instructions that a stage with several such columns is still compiled."""
     iso = F.regexp_replace(c, DATE_PART_RE, YEAR_FIRST)
-    zoned = _since_epoch(F.unix_micros(iso.try_cast("timestamp")))
+    zoned = since_epoch(F.unix_micros(with_seconds(iso).try_cast("timestamp")))
     plain = iso.try_cast("timestamp_ntz")
     return F.when(c.rlike(DATETIME_RE), F.when(c.rlike(ZONE_RE), zoned).otherwise(plain))
 
@@ -122,12 +127,12 @@ def timestamp_expr(df, name: str) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp_ntz")
     if isinstance(dtype, T.TimestampType):
-        return _since_epoch(F.unix_micros(c))
+        return since_epoch(F.unix_micros(c))
     if isinstance(dtype, T.StringType):
         return datetime_from_text(c)
     if isinstance(dtype, T.IntegralType):
         # integers are microseconds since the epoch
-        return _since_epoch(c)
+        return since_epoch(c)
     return F.lit(None).cast("timestamp_ntz")
 
 

@@ -57,14 +57,15 @@ def frame_shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def combine_transactions(business: DataFrame, consumer: DataFrame) -> DataFrame:
-    """Normalize both segments, label them (business=1, consumer=0), union.
+def combine_transactions(business: DataFrame, consumer: DataFrame, infer_datetimes: bool = False) -> DataFrame:
+    """Normalize both segments (each with its own date formats, if they are inferred),
+    label them (business=1, consumer=0), union.
 
     ``unionByName`` matches columns by name and widens numeric types; a column
     present on one side only raises, as a strict vertical concat does.
     """
-    b = add_target(normalize_transactions(business, "business_cards"), 1)
-    c = add_target(normalize_transactions(consumer, "consumer_cards"), 0)
+    b = add_target(normalize_transactions(business, "business_cards", infer_datetimes), 1)
+    c = add_target(normalize_transactions(consumer, "consumer_cards", infer_datetimes), 0)
     return b.unionByName(c)
 
 
@@ -100,7 +101,7 @@ def merge_merchants(transactions: DataFrame, merchants_reference: DataFrame) ->
 
 
 def prepare_transactions(
-    business: DataFrame, consumer: DataFrame, merchants_reference: DataFrame
+    business: DataFrame, consumer: DataFrame, merchants_reference: DataFrame, infer_datetimes: bool = False
 ) -> DataFrame:
     """Full transaction-level preparation: clean, label, union, enrich."""
-    return merge_merchants(combine_transactions(business, consumer), merchants_reference)
+    return merge_merchants(combine_transactions(business, consumer, infer_datetimes), merchants_reference)

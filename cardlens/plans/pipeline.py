@@ -101,7 +101,10 @@ def summary_frame(
 
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
     raw = load_raw_data(spark, raw_dir)
-    prepared = prepare_transactions(raw["business_cards"], raw["consumer_cards"], raw["merchants_reference"])
+    # text dates by the format of their column, as the raw sources bring them
+    prepared = prepare_transactions(
+        raw["business_cards"], raw["consumer_cards"], raw["merchants_reference"], infer_datetimes=True
+    )
     features_path = f"{out_dir}/processed/card_level_features.parquet"
     sinks.write_features(build_card_level_features(prepared), features_path)
     # the written table cuts the lineage: training re-reads features, not transactions

@@ -157,6 +157,52 @@ def parse_timestamps(spark, sf_dir):
     )
 
 
+_FOREIGN = """
+src AS (
+  SELECT event_id AS transaction_id,
+         CASE WHEN event_id % 17 = 0 THEN 'n/a' WHEN event_id % 10 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(ts, '%d %b %Y %I:%M %p') END AS named,
+         CASE WHEN event_id % 13 <> 0 THEN strftime(ts, '%m/%d/%Y %H:%M:%S') END AS month_first,
+         strftime(ts, '%d.%m.%y') AS short_year
+  FROM events)"""
+# column -> (format, DuckDB pattern) of each format that its texts could have, in the library's order
+_FOREIGN_FORMATS = {
+    "named": [("year-month-day", "%Y-%m-%d %H:%M:%S"), ("day month-name year", "%d %b %Y %I:%M %p")],
+    "month_first": [("day-month-year", "%d/%m/%Y %H:%M:%S"), ("month-day-year", "%m/%d/%Y %H:%M:%S")],
+    "short_year": [("day-month-short-year", "%d.%m.%y"), ("month-day-short-year", "%m.%d.%y")],
+}
+
+
+def _voted_sql(c: str, kind: str) -> str:
+    """Value, format and share of one column: the second format wins with more votes only."""
+    (a, pa), (b, pb) = _FOREIGN_FORMATS[c]
+    first, second = f"try_strptime({c}, '{pa}')", f"try_strptime({c}, '{pb}')"
+    n1, n2 = f"(SELECT count({first}) FROM src)", f"(SELECT count({second}) FROM src)"
+    value = f"CASE WHEN {n2} > {n1} THEN coalesce({second}, {first}) ELSE coalesce({first}, {second}) END"
+    return (
+        f"CAST({value} AS {kind}) AS {c}, CASE WHEN {n2} > {n1} THEN '{b}' ELSE '{a}' END AS {c}_format, "
+        f"greatest({n1}, {n2})::DOUBLE / (SELECT count({c}) FROM src) AS {c}_share"
+    )
+
+
+@register(
+    "parse_inferred",
+    O.with_ctes(
+        "SELECT transaction_id, "
+        + ", ".join(_voted_sql(c, "DATE" if c == "short_year" else "TIMESTAMP") for c in _FOREIGN_FORMATS)
+        + " FROM src",
+        base=[_FOREIGN],
+    ),
+)
+def parse_inferred(spark, sf_dir):
+    """Formats that the fixed set lacks: each column's own format by a vote over its values."""
+    from cardlens.functions.inference import parse_inferred as infer
+
+    raw = fixtures.foreign_dates(table(spark, sf_dir, "events"))
+    kinds = {"named": "timestamp", "month_first": "timestamp", "short_year": "date"}
+    return infer(raw, {c: (c, kind) for c, kind in kinds.items()})
+
+
 # amount text variants: plain, Java double suffix, padded, missing
 _AMOUNT_TEXT_SQL = """CASE transaction_id % 10
     WHEN 0 THEN printf('%.2f', transaction_amount_kzt) || 'd'

@@ -80,6 +80,21 @@ def event_transactions(events: DataFrame) -> DataFrame:
     return events.selectExpr(*_EVENT_COLUMNS)
 
 
+# date texts outside the cleaning contract's fixed set, one column each, for column-wide inference:
+# month names with a 12-hour clock (a tenth in another format, some unreadable), month first, two-digit years
+_FOREIGN_COLUMNS = [
+    "event_id AS transaction_id",
+    "CASE WHEN event_id % 17 = 0 THEN 'n/a' WHEN event_id % 10 = 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') "
+    "ELSE date_format(ts, 'dd MMM yyyy hh:mm a') END AS named",
+    "CASE WHEN event_id % 13 <> 0 THEN date_format(ts, 'MM/dd/yyyy HH:mm:ss') END AS month_first",
+    "date_format(ts, 'dd.MM.yy') AS short_year",
+]
+
+
+def foreign_dates(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*_FOREIGN_COLUMNS)
+
+
 def split_segments(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(business, consumer) raw frames; together they hold every row once."""
     business = raw.filter(F.col("is_business")).drop("is_business")

@@ -95,3 +95,11 @@ def test_session_zone_does_not_move_times(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert seen == {("2024-01-06 10:00:00", "2024-01-06 23:30:00", "2024-01-06 23:30:00", "2024-01-06", "2024-01-06")}
+
+
+def test_offset_after_the_minutes(spark):
+    from cardlens.functions.parsing import timestamp_expr
+
+    df = spark.createDataFrame([("2024-01-01 00:30+05:00",), ("01.01.2024T00:30Z",), ("2024-01-01 00:30-0130",)], "t string")
+    got = [str(r[0]) for r in df.select(timestamp_expr(df, "t")).collect()]
+    assert got == ["2023-12-31 19:30:00", "2024-01-01 00:30:00", "2024-01-01 02:00:00"]
