@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.config import CLASS_NAMES, CLASSIFICATION_THRESHOLD
-from cardlens.operators.ranking import ordered_cumulative
+from cardlens.operators.materialize import materialize
+from cardlens.operators.selection import pairs_below
 
 
 def predict_with_threshold(scored: DataFrame, threshold: float = CLASSIFICATION_THRESHOLD) -> DataFrame:
@@ -100,25 +101,22 @@ def classification_report(pred: DataFrame) -> DataFrame:
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
-    """Exact ROC AUC (ties count one half); null unless both classes occur.
+    """Exact ROC AUC (ties count one half, rows without a score are left out); null unless both classes occur.
 
-    Scores are pre-aggregated to one row per distinct score, and the running
-    count of negatives below each score comes from the range-partitioned
-    :func:`ordered_cumulative`, so no single task sorts all scores.
+    Scores are pre-aggregated to one row per distinct score (written once); the pairs of a positive
+    above a negative are counted by :func:`pairs_below`, which sorts no more than a
+    bounded number of scores in a task.
     """
-    by_score = scored.groupBy("y_proba").agg(
+    by_score = scored.groupBy(F.col("y_proba").cast("double").alias("_v")).agg(
         F.count_if(F.col("y_true") == 1).alias("_pos"),
         F.count_if(F.col("y_true") != 1).alias("_neg"),
     )
-    cum = ordered_cumulative(by_score, [], "y_proba", "_neg")
-    sums = cum.agg(
-        F.sum(F.col("_pos") * (F.col("_cum_before") + F.col("_neg") / 2.0)).alias("_wins"),
-        F.sum("_pos").alias("_p"),
-        F.sum("_neg").alias("_n"),
-    )
+    by_score = materialize(by_score.filter("_v IS NOT NULL"), "scores")
+    wins = pairs_below(by_score)
+    sums = by_score.agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
     return sums.select(
         F.when(
             (F.col("_p") > 0) & (F.col("_n") > 0),
-            F.col("_wins") / (F.col("_p").cast("double") * F.col("_n").cast("double")),
+            F.lit(wins) / (F.col("_p").cast("double") * F.col("_n").cast("double")),
         ).alias("roc_auc")
     )

@@ -2,14 +2,9 @@
 
 Nearest-rank quantile (Polars' default ``nearest`` rule): the value at
 0-based position ``round_half_up(q * (n - 1))`` of the group's non-null
-values in ascending order.
-
-Plan: pre-aggregate to distinct ``(group, value, count)`` first (map-side
-combine, spread over tasks by ``(group, value)``), then find the value whose
-cumulative count covers the target position. The cumulative count comes from
-:func:`cardlens.operators.ranking.ordered_cumulative`, which is range
-partitioned, so a group holding a third of all rows is split across tasks
-instead of being sorted in one.
+values in ascending order. Positions are found by
+:func:`cardlens.operators.selection.order_statistics`: a bounded window for ordinary
+groups, narrowing by counts for large ones.
 """
 
 from __future__ import annotations
@@ -17,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.operators.ranking import ordered_cumulative
+from cardlens.operators.selection import order_statistics
 
 
 def nearest_rank_position(q: float, n: Column) -> Column:
@@ -37,43 +32,18 @@ def group_quantile_nearest(
     ``group`` is one key column or several.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    vals = df.select(*keys, F.nanvl(F.col(value), F.lit(None).cast("double")).alias("_v")).filter(
-        F.col("_v").isNotNull()
-    )
-    counts = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = ordered_cumulative(counts, keys, "_v", "_cnt")
-    n = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
-    target = n.select(*keys, nearest_rank_position(q, F.col("_n")).alias("_pos"))
-    hit = cum.join(target, keys).filter(
-        (F.col("_cum_before") <= F.col("_pos")) & (F.col("_pos") < F.col("_cum_before") + F.col("_cnt"))
-    )
-    return hit.select(*keys, F.col("_v").alias(out))
+    known = df.select(*keys, F.nanvl(F.col(value), F.lit(None).cast("double")).alias("_value"))
+    return order_statistics(known, keys, "_value", {out: lambda n: nearest_rank_position(q, n)})
 
 
 def group_median_exact(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """Exact median per group (mean of the two middle values when n is even).
 
-    Same plan as :func:`group_quantile_nearest`: distinct ``(group, value)``
-    counts, then range-partitioned running counts, so no task ever holds a
-    whole group. NaN sorts above every number (as in Spark's ordering); only
-    nulls are skipped.
+    NaN sorts above every number (as in Spark's ordering); only nulls are skipped.
     """
-    vals = df.select(group, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    counts = vals.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = ordered_cumulative(counts, [group], "_v", "_cnt")
-    n = counts.groupBy(group).agg(F.sum("_cnt").alias("_n"))
-    targets = n.select(
-        group,
-        F.floor((F.col("_n") - 1) / 2).cast("long").alias("_lo"),
-        F.ceil((F.col("_n") - 1) / 2).cast("long").alias("_hi"),
-    )
-
-    def covers(pos: str):
-        return (F.col("_cum_before") <= F.col(pos)) & (F.col(pos) < F.col("_cum"))
-
-    hits = cum.join(targets, group).filter(covers("_lo") | covers("_hi"))
-    mid = hits.groupBy(group).agg(
-        F.max(F.when(covers("_lo"), F.col("_v"))).alias("_v_lo"),
-        F.max(F.when(covers("_hi"), F.col("_v"))).alias("_v_hi"),
-    )
-    return mid.select(group, (F.col("_v_lo") * 0.5 + F.col("_v_hi") * 0.5).alias(out))
+    middle = {
+        "_v_lo": lambda n: F.floor((n - 1) / 2).cast("long"),
+        "_v_hi": lambda n: F.ceil((n - 1) / 2).cast("long"),
+    }
+    found = order_statistics(df, [group], value, middle)
+    return found.select(group, (F.col("_v_lo") * 0.5 + F.col("_v_hi") * 0.5).alias(out))
