@@ -1,18 +1,16 @@
 """Card-level behaviour features: one row per card from any volume of rows.
 
-One plan at every size; no task ever holds a whole card, no row reaches the driver:
+No task ever holds more than a bounded part of a card, no row reaches the driver:
 
 * wide pass — one ``groupBy(card_number)`` of algebraic aggregates only
   (count, sum, avg, max, stddev, boolean shares): plain hash aggregation with
   a map-side partial, so a card holding a third of all rows shuffles one
   partial row per task;
 * narrow pass — the five exact distinct counts over only the six columns they
-  need. Catalyst plans several ``count_distinct`` as ``Expand`` + a two-level
-  aggregate keyed first by ``(card, column, value)``: a hot card is spread
-  over tasks before the per-card count;
-* median pass — distinct ``(card, amount)`` counts and range-partitioned running
-  counts (:func:`cardlens.operators.quantiles.group_median_exact`), so a card's
-  amounts are split across tasks;
+  need: one set per column for cards of a bounded number of rows, distinct
+  ``(card, column, value)`` rows for larger ones, which spreads a hot card over tasks;
+* median pass — a bounded window for ordinary cards, narrowing by counts for large
+  ones (:mod:`cardlens.operators.selection`);
 * the card-level results are joined on the card (sizes ~ #cards); the two
   aggregates are already hash-partitioned on it, so joining them adds no exchange.
 """
@@ -31,7 +29,10 @@ from cardlens.config import (
 )
 from cardlens.functions.parsing import guarded_ratio, iso_weekday
 from cardlens.operators.clean import require_columns
+from cardlens.operators.joins import checked_broadcast
+from cardlens.operators.materialize import materialize
 from cardlens.operators.quantiles import group_median_exact
+from cardlens.operators.selection import WINDOW_ROWS
 
 AMOUNT = "transaction_amount_kzt"
 
@@ -147,13 +148,30 @@ DISTINCT_FEATURES = {
 }
 
 
-def distinct_counts(txn: DataFrame, names: list[str]) -> DataFrame:
-    """Exact distinct counts per card from a narrow projection."""
-    cols = [DISTINCT_FEATURES[n] for n in names]
-    narrow = txn.select(CARD_ID_COLUMN, *dict.fromkeys(cols))
-    return narrow.groupBy(CARD_ID_COLUMN).agg(
-        *[F.count_distinct(DISTINCT_FEATURES[n]).alias(n) for n in names]
+def distinct_counts(txn: DataFrame, names: list[str], window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """Exact distinct counts per card from a narrow projection, without multiplying the rows.
+
+    Cards of at most ``window_rows`` rows, whose sets are bounded by that, gather one set per
+    column in a single pass. The few larger ones are counted from distinct ``(card, column, value)``
+    rows, which spread a hot card over all tasks before its count."""
+    narrow = txn.select(CARD_ID_COLUMN, *(F.col(DISTINCT_FEATURES[n]).alias(n) for n in names))
+    sizes = narrow.groupBy(CARD_ID_COLUMN).agg(F.count("*").alias("_n"))
+    large = materialize(sizes.filter(F.col("_n") > window_rows).select(F.col(CARD_ID_COLUMN).alias("_card")), "large-cards")
+    some_large = not large.isEmpty()
+    small = narrow
+    if some_large:
+        side, _ = checked_broadcast(large)
+        is_large = F.col(CARD_ID_COLUMN).eqNullSafe(F.col("_card"))
+        small = narrow.join(side, is_large, "left_anti")
+    sets = small.groupBy(CARD_ID_COLUMN).agg(*(F.size(F.collect_set(n)).cast("long").alias(n) for n in names))
+    if not some_large:
+        return sets
+    each = F.array(*(F.struct(F.lit(n).alias("_column"), F.col(n).cast("string").alias("_value")) for n in names))
+    rows = narrow.join(side, is_large, "left_semi").select(CARD_ID_COLUMN, F.inline(each))
+    counted = rows.distinct().groupBy(CARD_ID_COLUMN).agg(
+        *(F.count(F.when(F.col("_column") == n, F.col("_value"))).alias(n) for n in names)
     )
+    return sets.unionByName(counted)
 
 
 def share_aggregates(names: list[str]) -> list[Column]:
@@ -227,8 +245,6 @@ def card_labels(txn: DataFrame) -> DataFrame:
 
 
 def _materialized_input(txn: DataFrame) -> DataFrame:
-    from cardlens.operators.materialize import materialize
-
     require_columns(txn, FEATURE_REQUIRED_COLUMNS, "prepared transactions")
     return materialize(txn.select(*FEATURE_REQUIRED_COLUMNS), "prepared-transactions")
 

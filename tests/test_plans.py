@@ -44,16 +44,29 @@ def test_flagship_scan_is_pruned_and_filtered(spark):
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in text
 
 
-def test_card_features_have_one_plan_for_every_size(spark):
+def test_card_features_multiply_no_rows(spark):
     from cardlens.operators.features import build_card_level_features
     from cardlens.plans.queries import prepared
 
     plan = _plan(build_card_level_features(prepared(spark, SF)))
-    # two-level distinct counts, no per-card collections, a codegen wide pass
-    assert "Expand" in plan and "collect_set" not in plan and "percentile" not in plan
+    # no Expand, no range shuffle, no percentile maps; a codegen wide pass
+    assert "Expand" not in plan and "rangepartitioning" not in plan and "percentile" not in plan
     assert "HashAggregate(keys=[card_number" in plan
 
 
+def test_large_cards_are_counted_from_distinct_rows(spark):
+    """Sets are gathered for small cards only; both ways give the same counts."""
+    from cardlens.operators.features import DISTINCT_FEATURES, distinct_counts
+    from cardlens.plans.queries import prepared
+
+    txn = prepared(spark, SF)
+    names = list(DISTINCT_FEATURES)
+    rows = [sorted(map(tuple, distinct_counts(txn, names, w).collect())) for w in (0, 5, 10**6)]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) > 10
+    hot = _plan(distinct_counts(txn, names, 0))
+    assert "left_semi" in hot.lower() or "leftsemi" in hot.lower()
+
+
 def test_safe_encoding_joins_weights_once(spark):
     df = QUERIES["encode_train_apply"](spark, SF)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
