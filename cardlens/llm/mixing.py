@@ -9,12 +9,13 @@ expected token shares of the sample are exactly the raked ones). If that keeps l
 the token budget (``BUDGET``, a share of all tokens), the scale is solved for the
 budget and probabilities end at 1: a tiny cell lowers the rate of no other below it.
 
-Rounds go on until every margin is met to ``TOLERANCE`` or they help no more; margins that
-cannot be met are reported as a warning.
+Rounds go on until every margin is met to ``TOLERANCE`` or the largest error stands still over
+``LOOKS`` looks (:func:`finished`); margins that cannot be met are reported as a warning, and
+the shares reached are returned beside the result (``report``).
 
 Everything is DataFrame expressions. Documents are shuffled once, as partial
-sums per cell; the cell table is written, and Spark broadcasts it to the documents only if
-the written size is under its own threshold.
+sums per cell; the cell table is written and broadcast to the documents if its measured size is
+under Spark's threshold, else joined on a salted key, so that no cell's documents meet in one task.
 
 Targets default to tempered shares, ``share ** temper`` renormalised, which lift
 rare values. Given targets are renormalised over the values that occur;
@@ -37,9 +38,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.llm.scratch import cut
+from cardlens.operators.joins import checked_broadcast
 
 ROUNDS = 8  # between two looks at the margins
-MOST_ROUNDS = 160
+LOOKS = 5
+MOST_ROUNDS = 1000
+SALTS = 64
 TOLERANCE = 1e-5  # of all tokens
 BUDGET = 0.7  # of the tokens are kept at least
 TEMPER = 0.9
@@ -89,9 +93,11 @@ def rake(
     temper: float = TEMPER,
     ceilings: dict[str, dict[str, float]] | None = None,
     budget: float = 0.0,
+    report: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Cells (``margins``, ``_mix_tokens``) with ``_mix_probability``. Only sums over
-    the whole cell table come to the driver. A margin has targets or ceilings."""
+    the whole cell table come to the driver. A margin has targets or ceilings. ``report`` receives a
+    DataFrame ``margin, value, target, raked`` of the shares aimed at and reached."""
     size = F.col("_mix_tokens")
     used = cells.filter(size > 0)
     total = used.agg(F.sum(size)).first()[0]
@@ -112,7 +118,7 @@ def rake(
     norm = used.agg(*(F.sum(F.col(f"_want_{m}") * F.col(f"_part_{m}")).alias(m) for m in margins)).first()
     weight = F.col("_mix_weight")
     used = used.withColumn("_mix_weight", size / F.lit(float(total)))
-    done, last = 0, float("inf")
+    done, errors = 0, []
     while True:
         for _ in range(rounds):
             for m in margins:
@@ -120,11 +126,12 @@ def rake(
                 used = used.withColumn("_mix_weight", weight * F.col(f"_want_{m}") / F.lit(norm[m]) / now)
         used, done = cut(used, "raked"), done + rounds
         error = _margin_errors(used, margins, norm)
-        worst = max(error.values())
-        if worst <= TOLERANCE or worst > last / 2 or done >= MOST_ROUNDS:
+        errors.append(max(error.values()))
+        if finished(errors) or done >= MOST_ROUNDS:
             break
-        last = worst
-    if worst > TOLERANCE:
+    if report is not None:
+        report.append(_reached(used, margins, norm))
+    if errors[-1] > TOLERANCE:
         missed = ", ".join(f"{m.removeprefix('_mix_')} by {e:.2g}" for m, e in error.items() if e > TOLERANCE)
         warnings.warn(f"margins not met after {done} rounds: {missed}", RuntimeWarning, stacklevel=2)
     raked = used.select(*margins, size.alias("_mix_size"), weight.alias("_mix_raked"), (weight / size).alias("_mix_lift"))
@@ -134,6 +141,23 @@ def rake(
     return cells.join(raked, fits, "left").select(*(cells[m] for m in margins), size, F.round(lift, 9).alias("_mix_probability"))
 
 
+def finished(errors: list[float]) -> bool:
+    """Whether raking ends after looks with these largest errors: met, or standing still. Errors may rise
+    for a while on the way down; only margins that cannot be met make them stay as they are."""
+    last = errors[-LOOKS:]
+    return errors[-1] <= TOLERANCE or (len(last) == LOOKS and max(last) - min(last) <= 1e-3 * max(last))
+
+
+def _reached(used: DataFrame, margins: list[str], norm) -> DataFrame:
+    rows = [
+        used.groupBy(F.col(m).cast("string").alias("value")).agg(
+            (F.first(f"_want_{m}") / F.lit(norm[m])).alias("target"), F.sum("_mix_weight").alias("raked")
+        ).select(F.lit(m.removeprefix("_mix_")).alias("margin"), "value", "target", "raked")
+        for m in margins
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _margin_errors(used: DataFrame, margins: list[str], norm) -> dict[str, float]:
     """Largest difference of a value's share from its target, of each margin."""
     now = {m: F.sum("_mix_weight").over(Window.partitionBy(m)) for m in margins}
@@ -171,10 +195,14 @@ def calibrate(
     text_col: str = "text",
     ceilings: dict[str, dict[str, float]] | None = None,
     budget: float = BUDGET,
+    report: list[DataFrame] | None = None,
 ) -> DataFrame:
     """``docs`` with ``_mix_tokens``, ``_mix_probability`` and ``_mix_draw``;
     a document is in the sample where the draw is below the probability. Column names
-    that start with ``_mix_`` are reserved."""
+    that start with ``_mix_`` are reserved: they raise."""
+    taken = [c for c in docs.columns if c.lower().startswith("_mix_")]
+    if taken:
+        raise ValueError(f"reserved column names: {', '.join(taken)}")
     names = [f"_mix_{m}" for m in margins]
     rows = docs.withColumns(
         dict(zip(names, margins.values(), strict=True))
@@ -182,10 +210,16 @@ def calibrate(
     )
     sums = rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("_mix_tokens"))
     by_name, most = ({f"_mix_{m}": t for m, t in (x or {}).items()} for x in (targets, ceilings))
-    chances = cut(rake(cut(sums, "cells"), names, by_name, rounds, temper, most, budget), "chances")
+    chances = rake(cut(sums, "cells"), names, by_name, rounds, temper, most, budget, report)
     chances = chances.select(*(F.col(n).alias(f"{n}_cell") for n in names), "_mix_probability")
     fits = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"{n}_cell")) for n in names))
-    return rows.join(chances, fits).drop(*(f"{n}_cell" for n in names))
+    side, small = checked_broadcast(chances)
+    if small:
+        return rows.join(side, fits).drop(*(f"{n}_cell" for n in names))
+    salted = rows.withColumn("_mix_salt", F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(SALTS)).cast("int"))
+    side = side.withColumn("_mix_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = salted.join(side, fits & (F.col("_mix_salt") == F.col("_mix_copy")))
+    return found.drop("_mix_salt", "_mix_copy", *(f"{n}_cell" for n in names))
 
 
 def margins_of(docs: DataFrame) -> dict[str, Column]:
@@ -203,11 +237,19 @@ def duckdb_sql(
     rounds: int = ROUNDS,
     temper: float = TEMPER,
 ) -> str:
-    """The same raking as DuckDB SQL: common table expressions that end in ``mixed``
-    (all columns of ``table`` and topic, n_tokens, probability, kept)."""
-    pick = " ".join(
-        f"WHEN regexp_matches(coalesce(text, ''), '{pattern}') THEN '{name}'" for name, pattern in TOPICS
-    )
+    """The same raking as DuckDB SQL, with ``targets`` as ceilings: common table expressions that end in
+    ``mixed`` (all columns of ``table`` and topic, n_tokens, probability, kept). It makes ``rounds`` rounds and
+    scales to the largest lift: the operator's result where they meet the margins and keep the budget."""
+    words = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))"
+
+    def fits(name: str, pattern: str) -> str:
+        found = f"regexp_matches(coalesce(text, ''), '{pattern}')"
+        if name in LEAST_DENSITY:
+            pairs = f"len(regexp_extract_all(coalesce(text, ''), '{pattern}'))"
+            found += f" AND {pairs} >= CAST({LEAST_DENSITY[name]} AS DOUBLE) * {words}"
+        return found
+
+    pick = " ".join(f"WHEN {fits(name, pattern)} THEN '{name}'" for name, pattern in TOPICS)
     margins = ("source", "lang", "topic")
     steps, last = [], "w0"
     for r in range(rounds):
@@ -223,7 +265,7 @@ def duckdb_sql(
         given = (targets or {}).get(m)
         if not given:
             return f"pow({share}, {temper})"
-        return f"CASE {m} " + " ".join(f"WHEN '{v}' THEN {t}" for v, t in given.items()) + f" ELSE {share} END"
+        return f"CASE {m} " + " ".join(f"WHEN '{v}' THEN least({t}, {share})" for v, t in given.items()) + f" ELSE {share} END"
 
     wants = ", ".join(
         f"{want(m)} AS want_{m}, tokens / sum(tokens) OVER (PARTITION BY {m}) AS part_{m}" for m in margins

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from cardlens.llm.scratch import cut
 
 SPANS = "array<struct<start:int,stop:int>>"
+BLOCK_MATCHES = 128
 
 
 @dataclass(frozen=True)
@@ -81,16 +82,46 @@ def spans(text: Column, rule: Rule) -> Column:
             F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["value"]).alias("value")
         ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+    every = _bound(sizes, lambda found: _placed(found, rule.least))
+    return F.when(F.rlike(text, F.lit(rule.hint)), every).otherwise(F.array().cast(SPANS))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        one = F.array(F.struct(begin.alias("start"), (begin + x["hit"]).alias("stop")))
-        grown = F.when(x["value"] >= rule.least, F.concat(acc["spans"], one)).otherwise(acc["spans"])
-        return F.struct((begin + x["hit"]).alias("at"), grown.alias("spans"))
 
-    every = F.aggregate(sizes, start, step, lambda acc: acc["spans"])
-    return F.when(F.rlike(text, F.lit(rule.hint)), every).otherwise(F.array().cast(SPANS))
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _placed(sizes: Column, least: int) -> Column:
+    """Spans from the lengths of gaps and matches. Arrays grow by copying, so matches are taken in
+    blocks: lengths of blocks first, then the spans of each block from where it begins."""
+    last = F.floor((F.size(sizes) - 1) / BLOCK_MATCHES).cast("int")
+    starts = F.when(F.size(sizes) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    blocks = F.transform(starts, lambda b: F.slice(sizes, b * BLOCK_MATCHES + 1, BLOCK_MATCHES))
+
+    def length(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda acc, x: acc + x["gap"] + x["hit"])
+
+    def begins(found: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def step(acc: Column, block: Column) -> Column:
+            grown = F.concat(acc["all"], F.array(acc["at"]))
+            return F.struct((acc["at"] + length(block)).alias("at"), grown.alias("all"))
+
+        return F.aggregate(found, zero, step, lambda acc: acc["all"])
+
+    def spans_of(block: Column, begin: Column) -> Column:
+        zero = F.struct(begin.alias("at"), F.array().cast(SPANS).alias("spans"))
+
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            one = F.array(F.struct(start.alias("start"), (start + x["hit"]).alias("stop")))
+            grown = F.when(x["value"] >= least, F.concat(acc["spans"], one)).otherwise(acc["spans"])
+            return F.struct((start + x["hit"]).alias("at"), grown.alias("spans"))
+
+        return F.aggregate(block, zero, step, lambda acc: acc["spans"])
+
+    return _bound(blocks, lambda found: F.flatten(F.zip_with(found, begins(found), spans_of)))
 
 
 def version_key(rule: Rule) -> str:
@@ -142,20 +173,41 @@ def findings(
     rules: tuple[Rule, ...],
     id_col: str = "doc_id",
     text_col: str = "text",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Every path with its blob's findings: ``id_col, blob`` and one array of
-    ``start, stop`` per rule, named after its kind. Only blobs with a finding meet
-    the paths, whose rows carry no text."""
+    ``start, stop`` per rule, named after its kind. Paths carry no text. ``known``
+    may bring more columns per blob."""
     kinds = {version_key(r): r.kind for r in rules}
     some = ledger.filter(F.col("rule").isin(list(kinds)) & (F.size("spans") > 0))
     none = F.array().cast(SPANS)
     by_blob = some.groupBy("blob").agg(
         *(F.coalesce(F.max(F.when(F.col("rule") == key, F.col("spans"))), none).alias(kind) for key, kind in kinds.items())
     )
+    if known is not None:
+        by_blob = by_blob.join(known, "blob", "full")
     paths = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))
-    return paths.join(by_blob, "blob", "left").select(
-        id_col, "blob", *(F.coalesce(F.col(k), none).alias(k) for k in kinds.values())
-    )
+    empty = F.col("blob") == F.sha2(F.lit(""), 256)
+    found = paths.filter(~empty).join(by_blob, "blob", "left")
+    # of the empty blob, which any number of paths may hold, there is one row at most
+    others = [c for c in by_blob.columns if c != "blob"]
+    of_empty = by_blob.filter(empty).agg(F.max(F.struct(*others)).alias("row")).scalar()
+    found = found.unionByName(paths.filter(empty).withColumn("_row", of_empty).select("*", "_row.*").drop("_row"))
+    more = [c for c in by_blob.columns if c != "blob" and c not in kinds.values()]
+    return found.select(id_col, "blob", *more, *(F.coalesce(F.col(k), none).alias(k) for k in kinds.values()))
+
+
+def scan_versions(
+    versions: list[DataFrame], rules: tuple[Rule, ...], id_col: str = "doc_id", text_col: str = "text"
+) -> list[DataFrame]:
+    """Ledger rows of each version in turn: a version is scanned for the pairs that no earlier one had."""
+    ledgers: list[DataFrame] = []
+    for docs in versions:
+        known = None
+        for one in ledgers:
+            known = one if known is None else known.unionByName(one)
+        ledgers.append(scan(docs, rules, known, id_col, text_col))
+    return ledgers
 
 
 def _named(kind: str, order: int) -> Column:

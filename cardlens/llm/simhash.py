@@ -36,9 +36,11 @@ from pyspark.sql import functions as F
 
 from cardlens.llm.components import components
 from cardlens.llm.scratch import cut
+from cardlens.operators.joins import checked_broadcast
 
 SEED = 42  # of the shingle hash
 BLOCK = 64  # most nodes of a block that are compared pair by pair
+COPIES = 64  # rows of a fingerprint beyond which they are not joined by a shuffle
 BITS, QUARTER = 64, 16
 SLICE_HASHES = 1 << 20  # hashes unpacked to bits at a time: bounds a worker's memory
 
@@ -176,16 +178,26 @@ def near_duplicates(
     """``id_col, fingerprint`` (16 hex digits)``, component_id`` of every row:
     the smallest id reachable over links, its own included."""
     fps = cut(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    nodes = fps.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     found = components(links(nodes, max_bits))
     linked = nodes.join(found, nodes.fp == found.node)
     best = linked.groupBy("root").agg(F.min("least").alias("best"))
     of_linked = linked.join(best, "root").select("fp", "best")
     of_node = (
         nodes.join(of_linked, "fp", "left")
-        .select("fp", F.coalesce("best", "least").alias("component_id"))
+        .select("fp", "copies", F.coalesce("best", "least").alias("component_id"))
     )
-    return fps.join(of_node, "fp").select(
+    # a fingerprint of many copies is one key of the last join: those rows find their node in a broadcast
+    # table (one row per COPIES rows at most, measured), or, past its bound, are left to skew splitting
+    of_node = cut(of_node, "components")
+    hot, small = checked_broadcast(of_node.filter(F.col("copies") > COPIES).drop("copies"))
+    of_node = of_node.drop("copies")
+    found = fps.join(of_node, "fp")
+    if small:
+        at_hand = fps.join(hot.withColumnRenamed("fp", "hot"), F.col("fp") == F.col("hot"), "left")
+        rest = at_hand.filter("hot IS NULL").drop("hot", "component_id")
+        found = at_hand.filter("hot IS NOT NULL").drop("hot").unionByName(rest.join(of_node, "fp"))
+    return found.select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",

@@ -9,7 +9,8 @@ positive. URLs that the filter turns away skip the join.
 All of it is DataFrame expressions inside code generation.
 
 Defined cases: a URL that is null or has no ``://`` has an empty host and path
-and no rule fits it; an empty list blocks nothing; repeated rows each give
+and no rule fits it; empty keys are never listed and a URL without a host is never blocked by the list;
+of rules of equal length that fit, the one given first wins; an empty list blocks nothing; repeated rows each give
 a row; null ids are kept; other columns are ignored.
 """
 
@@ -61,9 +62,9 @@ def canonical(url: Column) -> Column:
 
 # -- rules -----------------------------------------------------------------------
 def rule_of(host_: Column, path_: Column, rules: list[tuple[str, str]]) -> Column:
-    """The longest rule (``host/path``) that fits, else null."""
+    """The longest rule (``host/path``) that fits, the first given of equals, else null."""
     out = F.lit(None).cast("string")
-    for rule, _ in sorted(rules, key=lambda r: len(r[0])):
+    for rule, _ in sorted(reversed(rules), key=lambda r: len(r[0])):
         name, _, rest = rule.partition("/")
         same = (host_ == name) | F.endswith(host_, F.lit(f".{name}"))
         out = F.when(same & F.startswith(path_, F.lit(f"/{rest}")), rule).otherwise(out)
@@ -142,10 +143,12 @@ def judge(
     rows = rows.withColumns({"rule": rule_of(F.col("host"), F.col("path"), rules), "url_hash": url_hash(F.col("url_key"))})
     rows = cut(rows, "urls")  # narrow; the parts of a URL are worked out once
     verdict = F.lit(None).cast("string")
-    for rule, what in rules:
+    for rule, what in reversed(rules):
         verdict = F.when(F.col("rule") == rule, what).otherwise(verdict)
     ruled = rows.filter("rule is not null").withColumn("verdict", verdict)
-    blocked, free = listed_among(rows.filter("rule is null"), listed)
+    open_ = rows.filter("rule is null")
+    blocked, free = listed_among(open_.filter("host <> ''"), listed.filter("url_key <> ''"))
+    free = free.unionByName(open_.filter("host = ''"))
     free = free.withColumn("verdict", F.lit("allow"))
     out = ruled.unionByName(blocked.withColumn("verdict", F.lit("block"))).unionByName(free)
     return out.select(id_col, "host", "path", "rule", "verdict")
@@ -177,8 +180,8 @@ def duckdb_sql(table: str, rules: list[tuple[str, str]], abuse: str) -> str:
                || regexp_replace(path, '/+$', '') || CASE WHEN q = '' THEN '' ELSE '?' || q END AS key,
                CASE {fits} END AS rule
         FROM h
-    ), listed AS (SELECT DISTINCT key FROM c WHERE rest <> '' AND regexp_matches(coalesce(html, ''), '{abuse}'))
+    ), listed AS (SELECT DISTINCT key FROM c WHERE key <> '' AND regexp_matches(coalesce(html, ''), '{abuse}'))
     SELECT page_id, host, path, rule,
-           CASE {verdicts} WHEN key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+           CASE {verdicts} WHEN host <> '' AND key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
     FROM c
     """

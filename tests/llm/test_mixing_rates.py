@@ -2,7 +2,9 @@
 
 import warnings
 
+import numpy as np
 import pytest
+from brute_mixing import mix
 from pyspark.sql import functions as F
 
 from cardlens.llm import mixing
@@ -73,3 +75,68 @@ def test_budget_is_met_exactly_with_probabilities_at_most_1(spark):
     kept = sum(r["_mix_tokens"] * r["_mix_probability"] for r in out)
     assert kept / 99_091 == pytest.approx(0.9, abs=1e-6)
     assert all(0 < r["_mix_probability"] <= 1 for r in out)
+
+
+def test_rounds_go_on_while_they_help():
+    """2,000 random cell tables: wherever 1,000 plain rounds meet the margins, the stop rule does too."""
+    rng = np.random.default_rng(5)
+    met = slow = 0
+    for _ in range(2000):
+        shape = rng.integers(2, 6, 3)
+        table = np.exp(rng.normal(0, 2.5, shape)) * (rng.random(shape) < 0.5)
+        if not table.sum():
+            continue
+        w, wants = table / table.sum(), []
+        for a in range(3):
+            share = w.sum(axis=tuple(b for b in range(3) if b != a))
+            want = np.where(share > 0, share**mixing.TEMPER, 0)
+            wants.append(want / want.sum())
+        errors, stopped = [], None
+        for look in range(mixing.MOST_ROUNDS // mixing.ROUNDS):
+            for _ in range(mixing.ROUNDS):
+                for a in range(3):
+                    now = w.sum(axis=tuple(b for b in range(3) if b != a))
+                    w = w * np.divide(wants[a], now, out=np.zeros_like(now), where=now > 0).reshape([-1 if b == a else 1 for b in range(3)])
+            errors.append(max(np.abs(w.sum(axis=tuple(b for b in range(3) if b != a)) - wants[a]).max() for a in range(3)))
+            if stopped is None and mixing.finished(errors):
+                stopped = look
+            if errors[-1] <= mixing.TOLERANCE or (len(errors) > 30 and errors[-1] > 0.9999 * errors[-25]):
+                break
+        if errors[-1] <= mixing.TOLERANCE:
+            met += 1
+            slow += look > 0
+            assert stopped == look, errors
+    assert met > 1000 and slow > 50
+
+
+def test_query_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    rows += [dict(rows[0], doc_id=None), dict(rows[1], text=None, source=None), dict(rows[2], doc_id=-5, text="")]
+    frame = spark.createDataFrame([tuple(r.values()) for r in rows], docs.schema)
+    report = []
+    out = mixing.calibrate(frame, mixing.margins_of(frame), ceilings=mixing.TARGETS, report=report).select(
+        "doc_id", "_mix_probability", mixing.sampled().alias("kept")
+    )
+    got = sorted(((str(r.doc_id), r["_mix_probability"], r.kept) for r in out.collect()), key=lambda r: (r[0], r[1]))
+    want = sorted(((str(r["doc_id"]), p, k) for r, p, k in mix(rows)), key=lambda r: (r[0], r[1]))
+    assert [(i, k) for i, _, k in got] == [(i, k) for i, _, k in want]
+    assert all(a == pytest.approx(b, abs=2e-3) for (_, a, _), (_, b, _) in zip(got, want, strict=True))
+    reached = report[0].collect()
+    assert {r.margin for r in reached} == {"source", "lang", "topic"}
+    for m in ("source", "lang", "topic"):
+        assert sum(r.raked for r in reached if r.margin == m) == pytest.approx(1)
+
+
+def test_cells_past_the_broadcast_bound_and_reserved_names(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    one = sorted(map(tuple, mixing.calibrate(docs, mixing.margins_of(docs)).select("doc_id", "_mix_probability").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        two = sorted(map(tuple, mixing.calibrate(docs, mixing.margins_of(docs)).select("doc_id", "_mix_probability").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if limit is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert one == two
+    with pytest.raises(ValueError, match="reserved"):
+        mixing.calibrate(docs.withColumn("_mix_x", F.lit(1)), mixing.margins_of(docs))

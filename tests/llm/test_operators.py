@@ -28,6 +28,7 @@ from cardlens.llm import (
     warc,
 )
 from cardlens.llm.components import components
+from cardlens.llm.queries import ABUSE, URL_RULES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = (
@@ -447,7 +448,7 @@ def test_quality_counts_and_score(spark, docs, none):
     labels = spark.createDataFrame([(1000 + i, 1, 0) for i in range(20)] + [(None, 1, 0), (1003, 1, 0)], "doc_id long, quality int, toxic int")
     trusted = quality.trusted_ids(labels)
     model = quality.ratios(both, trusted, buckets=512)
-    out = quality.judge(both, model, buckets=512).collect()
+    out = quality.judge(both, model).collect()
     texts = {}
     for r in both.collect():
         texts.setdefault(r.doc_id, r.text)
@@ -470,7 +471,7 @@ def test_quality_counts_and_score(spark, docs, none):
         for f in feats(r.text):
             raw[f] += 1
             target[f] += r.doc_id in good
-    ratio = np.log((target + 1) / (target.sum() + 512)) - np.log((raw + 1) / (raw.sum() + 512))
+    ratio = np.log(target * raw.sum() / target.sum() + 1) - np.log(raw + 1)
     for r in out:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_counts(texts[r.doc_id])
         failed = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
@@ -534,3 +535,55 @@ def test_bloom_lets_every_listed_url_through(spark):
     assert set(range(5000)) <= ids and len(ids) < 5000 + 0.05 * 15000
     hit, free = url_filter.listed_among(urls, listed)
     assert hit.count() == 5000 and free.count() == 15000
+
+
+def test_pages_without_a_host_and_equal_rules(spark):
+    rows = [(1, "http://"), (2, None), (3, "no scheme"), (4, "http://#x"), (5, "http://a.b/x"), (6, "http:///p")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    listed = pages.select(url_filter.canonical(F.col("url")).alias("url_key"))
+    out = {r.page_id: r.verdict for r in url_filter.judge(pages, [], listed).collect()}
+    assert out == {1: "allow", 2: "allow", 3: "allow", 4: "allow", 5: "block", 6: "allow"}
+    rules = [("a.b/", "allow"), ("a.b/", "block"), ("b/xy", "block"), ("b/x/", "allow")]
+    out = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules, listed).collect()}
+    assert out[5] == ("a.b/", "allow")  # equal length: the first given
+
+
+def test_url_sql_agrees_on_pages_without_a_host(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(1, "http://", "scum"), (2, None, "loser"), (3, "no scheme", "idiot"), (4, "http://h/", "moron"), (5, "http://www.h", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    bad = pages.filter(F.rlike("html", F.lit(ABUSE)) & F.contains("url", F.lit("://")))
+    listed = bad.select(url_filter.canonical(F.col("url")).alias("url_key"))
+    got = sorted((r.page_id, r.verdict) for r in url_filter.judge(pages, URL_RULES, listed).collect())
+    db = duckdb.connect()
+    db.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    sql = url_filter.duckdb_sql("pages", URL_RULES, ABUSE)
+    assert got == sorted(db.sql(f"SELECT page_id, verdict FROM ({sql})").fetchall())
+    assert dict(got) == {1: "allow", 2: "allow", 3: "allow", 4: "block", 5: "block"}
+
+
+def test_many_matches_in_one_text(spark):
+    """Spans of 200,000 matches: arrays do not grow match by match."""
+    import time
+
+    text = "AKIA" + "A" * 16 + " " + ("0123456789abcdef01234567 " * 200_000)
+    rule = next(r for r in secret_scan.BASE_RULES if r.kind == "hex")
+    df = spark.createDataFrame([(text,)], "t string")
+    began = time.time()
+    found = df.select(secret_scan.spans(F.col("t"), rule).alias("s")).select(
+        F.size("s").alias("n"), F.expr("s[0].start").alias("a"), F.expr("s[199999].stop").alias("z"), F.expr("s[128].start").alias("m")
+    )
+    assert tuple(found.first()) == (200_000, 21, 21 + 25 * 200_000 - 1, 21 + 25 * 128)
+    assert time.time() - began < 60
+
+
+def test_later_versions_scan_unseen_blobs_only(spark):
+    rows = [(i, f"token = abcdef{i % 7}") for i in range(40)] + [(41, None), (42, ""), (43, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rules = secret_scan.BASE_RULES
+    old, new = secret_scan.scan_versions([docs.filter("doc_id < 20"), docs.filter("doc_id >= 20")], rules)
+    assert old.count() == 7 * 3 and new.count() == 3  # the empty blob alone is new
+    found = secret_scan.findings(docs, old.unionByName(new), rules)
+    assert sorted((r.doc_id, len(r.assign)) for r in found.collect()) == [(i, int(i < 40)) for i, _ in rows]

@@ -3,12 +3,10 @@
 import hashlib
 import re
 
-import duckdb
-import pandas as pd
+from brute_mixing import mix
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cardlens.llm import mixing
 from test_operators import PATH, brute_components, brute_fingerprint
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _sha string"
@@ -27,17 +25,14 @@ def brute(rows: list[dict]) -> list[tuple]:
         if i is not None:
             least[root[p]] = min(least.get(root[p], i), i)
     rows = [r for r in rows if least.get(root[prints[r["doc_id"]]]) == r["doc_id"]]
-    db = duckdb.connect()
-    docs = pd.DataFrame(rows)
-    db.register("docs_in", docs)
-    kept = db.sql(mixing.duckdb_sql("docs_in", mixing.TARGETS) + " SELECT doc_id, text FROM mixed WHERE kept").fetchall()
+    kept = [(r["doc_id"], r["text"]) for r, _, chosen in mix(rows) if chosen]
     library = Tokenizer.from_file(PATH)
     out = []
     for i, text in kept:
         ids = library.encode(text, add_special_tokens=False).ids
         out.append(
             (
-                None if pd.isna(i) else int(i),
+                i,
                 len(ids),
                 hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                 hashlib.sha256(text.encode()).hexdigest(),
