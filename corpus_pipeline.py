@@ -12,8 +12,8 @@ of documents. Every stage works on all that its predecessor kept:
 
 Rows with the same id and equal text count as one document from stage 2 on;
 rows with the same id and different texts stand or fall together in stage 3.
-Null ids are an id like any other. Column names that start with ``_lid_``, ``_mix_`` and
-``_key`` are reserved.
+Null ids are an id like any other. Column names that start with ``_lid_``, ``_mix_`` or
+``_key`` are reserved: a table that has one is an error.
 """
 
 from __future__ import annotations
@@ -29,11 +29,23 @@ from cardlens.llm.queries import MAX_BITS, SHINGLE_WORDS, TOKENIZER
 from cardlens.session import ensure_checkpoint_dir
 
 
+# rows pass through the language stage whole: Arrow batches are kept small
+BATCH_BYTES = 16 << 20
+
+
+def unreserved(docs: DataFrame) -> DataFrame:
+    taken = [c for c in docs.columns if c.lower().startswith(("_lid_", "_mix_", "_key"))]
+    if taken:
+        raise ValueError(f"reserved column names: {', '.join(taken)}")
+    return docs
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects what no language can be told of; without labelled texts to learn from, only
     texts without a letter. Rows pass through the prediction
     whole, so nothing is shuffled but the training sample."""
-    samples = langid.learn(docs)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    samples = langid.learn(unreserved(docs))
     if not samples:
         return docs.filter(F.rlike("text", F.lit(langid.LETTER)))
     rows = docs.withColumn("_lid_words", langid.letters_of(F.col("text")))
@@ -49,7 +61,7 @@ def exact_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def key(sha) -> Column:
         return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
 
-    found = exact_dedup.exact_duplicates(docs).filter("kept")
+    found = exact_dedup.exact_duplicates(unreserved(docs)).filter("kept")
     stay = found.select(key(F.col("text_sha256")).alias("_key"))
     rows = docs.withColumn("_key", key(exact_dedup.digest(F.col("text"))))
     kept = rows.join(stay.hint("merge"), "_key", "left_semi")
