@@ -37,9 +37,14 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the run's folder, or in the checkpoint folder."""
+    base = _RUN_FOLDER[-1] if _RUN_FOLDER else ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/cardlens-{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
-    base = _RUN_FOLDER[-1] if _RUN_FOLDER else ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cardlens-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

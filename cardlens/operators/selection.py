@@ -79,7 +79,7 @@ def _narrowed(values: DataFrame, wanted: DataFrame, keys: list[str], digits: int
     rows = rows.filter(F.col("_all") | ((v >= F.col("_low")) & (v <= F.col("_high"))))
     part = digit(v, F.col("_low"), F.col("_high"), digits)
     parts = rows.groupBy(*keys, "_name", "_rank", part.alias("_part")).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+        F.sum("_w").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
     )
     order = Window.partitionBy(*keys, "_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
@@ -118,29 +118,36 @@ def order_statistics(
     positions: dict[str, Callable[[Column], Column]],
     window_rows: int = WINDOW_ROWS,
     digits: int = DIGITS,
+    weight: str | None = None,
 ) -> DataFrame:
     """``keys`` and per name in ``positions`` the value at that 0-based position (a function of the
     group's number of values) among the group's non-null values; groups without a value are absent.
+    ``weight`` names a column with the number of times that a row's value counts (one at least).
 
     ``df`` is read once or twice more when large groups exist: pass a written table where its plan is long."""
     v = F.col("_v")
-    values = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull())
+    times = F.lit(1) if weight is None else F.col(weight)
+    values = df.select(*keys, F.col(value).cast("double").alias("_v"), times.cast("long").alias("_w")).filter(v.isNotNull())
     number = F.when(_finite(v), v)
     sizes = values.groupBy(*keys).agg(
-        F.count("*").alias("_n"),
+        F.count("*").alias("_rows"),
+        F.sum("_w").alias("_n"),
         F.coalesce(F.min(number), F.lit(0.0)).alias("_low"),
         F.coalesce(F.max(number), F.lit(0.0)).alias("_high"),
     )
-    large = materialize(sizes.filter(F.col("_n") > window_rows), "large-groups")
+    large = materialize(sizes.filter(F.col("_rows") > window_rows), "large-groups")
     some_large = not large.isEmpty()
     small = values
     if some_large:
         side, _ = checked_broadcast(_renamed(large.select(*keys), keys))
         small = values.join(side, _same(values, side, keys), "left_anti")
     group = Window.partitionBy(*keys)
-    ranked = small.withColumn("_at", F.row_number().over(group.orderBy("_v")) - 1)
-    ranked = ranked.withColumn("_n", F.count("*").over(group))
-    at = {name: F.col("_at") == position(F.col("_n")) for name, position in positions.items()}
+    up_to = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = small.withColumn("_to", F.sum("_w").over(up_to)).withColumn("_n", F.sum("_w").over(group))
+    at = {
+        name: (position(F.col("_n")) < F.col("_to")) & (position(F.col("_n")) >= F.col("_to") - F.col("_w"))
+        for name, position in positions.items()
+    }
     ranked = ranked.filter(reduce(lambda a, b: a | b, at.values()))
     out = ranked.groupBy(*keys).agg(*(F.max(F.when(c, v)).alias(name) for name, c in at.items()))
     if not some_large:

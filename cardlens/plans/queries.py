@@ -13,8 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.config import CARD_ID_COLUMN, CLASS_NAMES, RANDOM_STATE, SPLIT_BUCKETS, TEST_SIZE, TOP20_MCC
-from cardlens.operators import clean, enrich, evaluate, features, mcc, split
+from cardlens.config import (
+    CARD_ID_COLUMN,
+    CLASS_NAMES,
+    FEATURE_REQUIRED_COLUMNS,
+    RANDOM_STATE,
+    SPLIT_BUCKETS,
+    TEST_SIZE,
+    TOP20_MCC,
+)
+from cardlens.operators import clean, enrich, evaluate, features, mcc, split, state
+from cardlens.operators.joins import join_dimension
+from cardlens.operators.materialize import materialize, scratch_path
 from cardlens.plans import oracle as O
 from cardlens.sources import fixtures
 from cardlens.sources.tables import table
@@ -403,6 +413,67 @@ def card_features(spark, sf_dir):
     return card_features_df(spark, sf_dir)
 
 
+# -- S6 with A2-A28 from daily states; A5, A8-A12 from sketches --------------------------
+
+
+def _state_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(prepared(spark, sf_dir).select(*FEATURE_REQUIRED_COLUMNS), "prepared-transactions")
+
+
+@register("card_features_incremental", ORACLE["card_features"])
+def card_features_incremental(spark, sf_dir):
+    """Card features merged from daily states that three updates wrote: days before the 16th of a month,
+    later days, and transactions without a date."""
+    txn, path = _state_input(spark, sf_dir), scratch_path(spark, "card-states")
+    for part in (F.day("transaction_date") < 16, F.day("transaction_date") >= 16, F.isnull("transaction_date")):
+        state.update_states(txn.filter(part), path)
+    return state.merge_features(spark, path)
+
+
+@register(
+    "card_sketches",
+    O.with_ctes(
+        "SELECT card_number, total_transactions, true AS days_close, true AS merchants_close, true AS mcc_close, "
+        "true AS countries_close, true AS merchant_countries_close, true AS median_close, true AS q95_close FROM card_feat"
+    ),
+)
+def card_sketches(spark, sf_dir):
+    """Estimates merged from daily sketches, held against exact counts and ranks of the same cards:
+    counts within 8 % or 1 (five standard errors), ranks within 5 %."""
+    txn, path = _state_input(spark, sf_dir), scratch_path(spark, "card-sketches")
+    state.update_sketches(txn, path)
+    merged = state.merge_sketches(state.read_state(spark, path, "sketches"), {"_median": 0.5, "_q95": 0.95})
+    estimates = materialize(merged, "estimates")
+    exact = features.distinct_counts(txn, list(features.DISTINCT_FEATURES))
+    exact = exact.withColumnsRenamed({n: f"_{n}" for n in features.DISTINCT_FEATURES})
+    amount = F.col(features.AMOUNT)
+    side = estimates.select(CARD_ID_COLUMN, "_median", "_q95")
+    ranks = join_dimension(txn.select(CARD_ID_COLUMN, amount), side, CARD_ID_COLUMN)
+    ranks = ranks.groupBy(CARD_ID_COLUMN).agg(
+        *(F.avg((amount < F.col(q)).cast("double")).alias(f"{q}_below") for q in ("_median", "_q95")),
+        *(F.avg((amount <= F.col(q)).cast("double")).alias(f"{q}_up_to") for q in ("_median", "_q95")),
+    )
+    out = estimates.join(exact, CARD_ID_COLUMN).join(ranks, CARD_ID_COLUMN)
+
+    def close(n: str):
+        return F.abs(F.col(n) - F.col(f"_{n}")) <= F.greatest(F.col(f"_{n}") * 0.08, F.lit(1.0))
+
+    def near(q: str, rank: float):
+        return (F.col(f"{q}_below") <= rank + 0.05) & (F.col(f"{q}_up_to") >= rank - 0.05)
+
+    return out.select(
+        CARD_ID_COLUMN,
+        "total_transactions",
+        close("active_days").alias("days_close"),
+        close("unique_merchants").alias("merchants_close"),
+        close("unique_mcc").alias("mcc_close"),
+        close("unique_countries").alias("countries_close"),
+        close("unique_merchant_countries").alias("merchant_countries_close"),
+        near("_median", 0.5).alias("median_close"),
+        near("_q95", 0.95).alias("q95_close"),
+    )
+
+
 # -- exploratory MCC family (G1-G11, J3, J4) -------------------------------------------
 
 
