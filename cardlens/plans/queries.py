@@ -22,7 +22,7 @@ from cardlens.config import (
     TEST_SIZE,
     TOP20_MCC,
 )
-from cardlens.operators import clean, enrich, evaluate, features, mcc, split, state
+from cardlens.operators import clean, enrich, evaluate, features, mcc, score_tables, split, state
 from cardlens.operators.joins import join_dimension
 from cardlens.operators.materialize import materialize, scratch_path
 from cardlens.plans import oracle as O
@@ -976,6 +976,49 @@ def logistic_optimum(spark, sf_dir):
     return slopes.select("feature", (F.abs("gradient") < 1e-4).alias("at_optimum"))
 
 
+# fixed values: a linear and a forest table for scoring without a fitted model
+LINEAR_ROWS = [
+    (None, -1.0),
+    ("online_share", 2.0),
+    ("night_share", -1.5),
+    ("amount_cv", 0.5),
+    ("transactions_per_active_day", 0.25),
+]
+NODE_ROWS = [
+    (0, 0, "total_transactions", 60.0, 1, 4, None),
+    (0, 1, "online_share", 0.2, 2, 3, None),
+    (0, 2, None, None, None, None, 0.25),
+    (0, 3, None, None, None, None, 0.5),
+    (0, 4, None, None, None, None, 0.75),
+    (1, 0, "avg_amount", 10000.0, 1, 2, None),
+    (1, 1, None, None, None, None, 0.125),
+    (1, 2, "unique_merchants", 20.0, 3, 4, None),
+    (1, 3, None, None, None, None, 0.375),
+    (1, 4, None, None, None, None, 0.875),
+    (2, 0, None, None, None, None, 0.5),
+]
+
+
+@register(
+    "score_by_tables",
+    O.with_ctes("""SELECT card_number,
+  1.0 / (1.0 + exp(1.0 - 2.0 * online_share + 1.5 * night_share - 0.5 * amount_cv
+                   - 0.25 * transactions_per_active_day)) AS linear_score,
+  (CASE WHEN total_transactions > 60 THEN 0.75 WHEN online_share > 0.2 THEN 0.5 ELSE 0.25 END
+   + CASE WHEN avg_amount <= 10000 THEN 0.125 WHEN unique_merchants <= 20 THEN 0.375 ELSE 0.875 END
+   + 0.5) / 3 AS forest_score
+FROM card_feat"""),
+)
+def score_by_tables(spark, sf_dir):
+    """Every card scored from a table of coefficients and a table of tree nodes."""
+    cards, cols = materialize(card_features_df(spark, sf_dir), "card-features"), features.CARD_FEATURES
+    linear = spark.createDataFrame(LINEAR_ROWS, score_tables.LINEAR_SCHEMA)
+    nodes = spark.createDataFrame(NODE_ROWS, score_tables.NODE_SCHEMA)
+    by_line = score_tables.score_linear(cards, linear, cols, "linear_score").select(CARD_ID_COLUMN, "linear_score")
+    by_forest = score_tables.score_forest(cards, nodes, CARD_ID_COLUMN, cols, 2, "forest_score")
+    return by_line.join(by_forest, CARD_ID_COLUMN)
+
+
 # -- selection, importance, summary (M8, E5, E6, W1, S8) over two scorers that SQL can express --
 
 
