@@ -87,8 +87,8 @@ def merge_merchants(transactions: DataFrame, merchants_reference: DataFrame) ->
     The merchant dimension is not bounded by construction, so it is measured
     first (:func:`checked_broadcast`): broadcast when it fits the session's
     broadcast threshold, so the transactions are never shuffled for the join;
-    otherwise both sides shuffle on ``merchant_id`` and AQE splits a hot
-    merchant's partition (skew join).
+    otherwise both sides shuffle on ``merchant_id``, the rows of merchants that are counted
+    as hot spread over parts (:func:`cardlens.operators.joins.salted_left_join`).
     """
     merchants = normalize_merchants(merchants_reference)
     merged = join_dimension(transactions, merchants, on="merchant_id", how="left")
