@@ -90,3 +90,7 @@ SPLIT_BUCKETS = 1000
 RF_MAX_DEPTH = 30
 # Candidate split points per feature (Spark's default of 32 coarsens amounts).
 RF_MAX_BINS = 128
+# Tree groups of the forest, each with a bootstrap sample and class weights of its own.
+RF_GROUPS = 10
+# Model fits whose jobs run side by side; each holds its sample of the feature matrix.
+FIT_THREADS = 4

@@ -7,12 +7,11 @@ coefficients, importances and metric rows reach the driver.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
     RandomForestClassificationModel,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,12 +22,14 @@ from cardlens.config import (
     CARD_ID_COLUMN,
     LR_MAX_ITER,
     RANDOM_STATE,
+    RF_GROUPS,
     RF_MAX_BINS,
     RF_MAX_DEPTH,
     RF_MIN_INSTANCES_PER_NODE,
     RF_NUM_TREES,
     TARGET_COLUMN,
 )
+from cardlens.operators.forest import concurrently, group_fits, one_forest
 from cardlens.operators.materialize import materialize
 from cardlens.operators.quantiles import group_median_exact
 
@@ -125,48 +126,65 @@ def scale_stage(cols: list[str], stats: dict[str, tuple[float, float]]) -> SQLTr
 def train_models(
     train: DataFrame, cols: list[str], seed: int = RANDOM_STATE, names: tuple[str, ...] = MODEL_NAMES
 ) -> dict[str, PipelineModel]:
-    """Fit candidates on the weighted training rows, which are written once:
+    """Fit candidates on one feature matrix, which is written once, as concurrent jobs:
     logistic regression (median impute, standardize, L2, balanced) and a random
-    forest (median impute, balanced, 300 trees, leaf >= 3, Spark's largest depth)."""
+    forest (median impute, 300 trees, leaf >= 3, Spark's largest depth) in groups that are balanced over
+    their own bootstrap samples (:mod:`cardlens.operators.forest`)."""
+    spark = train.sparkSession
     labelled = train.withColumn(TARGET_COLUMN, F.col(TARGET_COLUMN).cast("double"))
     data = materialize(with_class_weights(labelled), "train")
     impute = impute_stage(cols, fit_medians(data, cols))
     stages: dict[str, list] = {}
     if "logistic_regression" in names:
-        n = data.count()
         stats = fit_standardizer(impute.transform(data), [f"_imp_{c}" for c in cols])
-        stages["logistic_regression"] = [
-            impute,
-            scale_stage(cols, stats),
-            VectorAssembler(inputCols=[f"_std_{c}" for c in cols], outputCol="features"),
-            LogisticRegression(
-                featuresCol="features",
-                labelCol=TARGET_COLUMN,
-                weightCol="class_weight",
-                maxIter=LR_MAX_ITER,
-                tol=LR_TOLERANCE,
-                regParam=1.0 / max(n, 1),
-                elasticNetParam=0.0,
-                standardization=False,
-            ),
-        ]
+        scaled = VectorAssembler(inputCols=[f"_std_{c}" for c in cols], outputCol="scaled_features")
+        stages["logistic_regression"] = [impute, scale_stage(cols, stats), scaled]
     if "random_forest" in names:
-        stages["random_forest"] = [
-            impute,
-            VectorAssembler(inputCols=[f"_imp_{c}" for c in cols], outputCol="features"),
-            RandomForestClassifier(
-                featuresCol="features",
-                labelCol=TARGET_COLUMN,
-                weightCol="class_weight",
-                numTrees=RF_NUM_TREES,
-                minInstancesPerNode=RF_MIN_INSTANCES_PER_NODE,
-                maxDepth=RF_MAX_DEPTH,
-                maxBins=RF_MAX_BINS,
-                featureSubsetStrategy="sqrt",
-                seed=seed,
-            ),
-        ]
-    return {name: Pipeline(stages=s).fit(data) for name, s in stages.items()}
+        stages["random_forest"] = [impute, VectorAssembler(inputCols=[f"_imp_{c}" for c in cols], outputCol="features")]
+    matrix = materialize(_feature_matrix(data, stages), "matrix")
+
+    fits = []
+    if "logistic_regression" in names:
+        regression = LogisticRegression(
+            featuresCol="scaled_features",
+            labelCol=TARGET_COLUMN,
+            weightCol="class_weight",
+            maxIter=LR_MAX_ITER,
+            tol=LR_TOLERANCE,
+            regParam=1.0 / max(matrix.count(), 1),
+            elasticNetParam=0.0,
+            standardization=False,
+        )
+        fits.append(lambda: regression.fit(matrix))
+    if "random_forest" in names:
+        fits += group_fits(
+            matrix,
+            RF_NUM_TREES,
+            RF_GROUPS,
+            seed=seed,
+            minInstancesPerNode=RF_MIN_INSTANCES_PER_NODE,
+            maxDepth=RF_MAX_DEPTH,
+            maxBins=RF_MAX_BINS,
+            featureSubsetStrategy="sqrt",
+        )
+    fitted = concurrently(spark, fits)
+    models = {}
+    if "logistic_regression" in names:
+        models["logistic_regression"] = PipelineModel([*stages["logistic_regression"], fitted.pop(0)])
+    if "random_forest" in names:
+        models["random_forest"] = PipelineModel([*stages["random_forest"], one_forest(spark, fitted)])
+    return models
+
+
+def _feature_matrix(data: DataFrame, stages: dict[str, list]) -> DataFrame:
+    """Card, label, weight and the feature vector of each candidate."""
+    out, done = data, set()
+    for stage in (s for each in stages.values() for s in each):
+        if stage.uid not in done:
+            done.add(stage.uid)
+            out = stage.transform(out)
+    vectors = [s[-1].getOutputCol() for s in stages.values()]
+    return out.select(CARD_ID_COLUMN, TARGET_COLUMN, "class_weight", *vectors)
 
 
 def logistic_gradient(model: PipelineModel, train: DataFrame, cols: list[str]) -> DataFrame:

@@ -18,11 +18,12 @@ from cardlens.config import (
     CLASS_NAMES,
     FEATURE_REQUIRED_COLUMNS,
     RANDOM_STATE,
+    RF_GROUPS,
     SPLIT_BUCKETS,
     TEST_SIZE,
     TOP20_MCC,
 )
-from cardlens.operators import clean, enrich, evaluate, features, mcc, score_tables, split, state
+from cardlens.operators import clean, enrich, evaluate, features, forest, mcc, score_tables, split, state
 from cardlens.operators.joins import join_dimension
 from cardlens.operators.materialize import materialize, scratch_path
 from cardlens.plans import oracle as O
@@ -774,6 +775,33 @@ def class_weights(spark, sf_dir):
     return class_weight_table(cards.filter(~F.col("is_test")))
 
 
+def _draws_sql(card: str, group: str) -> str:
+    place = f"('0x' || substr(md5(concat_ws(':', {card}, {RANDOM_STATE}, {group})), 1, {forest.HASH_DIGITS}))::BIGINT"
+    return " + ".join(f"CAST({place} >= {cut} AS INTEGER)" for cut in forest.draw_cuts())
+
+
+@register(
+    "bootstrap_weights",
+    O.with_ctes(
+        """SELECT tree_group, label, n_cards, n_draws,
+       CAST(sum(n_draws) OVER (PARTITION BY tree_group) AS DOUBLE)
+         / (count(*) OVER (PARTITION BY tree_group) * n_draws) AS class_weight
+FROM (SELECT tree_group, label, count(*) AS n_cards, CAST(sum(draws) AS BIGINT) AS n_draws
+      FROM drawn WHERE draws > 0 GROUP BY tree_group, label)""",
+        extra=[
+            _TRAIN_CARDS,
+            f"""
+drawn AS (SELECT label, CAST(tree_group AS INTEGER) AS tree_group, {_draws_sql('card_number', 'tree_group')} AS draws
+          FROM train_cards, range({RF_GROUPS}) AS g(tree_group))""",
+        ],
+    ),
+)
+def bootstrap_weights(spark, sf_dir):
+    """Class weights of every tree group's bootstrap sample of the training cards."""
+    cards = split.assign_split(features.card_labels(flagged_events(spark, sf_dir)))
+    return forest.bootstrap_weights(cards.filter(~F.col("is_test")), RF_GROUPS)
+
+
 def _standardize_sql() -> str:
     stats = ", ".join(
         f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in features.CARD_FEATURES
