@@ -23,7 +23,7 @@ from cardlens.config import (
     TEST_SIZE,
     TOP20_MCC,
 )
-from cardlens.operators import clean, enrich, evaluate, features, forest, mcc, score_tables, split, state
+from cardlens.operators import clean, enrich, evaluate, features, forest, layout, mcc, score_tables, split, state
 from cardlens.operators.joins import join_dimension
 from cardlens.operators.materialize import materialize, scratch_path
 from cardlens.plans import oracle as O
@@ -431,6 +431,14 @@ def card_features_incremental(spark, sf_dir):
     return state.merge_features(spark, path)
 
 
+@register("card_features_bucketed", ORACLE["card_features"])
+def card_features_bucketed(spark, sf_dir):
+    """Card features from a layout bucketed by card; cards of over 100 transactions are kept beside it."""
+    path = scratch_path(spark, "card-layout")
+    layout.write_layout(_state_input(spark, sf_dir), path, large_rows=100)
+    return layout.layout_features(layout.open_layout(spark, path))
+
+
 @register(
     "card_sketches",
     O.with_ctes(
