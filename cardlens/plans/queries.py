@@ -988,6 +988,33 @@ def _scores(spark, sf_dir, name):
     )
 
 
+_GAPS = {"avg_amount": 7, "unique_mcc": 5, "night_share": 3}
+
+
+@register(
+    "impute_medians",
+    O.with_ctes(
+        "SELECT card_number, " + ", ".join(f"coalesce({c}, median({c}) OVER ()) AS {c}" for c in _GAPS) + " FROM gaps",
+        extra=[
+            "gaps AS (SELECT card_number, "
+            + ", ".join(f"CASE WHEN CAST(card_number AS BIGINT) % {k} <> 0 THEN CAST({c} AS DOUBLE) END AS {c}" for c, k in _GAPS.items())
+            + " FROM card_feat)"
+        ],
+    ),
+)
+def impute_medians(spark, sf_dir):
+    """Features with gaps (null and NaN), filled with the exact medians of the known values by the models' own stage."""
+    from cardlens.operators import model as M
+
+    card = F.col(CARD_ID_COLUMN).cast("long")
+    missing = F.when(card % 2 == 0, F.lit(float("nan")))
+    cards = materialize(card_features_df(spark, sf_dir), "card-features")
+    gaps = {c: F.when(card % k != 0, F.col(c).cast("double")).otherwise(missing) for c, k in _GAPS.items()}
+    cards = materialize(cards.select(CARD_ID_COLUMN, *(e.alias(c) for c, e in gaps.items())), "gaps")
+    filled = M.impute_stage(list(gaps), M.fit_medians(cards, list(gaps))).transform(cards)
+    return filled.select(CARD_ID_COLUMN, *(F.col(f"_imp_{c}").alias(c) for c in gaps))
+
+
 @register("score_logistic")
 def score_logistic(spark, sf_dir):
     return _scores(spark, sf_dir, "logistic_regression")
@@ -1055,6 +1082,40 @@ def score_by_tables(spark, sf_dir):
     return by_line.join(by_forest, CARD_ID_COLUMN)
 
 
+def _gini_sql(where: str) -> str:
+    n, p = f"count_if({where})", f"count_if({where} AND label = 1)"
+    return f"coalesce({n} - ({p} * {p} + ({n} - {p}) * ({n} - {p}))::DOUBLE / nullif({n}, 0), 0.0)"
+
+
+def _decrease_sql(where: str, test: str) -> str:
+    return f"{_gini_sql(where)} - {_gini_sql(f'{where} AND {test}')} - {_gini_sql(f'{where} AND NOT {test}')}"
+
+
+@register(
+    "importance_by_tables",
+    O.with_ctes(
+        "SELECT feature, coalesce(share, 0.0) / sum(share) OVER () AS importance FROM (SELECT unnest(["
+        + ", ".join(f"'{c}'" for c in features.CARD_FEATURES)
+        + "]) AS feature) LEFT JOIN shares USING (feature)",
+        extra=[
+            f"""
+falls AS (SELECT {_decrease_sql('true', '(total_transactions <= 60)')} AS a,
+                 {_decrease_sql('(total_transactions <= 60)', '(online_share <= 0.2)')} AS b,
+                 {_decrease_sql('true', '(avg_amount <= 10000)')} AS c,
+                 {_decrease_sql('(avg_amount > 10000)', '(unique_merchants <= 20)')} AS d FROM card_feat),
+shares AS (
+  SELECT 'total_transactions' AS feature, a / (a + b) AS share FROM falls UNION ALL SELECT 'online_share', b / (a + b) FROM falls
+  UNION ALL SELECT 'avg_amount', c / (c + d) FROM falls UNION ALL SELECT 'unique_merchants', d / (c + d) FROM falls)"""
+        ],
+    ),
+)
+def importance_by_tables(spark, sf_dir):
+    """Impurity importance of the fixed node table, measured on all cards."""
+    cards = materialize(card_features_df(spark, sf_dir), "card-features")
+    nodes = spark.createDataFrame(NODE_ROWS, score_tables.NODE_SCHEMA)
+    return score_tables.forest_importance(cards, nodes, "label", features.CARD_FEATURES, 2)
+
+
 # -- selection, importance, summary (M8, E5, E6, W1, S8) over two scorers that SQL can express --
 
 

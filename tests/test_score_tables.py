@@ -82,3 +82,44 @@ def test_missing_values_and_faulty_tables(spark):
     extra = cards.selectExpr("*", "CAST(NULL AS DOUBLE) AS z")
     assert score_tables.score_linear(extra, line, ["a", "z"]).filter("card_number = 'low'").collect()[0].y_proba > 0.5
     assert score_tables.score_forest(cards.limit(0), nodes, "card_number", ["a"], 1).collect() == []
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "1"])
+def test_importance_on_training_rows_equals_the_model(spark, cards, broadcast):
+    """The rows of the model's own samples, by the draws that trained each group: the same importances."""
+    from pyspark.sql import functions as F
+
+    from cardlens.operators import forest
+
+    data = VectorAssembler(inputCols=COLS, outputCol="features").transform(cards)
+    model = forest.one_forest(spark, forest.concurrently(spark, forest.group_fits(data, 6, 1, maxDepth=5)))
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    weight = {r.label: r.class_weight for r in forest.bootstrap_weights(cards, 1).collect()}
+    each = F.when(F.col("label") == 1, weight[1.0]).otherwise(weight[0.0])
+    weighted = cards.withColumn("w", forest.draws(F.col("card_number"), F.lit(0)) * each)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        nodes = score_tables.forest_table(spark, path, COLS)
+        found = score_tables.forest_importance(weighted, nodes, "label", COLS, score_tables.forest_depth(model), "w")
+        got = {r.feature: r.importance for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got.keys() == set(COLS) and abs(sum(got.values()) - 1) < 1e-9
+    assert all(abs(got[c] - x) < 1e-9 for c, x in zip(COLS, model.featureImportances.toArray(), strict=True))
+
+
+def test_importance_of_nothing(spark, cards):
+    leaf = spark.createDataFrame([(0, 0, None, None, None, None, 0.5)], score_tables.NODE_SCHEMA)
+    rows = [(0, 0, "a", 0.0, 1, 2, None), (0, 1, None, None, None, None, 0.0), (0, 2, None, None, None, None, 1.0)]
+    split = spark.createDataFrame(rows, score_tables.NODE_SCHEMA)
+
+    def found(df, nodes):
+        return {r.feature: r.importance for r in score_tables.forest_importance(df, nodes, "label", COLS, 2).collect()}
+
+    nothing = dict.fromkeys(COLS, 0.0)
+    assert found(cards, leaf) == found(cards.limit(0), split) == nothing
+    assert found(cards.filter("label = 1"), split) == nothing  # one class: nothing to separate
+    assert found(cards.selectExpr("* EXCEPT (label)", "CAST(NULL AS DOUBLE) AS label"), split) == nothing
+    assert found(cards, split) == {"a": 1.0, "b": 0.0, "c": 0.0}
