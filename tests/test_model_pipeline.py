@@ -88,6 +88,19 @@ def test_forest_shape_and_seed(spark):
     assert a == b
 
 
+def test_job_splits_every_class_by_its_exact_share(spark):
+    from cardlens.operators.materialize import materialize
+    from cardlens.plans.pipeline import train_and_compare
+
+    cards = materialize(_cards(spark, 130).filter("label = 1 OR card_number % 4 = 0"), "cards")  # 65 and 33
+    run = train_and_compare(spark, cards)
+    sizes = {r.label: r["count"] for r in run["test"].groupBy("label").count().collect()}
+    assert sizes == {1: 13, 0: 7}
+    assert run["train"].count() + run["test"].count() == 98
+    assert run["train"].join(run["test"], "card_number", "left_semi").isEmpty()
+    assert {name: p.count() for name, p in run["predictions"].items()} == dict.fromkeys(run["models"], 20)
+
+
 def test_missing_sources_listed_together(spark):
     d = tempfile.mkdtemp(prefix="cardlens-raw-")
     spark.range(1).write.parquet(os.path.join(d, "consumer_cards.parquet"))
