@@ -107,6 +107,39 @@ def test_threshold_of_held_out_labels(spark):
     assert quality.fit_threshold(scored, held.filter("good")) == quality.THRESHOLD
 
 
+def test_every_label_is_used(spark):
+    ids = spark.range(120_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    assert quality.trusted_ids(ids.unionByName(ids.limit(9))).count() == 60_000
+    held = quality.held_ids(ids)
+    by_class = {r.good: r["count"] for r in held.groupBy("good").count().collect()}
+    in_fold = ids.filter(quality.held_out(F.col("doc_id")))
+    assert by_class == {bool(r.quality): r["count"] for r in in_fold.groupBy("quality").count().collect()}
+    assert min(by_class.values()) > 10_000
+    # four scores: most bad ids, a quarter of the good, a quarter of the bad, the other good ones
+    last = F.xxhash64("held_id") > 2**62
+    score = F.when(F.col("good"), F.when(last, 1.0).otherwise(3.0)).otherwise(F.when(last, 2.0).otherwise(0.0))
+    scored = held.select(F.col("held_id").alias("doc_id"), score.alias("score"), F.lit(False).alias("base_failed"))
+    # the gain is about 3/4 above 0 and above 2, less above 1
+    n = {(r.good, r.last): r["count"] for r in held.groupBy("good", last.alias("last")).count().collect()}
+    above_0 = n[False, False] / by_class[False]
+    above_2 = 1 - n[True, True] / by_class[True]
+    assert quality.fit_threshold(scored, held) == (0.5 if above_0 >= above_2 else 2.5)
+
+
+def test_trusted_texts_are_exact_whatever_the_filter_holds(spark, monkeypatch):
+    rows = [(None if i % 97 == 0 else i // 2, f"t{i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = spark.range(0, 1500, 3).select(F.col("id").alias("trusted_id"))
+    want = sorted((t, int(i is not None and i % 3 == 0)) for i, t in rows)
+    bits = quality.id_bits(trusted, "trusted_id").first().bits
+    assert len(bits) == 64 and 400 < sum(bin(b & (2**64 - 1)).count("1") for b in bits) <= 500
+    for words, ids in ((1 << 18, trusted), (1, trusted), (1 << 18, trusted.select(F.col("trusted_id").cast("int")))):
+        monkeypatch.setattr(quality, "FILTER_WORDS", words)
+        assert sorted(map(tuple, quality.trusted_texts(docs, ids, "doc_id", "text").collect())) == want
+    none = quality.trusted_texts(docs, trusted.limit(0), "doc_id", "text")
+    assert none.agg(F.count("*"), F.sum("target")).first() == (3000, 0)
+
+
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_noise_goes_and_good_stays_at_both_scales(spark, sf):
     docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
