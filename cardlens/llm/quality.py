@@ -32,7 +32,6 @@ from cardlens.llm.scratch import cut
 from cardlens.operators.ranking import ordered_cumulative
 
 SPACE = r"\x20\x09-\x0D"
-SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_SHARE = 20, 30  # base rules: words, per cent of words
@@ -101,7 +100,8 @@ def _covered(windows: Column) -> Column:
 def base_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id_col, hashes`` (of the words), ``pairs`` (of adjacent words) and the base counts of every row."""
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    rows = rows.withColumn("hashes", F.transform(words_of(F.col("_text")), lambda w: F.xxhash64(w)))
+    rows = rows.withColumn("_words", words_of(F.col("_text")))
+    rows = rows.withColumn("hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     rows = rows.withColumn("pairs", _shifted_pairs(F.col("hashes"), 1))
     text = F.col("_text")
     return rows.select(
@@ -109,8 +109,9 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "hashes",
         "pairs",
         F.size("hashes").cast("long").alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        # by words and matches: translate makes a string of every character
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         duplicate_lines(text).cast("long").alias("n_dup_lines"),
         covered_words(window_hashes(F.col("pairs"))).cast("long").alias("n_repeat_words"),
     )

@@ -93,6 +93,16 @@ def test_whole_result_by_brute_force(spark, monkeypatch):
     assert {k for *_, k in got} == {True, False}
 
 
+def test_characters_are_counted_without_a_lookup_of_each(spark):
+    texts = [None, "", " \t\n\x0b\x0c\r", "a\x1cb\x85 c\u3000d", "##*$%&|<>^-]\\ \U0001f600x\u0301 [#", "<a>\r\n<b>\x00 é&", "|" * 50]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = quality.base_counts(frame, "doc_id", "text")
+    got = {r.doc_id: (r.word_chars, r.n_symbols) for r in out.collect()}
+    want = {i: (sum(c not in " \t\n\x0b\x0c\r" for c in t or ""), sum(c in "#*$%&|<>" for c in t or "")) for i, t in enumerate(texts)}
+    assert got == want
+    assert "translate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_buckets_grow_with_the_corpus():
     assert [quality.bucket_bits(n) for n in (0, 1, 2**18, 2**18 + 1, 10**6, 10**9)] == [18, 18, 18, 19, 20, 20]
 
