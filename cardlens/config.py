@@ -92,5 +92,7 @@ RF_MAX_DEPTH = 30
 RF_MAX_BINS = 128
 # Tree groups of the forest, each with a bootstrap sample and class weights of its own.
 RF_GROUPS = 10
-# Model fits whose jobs run side by side; each holds its sample of the feature matrix.
-FIT_THREADS = 4
+# Cards of one partition of a forest fit: every partition sends a histogram of every node.
+RF_PARTITION_CARDS = 250_000
+# Model fits whose jobs run side by side (all tree groups); each holds its sample of the feature matrix.
+FIT_THREADS = 10

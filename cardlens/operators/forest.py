@@ -6,6 +6,10 @@ however the rows are partitioned or recomputed. The class weights of a group bal
 sample (:func:`bootstrap_weights`), its trees differ by the features tried at each node, and the trees of all
 groups make one Spark ML forest.
 
+Spark ML has every partition send a histogram of every node, however few cards it holds there, so the work is nodes times
+partitions. A fit therefore reads the matrix in partitions of many cards (:func:`packed`), a bounded number each; the
+groups keep the cores busy.
+
 Only the weights (two rows per group) and the fitted trees reach the driver. Groups are fitted as concurrent jobs
 that share one written feature matrix.
 
@@ -26,7 +30,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardlens.config import CARD_ID_COLUMN, FIT_THREADS, RANDOM_STATE, TARGET_COLUMN
+from cardlens.config import CARD_ID_COLUMN, FIT_THREADS, RANDOM_STATE, RF_PARTITION_CARDS, TARGET_COLUMN
 
 HASH_DIGITS = 8  # hexadecimal digits of the hash that decide the draws
 MOST_DRAWS = 12  # more draws are less likely than one hash value
@@ -78,12 +82,18 @@ def concurrently(spark: SparkSession, tasks: list[Callable[[], T]], threads: int
             raise
 
 
+def packed(matrix: DataFrame, cards: int = RF_PARTITION_CARDS) -> DataFrame:
+    """All rows of a written table in partitions of about ``cards``, without a shuffle; never more partitions than before."""
+    return matrix.coalesce(max(1, -(-matrix.count() // cards)))
+
+
 def group_fits(
     matrix: DataFrame, trees: int, groups: int, target: str = TARGET_COLUMN, seed: int = RANDOM_STATE, **settings
 ) -> list[Callable[[], RandomForestClassificationModel]]:
     """One fit per group over ``matrix`` (card, label, ``features``; a written table), to be run in any order.
     The trees are dealt to the groups as evenly as possible; ``settings`` go to the classifier."""
     groups = min(groups, trees)
+    few = packed(matrix)
     rows = bootstrap_weights(matrix, groups, target, seed).collect()  # at most two per group
     weight_of = {(r["tree_group"], r[target]): r["class_weight"] for r in rows}
     drawn = sorted({g for g, _ in weight_of})
@@ -98,7 +108,7 @@ def group_fits(
             if g == group:
                 weight = F.when(F.col(target) == label, F.lit(w)).otherwise(weight)
         times = draws(F.col(CARD_ID_COLUMN), F.lit(group), seed)
-        sample = matrix.select("features", F.col(target).alias(target, metadata=nominal), (times * weight).alias("_weight"))
+        sample = few.select("features", F.col(target).alias(target, metadata=nominal), (times * weight).alias("_weight"))
         share = trees // len(drawn) + (place < trees % len(drawn))
         classifier = RandomForestClassifier(
             featuresCol="features",

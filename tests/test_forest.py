@@ -119,6 +119,23 @@ def test_trees_are_trained_on_balanced_samples(spark, matrix):
         assert abs(zero - one) < 1e-6 and round(zero + one) in totals.values()
 
 
+def test_histograms_do_not_multiply_with_the_partitions_of_the_matrix(spark, matrix, monkeypatch):
+    files = matrix.repartition(8)
+    assert forest.packed(files).rdd.getNumPartitions() == 1
+    few = forest.packed(files, 900)  # bounded, and every row once
+    assert few.rdd.getNumPartitions() == 3
+    assert sorted(r.card_number for r in few.collect()) == sorted(r.card_number for r in matrix.collect())
+    seen = []
+
+    def fit(self, sample):
+        seen.append(sample.rdd.getNumPartitions())
+
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", fit)
+    for job in forest.group_fits(files, 4, 2):
+        job()
+    assert seen == [1, 1]
+
+
 def test_tasks_run_side_by_side_in_order_and_fail_loudly(spark):
     meet = threading.Barrier(2, timeout=60)
 
