@@ -96,3 +96,8 @@ RF_GROUPS = 10
 RF_PARTITION_CARDS = 250_000
 # Model fits whose jobs run side by side (all tree groups); each holds its sample of the feature matrix.
 FIT_THREADS = 10
+# Tree nodes that the fits running side by side may bring into the driver at the worst (about 0.6 KB each). A forest of
+# up to half as many is one Spark ML model, which scoring sends out whole; a larger one is fitted and saved in parts.
+RF_DRIVER_NODES = 400_000
+# Parts fitted or scored side by side: besides its trees, the driver holds the splits of a pass for each.
+RF_PART_THREADS = 6

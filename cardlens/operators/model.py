@@ -7,6 +7,8 @@ coefficients, importances and metric rows reach the driver.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cardlens.config import (
     CARD_ID_COLUMN,
+    FIT_THREADS,
     LR_MAX_ITER,
     RANDOM_STATE,
     RF_GROUPS,
@@ -29,7 +32,7 @@ from cardlens.config import (
     RF_NUM_TREES,
     TARGET_COLUMN,
 )
-from cardlens.operators.forest import concurrently, group_fits, one_forest
+from cardlens.operators.forest import ForestParts, concurrently, fit_plan, group_fits, one_forest, save_part
 from cardlens.operators.materialize import materialize
 from cardlens.operators.quantiles import group_median_exact
 
@@ -129,7 +132,8 @@ def train_models(
     """Fit candidates on one feature matrix, which is written once, as concurrent jobs:
     logistic regression (median impute, standardize, L2, balanced) and a random
     forest (median impute, 300 trees, leaf >= 3, Spark's largest depth) in groups that are balanced over
-    their own bootstrap samples (:mod:`cardlens.operators.forest`)."""
+    their own bootstrap samples (:mod:`cardlens.operators.forest`); one too large for the driver is a
+    :class:`~cardlens.operators.forest.ForestParts`."""
     spark = train.sparkSession
     labelled = train.withColumn(TARGET_COLUMN, F.col(TARGET_COLUMN).cast("double"))
     data = materialize(with_class_weights(labelled), "train")
@@ -143,7 +147,7 @@ def train_models(
         stages["random_forest"] = [impute, VectorAssembler(inputCols=[f"_imp_{c}" for c in cols], outputCol="features")]
     matrix = materialize(_feature_matrix(data, stages), "matrix")
 
-    fits = []
+    fits, most_trees, threads = [], None, FIT_THREADS
     if "logistic_regression" in names:
         regression = LogisticRegression(
             featuresCol="scaled_features",
@@ -157,22 +161,26 @@ def train_models(
         )
         fits.append(lambda: regression.fit(matrix))
     if "random_forest" in names:
-        fits += group_fits(
+        most_trees, threads = fit_plan(matrix.count(), RF_NUM_TREES, RF_GROUPS, RF_MIN_INSTANCES_PER_NODE, RF_MAX_DEPTH)
+        trees = group_fits(
             matrix,
             RF_NUM_TREES,
             RF_GROUPS,
             seed=seed,
+            most_trees=most_trees,
             minInstancesPerNode=RF_MIN_INSTANCES_PER_NODE,
             maxDepth=RF_MAX_DEPTH,
             maxBins=RF_MAX_BINS,
             featureSubsetStrategy="sqrt",
         )
-    fitted = concurrently(spark, fits)
+        fits += [partial(save_part, spark, fit) for fit in trees] if most_trees else trees
+    fitted = concurrently(spark, fits, threads)
     models = {}
     if "logistic_regression" in names:
         models["logistic_regression"] = PipelineModel([*stages["logistic_regression"], fitted.pop(0)])
     if "random_forest" in names:
-        models["random_forest"] = PipelineModel([*stages["random_forest"], one_forest(spark, fitted)])
+        forest = ForestParts(fitted, threads) if most_trees else one_forest(spark, fitted)
+        models["random_forest"] = PipelineModel([*stages["random_forest"], forest])
     return models
 
 
@@ -237,6 +245,8 @@ def feature_importance(model: PipelineModel, cols: list[str]) -> tuple[list[floa
     fitted = model.stages[-1]
     if isinstance(fitted, RandomForestClassificationModel):
         return fitted.featureImportances.toArray().tolist(), "feature_importance"
+    if isinstance(fitted, ForestParts):
+        return fitted.featureImportances.tolist(), "feature_importance"
     if isinstance(fitted, LogisticRegressionModel):
         return abs(fitted.coefficients.toArray()).tolist(), "absolute_coefficient"
     return [0.0 for _ in cols], "not_available"

@@ -5,6 +5,7 @@ import math
 import threading
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -146,3 +147,72 @@ def test_tasks_run_side_by_side_in_order_and_fail_loudly(spark):
     assert forest.concurrently(spark, [lambda n=n: job(n) for n in (5, 3, 8, 1)], threads=2) == [5, 3, 8, 1]
     with pytest.raises(ZeroDivisionError):
         forest.concurrently(spark, [lambda: 1 // 0, lambda: spark.range(3).count()], threads=2)
+
+
+def test_plan_bounds_the_nodes_in_the_driver():
+    assert forest.fit_plan(1200, 300, 10, 3) == (None, forest.FIT_THREADS)  # as one model
+    assert forest.fit_plan(0, 300, 10, 3) == forest.fit_plan(10**9, 300, 10, 3, depth=2) == (None, forest.FIT_THREADS)
+    for cards in (7_500, 72_000, 432_000):
+        trees, threads = forest.fit_plan(cards, 300, 10, 3)
+        assert 1 <= trees <= 30 and 1 <= threads <= forest.RF_PART_THREADS
+        assert trees * threads * 2 * cards * 0.632 / 3 <= forest.RF_DRIVER_NODES
+    assert forest.fit_plan(2_000_000, 300, 10, 3) == (1, 1)  # one tree is not divided, whatever its size
+
+
+def test_saved_parts_score_like_one_forest(spark, cards, matrix):
+    """Also for cards that repeat or are null, and after saving."""
+    parts = forest.concurrently(spark, forest.group_fits(matrix, 7, 2, most_trees=3, minInstancesPerNode=3, maxDepth=6))
+    assert [p.getNumTrees for p in parts] == [3, 1, 3]
+    one = forest.one_forest(spark, parts)
+    of_parts = forest.ForestParts([forest.save_part(spark, lambda p=p: p) for p in parts], threads=2)
+    assert of_parts.getNumTrees == 7
+    assert all(abs(x - y) < 1e-12 for x, y in zip(of_parts.featureImportances, one.featureImportances.toArray(), strict=True))
+    odd = matrix.union(matrix.limit(5)).union(matrix.limit(3).withColumn("card_number", F.lit(None).cast("string")))
+
+    def scores(model):
+        found = model.transform(odd).select(
+            "card_number", "features", vector_to_array("rawPrediction"), vector_to_array("probability"), "prediction"
+        )
+        return sorted((str(r[0]), *r.features, *r[2], *r[3], r.prediction) for r in found.collect())
+
+    want, got = scores(one), scores(of_parts)
+    assert len(got) == 2008 and scores(of_parts) == got
+    for a, b in zip(want, got, strict=True):
+        assert a[:3] == b[:3] and all(abs(x - y) < 1e-12 for x, y in zip(a[3:], b[3:], strict=True))
+    path = scratch_path(spark, "parts")
+    PipelineModel([of_parts]).write().overwrite().save(path)
+    assert scores(PipelineModel.load(path)) == got
+    assert of_parts.transform(matrix.limit(0)).count() == 0
+
+
+def test_no_fit_and_no_model_holds_a_large_forest(spark, cards, monkeypatch):
+    """The whole forest of cards that all differ must not be in the driver: fits of few trees, kept on disk."""
+    from cardlens.operators import model as M
+
+    monkeypatch.setattr(M, "RF_NUM_TREES", 8)
+    monkeypatch.setattr(M, "RF_GROUPS", 2)
+    monkeypatch.setattr(forest, "RF_DRIVER_NODES", 3400)  # four trees of 2,000 cards
+    monkeypatch.setattr(forest, "RF_PART_THREADS", 2)
+    running, most, one = [], [], threading.Lock()
+    fit = forest.RandomForestClassifier.fit
+
+    def watched(self, sample):
+        with one:
+            running.append(self.getNumTrees())
+            most.append(sum(running))
+        try:
+            return fit(self, sample)
+        finally:
+            with one:
+                running.remove(self.getNumTrees())
+
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", watched)
+    model = M.train_models(cards, COLS, names=("random_forest",))["random_forest"]
+    parts = model.stages[-1]
+    assert isinstance(parts, forest.ForestParts) and parts.getNumTrees == 8
+    assert len(parts.parts) == 4 and max(most) <= 4
+    values, kind = M.feature_importance(model, COLS)
+    assert kind == "feature_importance" and abs(sum(values) - 1) < 1e-9
+    scored = M.score_cards(model, cards).collect()
+    assert sorted(r.card_number for r in scored) == sorted(r.card_number for r in cards.collect())
+    assert sum((r.y_proba > 0.5) == r.y_true for r in scored) > 1800
